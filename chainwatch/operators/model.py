@@ -138,5 +138,7 @@ def term_grid(model: DataFrame, cfg: MarkovConfig) -> DataFrame:
     s = cfg.n_states
     g = _grid(model.sparkSession, s, s + 1, col_base=-1)
     cells = F.broadcast(model.select("src_idx", "dst_idx", "n", "p"))
-    rows = F.broadcast(row_totals(model).select("src_idx", "row_total"))
+    rows = F.broadcast(
+        model.groupBy("src_idx").agg(F.max("row_total").alias("row_total"), F.sum("p").alias("row_p"))
+    )
     return g.join(cells, ["src_idx", "dst_idx"], "left").join(rows, ["src_idx"], "left")

@@ -37,8 +37,16 @@ from .sequences import token_windows, window_token_cols
 
 def miss_probability_terms(model: DataFrame, cfg: MarkovConfig) -> DataFrame:
     g = term_grid(model, cfg)
-    term = F.when(F.col("row_total").isNull(), F.lit(0.0)).otherwise(
-        (F.col("row_total") - F.coalesce(F.col("n"), F.lit(0))).cast("double") / F.col("row_total")
+    # counts known (trained model): the exact ratio (row_total - n) / row_total;
+    # probabilities only (imported text model): row sum minus the target cell.
+    # A state never left in training has no row: every probability is 0.
+    term = (
+        F.when(F.col("row_p").isNull(), F.lit(0.0))
+        .when(
+            F.col("row_total").isNotNull(),
+            (F.col("row_total") - F.coalesce(F.col("n"), F.lit(0))).cast("double") / F.col("row_total"),
+        )
+        .otherwise(F.col("row_p") - F.coalesce(F.col("p"), F.lit(0.0)))
     )
     return g.select("src_idx", "dst_idx", term.alias("term"))
 

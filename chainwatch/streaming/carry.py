@@ -1,0 +1,80 @@
+"""Keyed carry of recent tokens across micro-batches.
+
+The only Python in the streaming path: per customer and micro-batch it orders
+the new tokens, prepends the last ``W - 1`` tokens kept in state, numbers
+everything with absolute positions and updates the state.  Scoring is done
+afterwards by the same Catalyst plan as batch scoring.
+
+Because at most ``W - 1`` tokens are carried, every window that can be built
+from the emitted rows contains at least one new token, so each window is
+scored exactly once, in the micro-batch that completes it."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+STATE_SCHEMA = StructType(
+    [
+        StructField("history", ArrayType(StringType())),
+        StructField("n_seen", LongType()),
+    ]
+)
+
+
+def output_schema(key_field: StructField) -> StructType:
+    return StructType(
+        [
+            StructField(key_field.name, key_field.dataType),
+            StructField("pos", LongType()),
+            StructField("token", StringType()),
+            StructField("is_new", BooleanType()),
+        ]
+    )
+
+
+def make_carry_function(window: int, key: str, order: Sequence[str], token: str = "token", retain: str = "batch"):
+    """Build the ``applyInPandasWithState`` function.
+
+    ``retain="batch"`` stores carry + this batch's tokens (what the history
+    table of the original holds); ``"tail"`` stores only the last ``W - 1``
+    tokens.  Only the last ``W - 1`` are ever read back."""
+    if retain not in ("batch", "tail"):
+        raise ValueError(f"retain={retain!r}")
+    keep = window - 1
+    order = list(order)
+
+    def carry(key_tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(frames), ignore_index=True)
+        batch = batch.sort_values(order, kind="mergesort")
+        new_tokens = batch[token].astype(object).tolist()
+        if state.exists:
+            history, n_seen = state.get
+            history = list(history or [])
+            n_seen = int(n_seen or 0)
+        else:
+            history, n_seen = [], 0
+        tail = history[-keep:] if keep > 0 else []
+        first = n_seen - len(tail) + 1
+        tokens = tail + new_tokens
+        kept = tokens if retain == "batch" else tokens[-keep:]
+        state.update((kept, n_seen + len(new_tokens)))
+        yield pd.DataFrame(
+            {
+                key: [key_tuple[0]] * len(tokens),
+                "pos": pd.Series(range(first, first + len(tokens)), dtype="int64"),
+                "token": tokens,
+                "is_new": [False] * len(tail) + [True] * len(new_tokens),
+            }
+        )
+
+    return carry
