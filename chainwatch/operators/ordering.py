@@ -73,6 +73,10 @@ def sequence_positions(
     (key, block) and shifted by the row count of the key's earlier blocks.
     Block boundaries are a pure function of the data, so every recomputation
     (task retry, lost executor, a second consumer) gives the same numbering.
+
+    The hot-key table is computed eagerly (one aggregate over the key and
+    the first order column); with no hot key the result is a plain window per
+    key, which is then bounded by ``hot_rows`` rows per group.
     """
     keys = _cols(key)
     order = list(order)
@@ -92,6 +96,16 @@ def sequence_positions(
             F.ceil((F.col("_t1") - F.col("_t0") + F.lit(1)).cast("double") * F.lit(float(hot_rows)) / F.col("_n")),
         ).cast("bigint").alias("_width"),
     )
+    # Materialise the (bounded) hot-key table once: every consumer below sees
+    # the same blocks, and when no key is hot the plan is one window per key.
+    hot = hot.checkpoint(eager=True)
+    if hot.isEmpty():
+        w1 = Window.partitionBy(*keys).orderBy(*order)
+        out = df.withColumn(pos, F.row_number().over(w1).cast("bigint"))
+        for c in carry:
+            out = out.withColumn(f"prev_{c}", F.lag(c).over(w1))
+        return out
+
     blocked = df.join(F.broadcast(hot), keys, "left").select(
         *df.columns,
         F.coalesce(F.floor((t - F.col("_t0")) / F.col("_width")), F.lit(0)).cast("bigint").alias("_blk"),

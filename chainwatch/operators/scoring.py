@@ -85,6 +85,8 @@ ALGORITHMS: dict[str, str] = {
     "MissProbability": "miss_probability",
     "MissRate": "miss_rate",
     "EntropyReduction": "entropy",
+    "miss_probability": "miss_probability",
+    "miss_rate": "miss_rate",
     # the original falls through to the entropy scorer for any other name;
     # here it must be asked for by one of these names
     "entropy": "entropy",
@@ -108,21 +110,38 @@ def _window_indices(win: DataFrame, cfg: MarkovConfig) -> DataFrame:
 
 
 def _lookup(win: DataFrame, table: DataFrame, cfg: MarkovConfig, value_cols: Sequence[str]) -> DataFrame:
-    """Left-join the broadcast term table once per transition of the window."""
+    """Left-join the term table once per transition of the window.
+
+    The same table is joined under W - 1 aliases, so Spark plans a single
+    broadcast and reuses it for every transition."""
     out = win
+    keep = list(win.columns)
     for i in range(cfg.window - 1):
-        t = F.broadcast(
-            table.select(
-                F.col("src_idx").alias(f"_s{i}"),
-                F.col("dst_idx").alias(f"_d{i}"),
-                *[F.col(v).alias(f"{v}{i}") for v in value_cols],
-            )
-        )
-        cond = (F.col(f"idx{i}") == F.col(f"_s{i}")) & (F.col(f"idx{i + 1}") == F.col(f"_d{i}"))
-        out = out.join(t, cond, "left").drop(f"_s{i}", f"_d{i}")
+        a = f"_m{i}"
+        t = F.broadcast(table.alias(a))
+        cond = (F.col(f"idx{i}") == F.col(f"{a}.src_idx")) & (F.col(f"idx{i + 1}") == F.col(f"{a}.dst_idx"))
+        out = out.join(t, cond, "left").select(*keep, *[F.col(f"{a}.{v}").alias(f"{v}{i}") for v in value_cols])
+        keep += [f"{v}{i}" for v in value_cols]
     return out
 
 
+def lookup_table(model: DataFrame, cfg: MarkovConfig, algorithm: str, *, cut_lineage: bool = True) -> DataFrame:
+    """The per-transition term table of a scorer (S × (S + 1) rows).
+
+    With ``cut_lineage`` it is checkpointed into the shared checkpoint folder,
+    so scoring neither re-runs training nor loses the model with an
+    executor."""
+    alg = resolve_algorithm(algorithm)
+    table = {
+        "miss_probability": miss_probability_terms,
+        "miss_rate": miss_rate_terms,
+        "entropy": entropy_terms,
+    }[alg](model, cfg)
+    if cut_lineage:
+        table = table.coalesce(1).checkpoint(eager=True)
+    return table
+
+
 def score_windows(
     tokens: DataFrame,
     model: DataFrame,
@@ -132,6 +151,7 @@ def score_windows(
     algorithm: str | None = None,
     pos: str = "pos",
     token: str = "token",
+    cut_lineage: bool = True,
 ) -> DataFrame:
     """Score every complete window: ``(key, pos, chunk, t0..t{W-1}, score)``
     where ``pos`` is the window's first position."""
@@ -141,13 +161,13 @@ def score_windows(
     win = _window_indices(token_windows(tokens, keys, cfg, pos=pos, token=token), cfg)
     toks = window_token_cols(cfg.window)
     base = [*keys, pos, "chunk", *toks]
+    table = lookup_table(model, cfg, alg, cut_lineage=cut_lineage)
     if alg in ("miss_probability", "miss_rate"):
-        table = miss_probability_terms(model, cfg) if alg == "miss_probability" else miss_rate_terms(model, cfg)
         looked = _lookup(win, table, cfg, ["term"])
         total = reduce(lambda a, b: a + b, [F.col(f"term{i}") for i in range(m)])
         return looked.select(*base, (total / F.lit(float(m))).alias("score"))
 
-    looked = _lookup(win, entropy_terms(model, cfg), cfg, ["num", "den", "undefined"])
+    looked = _lookup(win, table, cfg, ["num", "den", "undefined"])
     # a NULL lookup (unknown current state under on_unknown="null") is undefined too
     bad = [F.coalesce(F.col(f"undefined{i}"), F.lit(True)).cast("int") for i in range(m)]
     prefix = running_total(

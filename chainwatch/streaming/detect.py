@@ -48,7 +48,8 @@ def history_messages(batch: DataFrame, cfg: MarkovConfig, *, key: str = "custome
 
 
 def score_batch(batch: DataFrame, model: DataFrame, cfg: MarkovConfig, *, key: str = "customer_id") -> DataFrame:
-    return detect(score_windows(batch, model, cfg, key), cfg, key)
+    # the model is a parquet scan here: nothing to cut
+    return detect(score_windows(batch, model, cfg, key, cut_lineage=False), cfg, key)
 
 
 def detect_stream(

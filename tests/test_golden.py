@@ -1,0 +1,146 @@
+"""Hand-computed goldens and edge cases (FIXTURES.md §3-4)."""
+
+import math
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from chainwatch.config import MarkovConfig
+from chainwatch.operators.model import best_successor, dense, row_entropy, train
+from chainwatch.operators.scoring import detect, score_windows
+from chainwatch.operators.sequences import token_windows, transitions
+
+CFG = MarkovConfig()
+GOLDEN = {"c1": ["NNL", "NNN", "NNL", "NNS", "NNL", "NNN"]}
+
+
+def _model(seq_df, seqs=GOLDEN, cfg=CFG):
+    t = seq_df(seqs)
+    return train(transitions(t, "customer_id", cfg), cfg, key="customer_id")
+
+
+def _scores(spark, seq_df, algorithm, train_seqs=GOLDEN, score_seqs=GOLDEN, cfg=CFG):
+    m = _model(seq_df, train_seqs, cfg)
+    s = score_windows(seq_df(score_seqs), m, cfg, "customer_id", algorithm=algorithm)
+    return {(r.customer_id, r.pos): r.score for r in s.collect()}
+
+
+def test_golden_model(seq_df):
+    rows = {(r.src, r.dst): (r.n, r.p) for r in _model(seq_df).collect()}
+    assert rows == {
+        ("NNL", "NNN"): (2, pytest.approx(2 / 3)),
+        ("NNL", "NNS"): (1, pytest.approx(1 / 3)),
+        ("NNN", "NNL"): (1, 1.0),
+        ("NNS", "NNL"): (1, 1.0),
+    }
+
+
+def test_golden_miss_probability(spark, seq_df):
+    s = _scores(spark, seq_df, "MissProbability")
+    assert s == {("c1", 1): pytest.approx(0.25), ("c1", 2): pytest.approx(0.25)}
+
+
+def test_golden_miss_rate(spark, seq_df):
+    s = _scores(spark, seq_df, "MissRate")
+    assert s == {("c1", 1): 0.25, ("c1", 2): 0.25}
+
+
+def test_golden_entropy(spark, seq_df):
+    ref = _scores(spark, seq_df, "EntropyReduction")
+    assert ref == {("c1", 1): None, ("c1", 2): None}
+    lim = _scores(spark, seq_df, "EntropyReduction", cfg=CFG.with_(zero_cell="limit"))
+    assert lim[("c1", 1)] == pytest.approx(0.125)
+    a, b = -(2 / 3) * math.log(2 / 3), -(1 / 3) * math.log(1 / 3)
+    # prefix of 5 transitions from the sequence start: NNL→NNN (num b),
+    # NNN→NNL (0), NNL→NNS (num a), NNS→NNL (0), NNL→NNN (num b); den 3(a+b)
+    assert lim[("c1", 2)] == pytest.approx((b + a + b) / (3 * (a + b)) / 4)
+    assert lim[("c1", 2)] == pytest.approx(0.131277, abs=1e-6)
+
+
+def _one_window(spark, seq_df, window_tokens, algorithm="MissProbability", cfg=CFG):
+    s = _scores(spark, seq_df, algorithm, score_seqs={"x": window_tokens}, cfg=cfg)
+    assert len(s) == 1
+    return next(iter(s.values()))
+
+
+def test_unseen_row_scores_zero_and_predicts_state_zero(spark, seq_df):
+    # HHS never left in training: miss-probability term 0; miss-rate predicts LNL
+    base = ["NNL", "NNN", "NNL", "NNN"]  # three known transitions: 0 + 1/3 + 0 ... see below
+    toks = ["HHS", "NNL", "NNN", "NNL", "NNN"]
+    mp = _one_window(spark, seq_df, toks)
+    assert mp == pytest.approx((0 + 1 / 3 + 0 + 1 / 3) / 4)
+    mr = _one_window(spark, seq_df, toks, "MissRate")
+    assert mr == pytest.approx((1 + 0 + 0 + 0) / 4)
+    mr0 = _one_window(spark, seq_df, ["HHS", "LNL", "LNL", "LNL", "LNL"], "MissRate")
+    # HHS→LNL predicted (state 0); LNL rows unseen too → predict LNL each time
+    assert mr0 == 0.0
+    assert base  # documents the shape
+
+
+def test_unseen_cell_and_unknown_next(spark, seq_df):
+    # NNL→HHS: cell unseen in a seen row → 1; NNL→XXX (unknown next) → row sum 1
+    toks = ["NNN", "NNL", "NNN", "NNL", "HHS"]
+    assert _one_window(spark, seq_df, toks) == pytest.approx((0 + 1 / 3 + 0 + 1) / 4)
+    toks = ["NNN", "NNL", "NNN", "NNL", "XXX"]
+    assert _one_window(spark, seq_df, toks) == pytest.approx((0 + 1 / 3 + 0 + 1) / 4)
+    assert _one_window(spark, seq_df, toks, "MissRate") == pytest.approx(0.25)
+
+
+def test_unknown_current_state(spark, seq_df):
+    toks = ["XXX", "NNL", "NNN", "NNL", "NNN"]
+    with pytest.raises(PySparkException, match="unknown current state"):
+        _one_window(spark, seq_df, toks)
+    assert _one_window(spark, seq_df, toks, cfg=CFG.with_(on_unknown="null")) is None
+
+
+def test_unknown_token_in_training(spark, seq_df):
+    with pytest.raises(PySparkException, match="unknown"):
+        _model(seq_df, {"a": ["NNL", "ZZZ", "NNL"]}).collect()
+    m = _model(seq_df, {"a": ["NNL", "ZZZ", "NNL"], "b": ["NNL", "NNN"]}, CFG.with_(on_unknown="drop_sequence"))
+    assert [(r.src, r.dst, r.n) for r in m.collect()] == [("NNL", "NNN", 1)]
+
+
+def test_ties_go_to_lower_index(seq_df):
+    m = _model(seq_df, {"a": ["NNL", "NNS", "NNL", "NNN"]})  # NNL→NNS and NNL→NNN once each
+    best = {r.src: r.best for r in best_successor(m, CFG).collect()}
+    assert best["NNL"] == "NNN"  # index 7 < 8
+    assert best["HHS"] == "LNL"  # empty row predicts state 0
+
+
+def test_short_sequences(spark, seq_df):
+    t = seq_df({"four": ["NNL"] * 4, "five": ["NNL"] * 5, "one": ["NNL"], "zero": []})
+    w = token_windows(t, "customer_id", CFG)
+    assert sorted((r.customer_id, r.pos) for r in w.collect()) == [("five", 1)]
+    tr = transitions(t, "customer_id", CFG)
+    assert {r.customer_id for r in tr.collect()} == {"four", "five"}
+
+
+def test_threshold_is_strict(spark, seq_df):
+    m = _model(seq_df)
+    s = score_windows(seq_df(GOLDEN), m, CFG, "customer_id")
+    assert detect(s, CFG, "customer_id", threshold=0.25).count() == 0
+    assert detect(s, CFG, "customer_id", threshold=0.2499).count() == 2
+
+
+def test_alert_message_format(spark, seq_df):
+    m = _model(seq_df)
+    s = score_windows(seq_df(GOLDEN), m, CFG, "customer_id")
+    msgs = sorted(r.message for r in detect(s, CFG, "customer_id", threshold=0.2).collect())
+    assert msgs[0] == "c1 : NNL NNN NNL NNS NNL : 0.25"
+
+
+def test_entropy_reference_row_entropy(seq_df):
+    m = _model(seq_df)
+    e = {r.src: (r.entropy_limit, r.entropy_reference) for r in row_entropy(m, CFG).collect()}
+    h = -(2 / 3) * math.log(2 / 3) - (1 / 3) * math.log(1 / 3)
+    assert e["NNL"][0] == pytest.approx(h)
+    assert e["NNL"][1] is None  # the row has zero cells
+    assert e["NNN"] == (0.0, None)
+
+
+def test_dense_rows_sum_to_one(seq_df):
+    d = dense(_model(seq_df), CFG)
+    sums = {r.src: r.s for r in d.groupBy("src").agg(F.sum("p").alias("s")).collect()}
+    assert sums["NNL"] == pytest.approx(1.0) and sums["HHS"] == 0.0
+    assert d.count() == CFG.n_states**2
