@@ -26,10 +26,11 @@ from chainwatch.operators.sequences import (
     transitions,
     window_token_cols,
 )
-from chainwatch.plans.jobs import holdout_split, train_model
+from chainwatch.plans.jobs import holdout_split, train_model, transactions_to_tokens
 from chainwatch.session import work_path
 from chainwatch.sources.events import load_tokens
 from chainwatch.sources.model_io import read_model_text, save_model, write_model_text
+from chainwatch.sources.transactions import read_transactions, write_transactions_text
 from chainwatch.streaming.detect import read_alerts, read_history
 from chainwatch.streaming.replay import replay_slices
 
@@ -70,6 +71,20 @@ def q_parse_transactions(spark, sf_dir):
     return parsed.select("customer_id", "transaction_id", "token")
 
 
+def q_transactions_to_sequences(spark, sf_dir):
+    """Raw transaction lines → text → parse → order by transaction id →
+    sequence lines (the training-set builder)."""
+    t = _tokens(spark, sf_dir)
+    path = work_path(spark, "raw-transactions")
+    write_transactions_text(t, path, customer=KEY, transaction="event_id", token="token")
+    tx = read_transactions(spark, path).withColumn("txn", F.col("transaction_id").cast("bigint"))
+    long = transactions_to_tokens(tx, key="customer_id", order=["txn"])
+    seqs = build_sequences(long, "customer_id", CFG)
+    return seqs.select(
+        "customer_id", "n_tokens", F.concat_ws(",", F.col("customer_id"), "tokens").alias("line")
+    )
+
+
 def q_sequence_lines(spark, sf_dir):
     seqs = build_sequences(_tokens(spark, sf_dir), KEY, CFG)
     return seqs.select(
@@ -216,6 +231,7 @@ def q_alert_messages(spark, sf_dir):
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokens": q_tokens,
     "parse_transactions": q_parse_transactions,
+    "transactions_to_sequences": q_transactions_to_sequences,
     "sequence_lines": q_sequence_lines,
     "transitions": q_transitions,
     "transition_counts": q_transition_counts,
@@ -370,6 +386,10 @@ select user_id, event_id, pos, token, (list_position({_S}, token) - 1)::bigint a
     "parse_transactions": f"""with {_TOK}, l as (select user_id || ',' || event_id || ',' || token as line from tok)
 select split_part(line, ',', 1) as customer_id, split_part(line, ',', 2) as transaction_id,
        split_part(line, ',', 3) as token from l""",
+    "transactions_to_sequences": f"""with {_TOK}
+select cast(user_id as varchar) as customer_id, count(*)::bigint as n_tokens,
+       user_id || ',' || string_agg(token, ',' order by event_id) as line
+from tok group by user_id""",
     "sequence_lines": f"""with {_TOK}
 select user_id, ((pos - 1) // {DEFAULT_CHUNK})::bigint as chunk, min(pos)::bigint as first_pos,
        count(*)::bigint as n_tokens, user_id || ',' || string_agg(token, ',' order by pos) as line

@@ -78,3 +78,33 @@ class MarkovConfig:
 def parse_states(line: str) -> tuple[str, ...]:
     """The dictionary file is one comma-separated line; position = index."""
     return tuple(s for s in line.strip().split(",") if s != "")
+
+
+# properties keys of the original configuration file that change results
+_PROPERTY_KEYS = {
+    "scorer.algorithm": ("algorithm", str),
+    "state.seq.windowSize": ("window", int),
+    "metric.threshold": ("threshold", float),
+    "batch.duration": ("batch_interval", lambda v: f"{int(v)} seconds"),
+}
+
+
+def config_from_properties(text: str, states_line: str | None = None) -> MarkovConfig:
+    """Build a config from ``key=value`` properties text (unknown keys, such
+    as connection settings, are ignored); a bad value raises ``ValueError``
+    instead of ending the process."""
+    kw = {}
+    for raw in text.splitlines():
+        line = raw.strip()
+        if not line or line.startswith(("#", "!")) or "=" not in line:
+            continue
+        k, v = (s.strip() for s in line.split("=", 1))
+        if k in _PROPERTY_KEYS:
+            name, conv = _PROPERTY_KEYS[k]
+            try:
+                kw[name] = conv(v)
+            except ValueError as e:
+                raise ValueError(f"bad value for {k}: {v!r}") from e
+    if states_line is not None:
+        kw["states"] = parse_states(states_line)
+    return MarkovConfig(**kw)
