@@ -170,14 +170,14 @@ def with_following(
     own = chunk_of(pos, chunk)
     offset = (F.col(pos) - F.lit(1)) - own * F.lit(chunk)
     targets = F.when((offset < k) & (own > 0), F.array(own, own - F.lit(1))).otherwise(F.array(own))
-    ex = df.withColumn("_own", own).withColumn(chunk_col, F.explode(targets))
+    ex = df.select("*", own.alias("_own"), F.explode(targets).alias(chunk_col))
     w = Window.partitionBy(*keys, chunk_col).orderBy(pos)
     adds = []
     for i in range(1, k + 1):
         adds.append(F.lead(F.lit(True), i).over(w).isNotNull().alias(f"_has{i}"))
         for c in cols:
             adds.append(F.lead(c, i).over(w).alias(f"{c}{suffix}{i}"))
-    return ex.select("*", *adds).where(F.col("_own") == F.col(chunk_col)).drop("_own")
+    return ex.select(*df.columns, chunk_col, "_own", *adds).where(F.col("_own") == F.col(chunk_col)).drop("_own")
 
 
 def running_total(

@@ -100,29 +100,30 @@ def resolve_algorithm(name: str) -> str:
         raise ValueError(f"unknown scorer {name!r}; choose one of {sorted(ALGORITHMS)}") from None
 
 
-def _window_indices(win: DataFrame, cfg: MarkovConfig) -> DataFrame:
-    """``idx0..idx{W-1}``: every token but the last is a current state (policy
-    applies), the last is only ever a next state (unknown → -1)."""
+def _window_indices(cfg: MarkovConfig) -> list:
+    """``idx0..idx{W-1}`` expressions: every token but the last is a current
+    state (policy applies), the last is only ever a next state (unknown →
+    -1)."""
     w = cfg.window
-    cols = [checked_index(f"t{i}", cfg.states, cfg.on_unknown, "current state").alias(f"idx{i}") for i in range(w - 1)]
-    cols.append(state_index(f"t{w - 1}", cfg.states).alias(f"idx{w - 1}"))
-    return win.select("*", *cols)
+    idx = [checked_index(f"t{i}", cfg.states, cfg.on_unknown, "current state") for i in range(w - 1)]
+    idx.append(state_index(f"t{w - 1}", cfg.states))
+    return idx
 
 
-def _lookup(win: DataFrame, table: DataFrame, cfg: MarkovConfig, value_cols: Sequence[str]) -> DataFrame:
-    """Left-join the term table once per transition of the window.
+def _lookup(win: DataFrame, table: DataFrame, cfg: MarkovConfig, value_cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """Left-join the term table once per transition of the window; returns
+    ``keep`` plus ``<value><i>`` for each transition ``i``.
 
     The same table is joined under W - 1 aliases, so Spark plans a single
     broadcast and reuses it for every transition."""
-    out = win
-    keep = list(win.columns)
+    idx = _window_indices(cfg)
+    out = win.alias("_w")
     for i in range(cfg.window - 1):
         a = f"_m{i}"
-        t = F.broadcast(table.alias(a))
-        cond = (F.col(f"idx{i}") == F.col(f"{a}.src_idx")) & (F.col(f"idx{i + 1}") == F.col(f"{a}.dst_idx"))
-        out = out.join(t, cond, "left").select(*keep, *[F.col(f"{a}.{v}").alias(f"{v}{i}") for v in value_cols])
-        keep += [f"{v}{i}" for v in value_cols]
-    return out
+        cond = (idx[i] == F.col(f"{a}.src_idx")) & (idx[i + 1] == F.col(f"{a}.dst_idx"))
+        out = out.join(F.broadcast(table.alias(a)), cond, "left")
+    vals = [F.col(f"_m{i}.{v}").alias(f"{v}{i}") for i in range(cfg.window - 1) for v in value_cols]
+    return out.select(*[F.col(f"_w.{c}") for c in keep], *vals)
 
 
 def lookup_table(model: DataFrame, cfg: MarkovConfig, algorithm: str, *, cut_lineage: bool = True) -> DataFrame:
@@ -158,16 +159,16 @@ def score_windows(
     keys = _cols(key)
     alg = resolve_algorithm(algorithm or cfg.algorithm)
     m = cfg.window - 1
-    win = _window_indices(token_windows(tokens, keys, cfg, pos=pos, token=token), cfg)
+    win = token_windows(tokens, keys, cfg, pos=pos, token=token)
     toks = window_token_cols(cfg.window)
     base = [*keys, pos, "chunk", *toks]
     table = lookup_table(model, cfg, alg, cut_lineage=cut_lineage)
     if alg in ("miss_probability", "miss_rate"):
-        looked = _lookup(win, table, cfg, ["term"])
+        looked = _lookup(win, table, cfg, ["term"], base)
         total = reduce(lambda a, b: a + b, [F.col(f"term{i}") for i in range(m)])
         return looked.select(*base, (total / F.lit(float(m))).alias("score"))
 
-    looked = _lookup(win, table, cfg, ["num", "den", "undefined"])
+    looked = _lookup(win, table, cfg, ["num", "den", "undefined"], base)
     # a NULL lookup (unknown current state under on_unknown="null") is undefined too
     bad = [F.coalesce(F.col(f"undefined{i}"), F.lit(True)).cast("int") for i in range(m)]
     prefix = running_total(
@@ -192,8 +193,8 @@ def detect(scored: DataFrame, cfg: MarkovConfig, key: str | Sequence[str], *, th
     t = cfg.threshold if threshold is None else threshold
     toks = window_token_cols(cfg.window)
     msg_key = keys[0] if len(keys) == 1 else F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    return scored.where(F.col("score") > F.lit(t)).withColumn(
-        "message", alert_message(msg_key, toks, F.col("score"))
+    return scored.where(F.col("score") > F.lit(t)).select(
+        "*", alert_message(msg_key, toks, F.col("score")).alias("message")
     )
 
 

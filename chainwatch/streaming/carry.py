@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.types import (
     ArrayType,
@@ -54,9 +55,11 @@ def make_carry_function(window: int, key: str, order: Sequence[str], token: str
     order = list(order)
 
     def carry(key_tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(frames), ignore_index=True)
-        batch = batch.sort_values(order, kind="mergesort")
-        new_tokens = batch[token].astype(object).tolist()
+        parts = list(frames)
+        batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        # stable order by the order columns (last key varies fastest)
+        ordering = np.lexsort([batch[c].to_numpy() for c in reversed(order)])
+        new_tokens = batch[token].to_numpy(dtype=object)[ordering].tolist()
         if state.exists:
             history, n_seen = state.get
             history = list(history or [])
@@ -68,12 +71,14 @@ def make_carry_function(window: int, key: str, order: Sequence[str], token: str
         tokens = tail + new_tokens
         kept = tokens if retain == "batch" else tokens[-keep:]
         state.update((kept, n_seen + len(new_tokens)))
+        is_new = np.ones(len(tokens), dtype=bool)
+        is_new[: len(tail)] = False
         yield pd.DataFrame(
             {
                 key: [key_tuple[0]] * len(tokens),
-                "pos": pd.Series(range(first, first + len(tokens)), dtype="int64"),
+                "pos": np.arange(first, first + len(tokens), dtype=np.int64),
                 "token": tokens,
-                "is_new": [False] * len(tail) + [True] * len(new_tokens),
+                "is_new": is_new,
             }
         )
 

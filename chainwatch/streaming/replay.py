@@ -38,9 +38,18 @@ def replay_slices(
         "history": f"{workdir}/history",
     }
     cols = [key, *order, token]
-    schema = rows.select(*cols).schema
+    source = rows.select(slice_col, *cols).persist()
+    schema = source.select(*cols).schema
+    try:
+        _run_slices(spark, source, slice_col, slices, cols, schema, paths, model_path, cfg, key, order, token, retain, timeout_s)
+    finally:
+        source.unpersist()
+    return paths
+
+
+def _run_slices(spark, source, slice_col, slices, cols, schema, paths, model_path, cfg, key, order, token, retain, timeout_s):
     for s in slices:
-        rows.where(F.col(slice_col) == F.lit(s)).select(*cols).write.mode("append").parquet(paths["input"])
+        source.where(F.col(slice_col) == F.lit(s)).select(*cols).write.mode("append").parquet(paths["input"])
         stream = spark.readStream.schema(schema).parquet(paths["input"])
         q = detect_stream(
             stream,
@@ -60,4 +69,3 @@ def replay_slices(
             raise TimeoutError(f"slice {s} did not finish in {timeout_s}s")
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    return paths
