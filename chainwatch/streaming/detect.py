@@ -66,25 +66,43 @@ def detect_stream(
     retain: str = "batch",
     trigger: dict | None = None,
     query_name: str | None = None,
+    sink_format: str = "parquet",
+    kafka_options: dict | None = None,
+    alerts_topic: str = "candidate-fraud-trans",
+    history_topic: str = "user-trans-history",
 ) -> StreamingQuery:
     """Start the detection query.  ``trigger`` defaults to the configured
     processing-time interval; pass ``{"availableNow": True}`` to drain the
-    input and stop."""
+    input and stop.
+
+    ``sink_format``: ``parquet`` (``batch_id=<n>`` folders, overwritten on
+    replay), ``kafka`` (``message`` as the record value; needs the Kafka
+    connector, at-least-once) or ``console`` (alert messages printed on the
+    driver, for debugging)."""
     carried = carry_history(stream, cfg, key=key, order=order, token=token, retain=retain)
 
+    def write(df: DataFrame, path: str | None, topic: str, batch_id: int) -> None:
+        if sink_format == "parquet":
+            if path:
+                df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        elif sink_format == "kafka":
+            w = df.select(F.col(key).cast("string").alias("key"), F.col("message").alias("value")).write.format("kafka")
+            for k, v in (kafka_options or {}).items():
+                w = w.option(k, v)
+            w.option("topic", topic).save()
+        elif sink_format == "console":
+            df.select("message").show(20, truncate=False)
+        else:
+            raise ValueError(f"unknown sink {sink_format!r}")
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
         try:
             model = load_model(spark, model_path)
-            alerts = score_batch(batch, model, cfg, key=key)
-            alerts.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-                f"{alerts_path}/batch_id={batch_id}"
-            )
-            if history_path:
-                history_messages(batch, cfg, key=key).write.mode("overwrite").parquet(
-                    f"{history_path}/batch_id={batch_id}"
-                )
+            write(score_batch(batch, model, cfg, key=key), alerts_path, alerts_topic, batch_id)
+            if history_path or sink_format != "parquet":
+                write(history_messages(batch, cfg, key=key), history_path, history_topic, batch_id)
         finally:
             batch.unpersist()
 
