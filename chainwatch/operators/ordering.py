@@ -30,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -98,7 +100,7 @@ def sequence_positions(
     )
     # Materialise the (bounded) hot-key table once: every consumer below sees
     # the same blocks, and when no key is hot the plan is one window per key.
-    hot = hot.checkpoint(eager=True)
+    hot = checkpointed(hot)
     if hot.isEmpty():
         w1 = Window.partitionBy(*keys).orderBy(*order)
         out = df.withColumn(pos, F.row_number().over(w1).cast("bigint"))

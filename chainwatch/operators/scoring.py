@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ..config import MarkovConfig
 from ..functions.states import checked_index, state_index
 from ..functions.text import alert_message
+from ..session import checkpointed
 from .model import best_successor, term_grid
 from .ordering import _cols, running_total
 from .sequences import token_windows, window_token_cols
@@ -139,7 +140,7 @@ def lookup_table(model: DataFrame, cfg: MarkovConfig, algorithm: str, *, cut_lin
         "entropy": entropy_terms,
     }[alg](model, cfg)
     if cut_lineage:
-        table = table.coalesce(1).checkpoint(eager=True)
+        table = checkpointed(table.coalesce(1))
     return table
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "chainwatch") -> SparkSession:
@@ -35,12 +35,12 @@ def shared_dir(spark: SparkSession) -> str:
 
     It is read from the session; only when it is unset (local tests) is a
     folder under the system temp directory chosen and registered."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        # local tests only: nothing is configured, take a temp folder
         d = tempfile.mkdtemp(prefix="chainwatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
@@ -58,3 +58,27 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
         local = path[5:] if path.startswith("file:") else path
         os.makedirs(os.path.dirname(local.rstrip("/")) or "/", exist_ok=True)
     return path
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Eager reliable checkpoint into the shared checkpoint folder (cuts the
+    lineage; survives the loss of any executor).  Used only for small,
+    size-bounded tables."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def recommended_conf(input_bytes: int, *, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster run: shuffle partitions sized so each
+    holds about ``partition_bytes`` of input, AQE with skew handling, and
+    scan splits of the same size."""
+    parts = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -54,3 +54,33 @@ def test_miss_rate_values(spark):
     tok = load_tokens(spark, SF001)
     s = score_windows(tok, train_model(tok, CFG, key="user_id"), CFG, "user_id", algorithm="MissRate")
     assert {r.score for r in s.select("score").distinct().collect()} <= {0.0, 0.25, 0.5, 0.75, 1.0}
+
+
+def test_one_customer_with_a_third_of_all_rows(spark):
+    """Every third event is re-assigned to customer -1, so one key holds a
+    third of the table; its history is cut into several time blocks and
+    several position chunks, and everything must equal a plain
+    one-group-per-customer computation."""
+    from pyspark.sql import Window
+
+    from chainwatch.sources.events import event_tokens, read_table
+    from .conftest import SF01
+
+    ev = read_table(spark, SF01, "events").withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    )
+    hot = event_tokens(ev, hot_rows=500)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    plain = ev.select("user_id", "event_id", F.row_number().over(w).cast("bigint").alias("pos"))
+    cols = ["user_id", "event_id", "pos"]
+    assert _rows(hot, cols) == _rows(plain, cols)
+    assert hot.where("user_id = -1").count() > 3000
+
+    cfg_small = CFG.with_(chunk=97)
+    tok = hot.cache()
+    model = train_model(tok, CFG, key="user_id")
+    a = score_windows(tok, model, CFG, "user_id")
+    b = score_windows(tok, train_model(tok, cfg_small, key="user_id"), cfg_small, "user_id")
+    c2 = ["user_id", "pos", "t0", "t1", "t2", "t3", "t4", "score"]
+    assert _rows(a, c2) == _rows(b, c2)
+    tok.unpersist()
