@@ -206,7 +206,15 @@ def _replayed(spark, sf_dir):
     model_path = work_path(spark, "stream-model")
     save_model(train_model(t, CFG, key=KEY), model_path)
     return replay_slices(
-        t, "slice", list(range(N_SLICES)), model_path, CFG, work_path(spark, "stream"), key=KEY, order=["ts", "event_id"]
+        t,
+        "slice",
+        list(range(N_SLICES)),
+        model_path,
+        CFG,
+        work_path(spark, "stream"),
+        key=KEY,
+        order=["ts", "event_id"],
+        retain="batch",  # history rows as the original stores them: carry + last batch
     )
 
 

@@ -40,8 +40,9 @@ def _cols(x) -> list[str]:
 DEFAULT_HOT_ROWS = 1 << 22
 
 
-def _order_number(df: DataFrame, col: str) -> Column:
-    """A BIGINT that never decreases along ``col`` (micros for timestamps)."""
+def _order_number(df: DataFrame, col: str) -> Column | None:
+    """A BIGINT that never decreases along ``col`` (micros for timestamps);
+    None when the column has no such mapping (strings)."""
     from pyspark.sql.types import NumericType, TimestampNTZType, TimestampType
 
     dt = df.schema[col].dataType
@@ -51,7 +52,7 @@ def _order_number(df: DataFrame, col: str) -> Column:
         return F.unix_micros(F.col(col))
     if isinstance(dt, NumericType):
         return F.floor(F.col(col)).cast("bigint")
-    raise TypeError(f"first order column {col!r} must be numeric or a timestamp, not {dt}")
+    return None
 
 
 def sequence_positions(
@@ -66,8 +67,8 @@ def sequence_positions(
     """Add ``pos`` (BIGINT, 1..n within each key, following ``order``) and
     ``prev_<c>`` for every column ``c`` in ``carry``.
 
-    ``order`` must be unique within a key (add a tie-breaker column); its
-    first column must be numeric or a timestamp.
+    ``order`` must be unique within a key (add a tie-breaker column).  To
+    split a hot key its first column must be numeric or a timestamp.
 
     A key with more than ``hot_rows`` rows is cut into blocks of its first
     order column, each block about ``hot_rows`` rows wide if its rows are
@@ -83,6 +84,9 @@ def sequence_positions(
     keys = _cols(key)
     order = list(order)
     t = _order_number(df, order[0])
+    splittable = t is not None
+    if t is None:
+        t = F.lit(0).cast("bigint")
 
     # Hot keys: a partial aggregate (map-side combined, so a hot key costs one
     # row per map task).  Each hot key has more than hot_rows rows, so the hot
@@ -98,16 +102,24 @@ def sequence_positions(
             F.ceil((F.col("_t1") - F.col("_t0") + F.lit(1)).cast("double") * F.lit(float(hot_rows)) / F.col("_n")),
         ).cast("bigint").alias("_width"),
     )
-    # Materialise the (bounded) hot-key table once: every consumer below sees
-    # the same blocks, and when no key is hot the plan is one window per key.
-    hot = checkpointed(hot)
+    # One aggregate job decides the plan: with no hot key it is one window per
+    # key (each group then holds at most hot_rows rows).
     if hot.isEmpty():
         w1 = Window.partitionBy(*keys).orderBy(*order)
-        out = df.withColumn(pos, F.row_number().over(w1).cast("bigint"))
-        for c in carry:
-            out = out.withColumn(f"prev_{c}", F.lag(c).over(w1))
-        return out
+        return df.select(
+            "*",
+            F.row_number().over(w1).cast("bigint").alias(pos),
+            *[F.lag(c).over(w1).alias(f"prev_{c}") for c in carry],
+        )
+    # Materialise the (bounded) hot-key table once, so every consumer below
+    # sees the same blocks without re-running the aggregate.
+    hot = checkpointed(hot)
 
+    if not splittable:
+        raise ValueError(
+            f"a key has more than {hot_rows} rows; its first order column {order[0]!r} must be numeric "
+            "or a timestamp so that the key can be cut into blocks"
+        )
     blocked = df.join(F.broadcast(hot), keys, "left").select(
         *df.columns,
         F.coalesce(F.floor((t - F.col("_t0")) / F.col("_width")), F.lit(0)).cast("bigint").alias("_blk"),

@@ -1,12 +1,18 @@
 """Keyed carry of recent tokens across micro-batches.
 
-The only Python in the streaming path: per customer and micro-batch it orders
-the new tokens, prepends the last ``W - 1`` tokens kept in state, numbers
-everything with absolute positions and updates the state.  Scoring is done
-afterwards by the same Catalyst plan as batch scoring.
+The only Python in the streaming path.  Per customer and micro-batch it
+passes the new rows through unchanged (frame by frame, as Arrow delivers
+them), tags them with the number of tokens the customer had before this
+batch, emits the last ``W - 1`` tokens kept in state with their absolute
+positions, and updates the state (a count and the latest tokens).  Memory per
+call is one Arrow frame plus ``W - 1`` tokens, however many rows a customer
+has in the batch (``retain="batch"`` additionally keeps the batch's tokens,
+which is what the history table of the original stores).
 
-Because at most ``W - 1`` tokens are carried, every window that can be built
-from the emitted rows contains at least one new token, so each window is
+Positions of the new rows are assigned afterwards by Catalyst (prior count +
+rank in the batch, see ``detect.position_batch``), and scoring is the same
+plan as batch scoring.  Because at most ``W - 1`` tokens are carried, every
+window built from one batch's rows contains a new token, so each window is
 scored exactly once, in the micro-batch that completes it."""
 
 from __future__ import annotations
@@ -17,7 +23,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql.types import (
     ArrayType,
-    BooleanType,
     LongType,
     StringType,
     StructField,
@@ -32,34 +37,39 @@ STATE_SCHEMA = StructType(
 )
 
 
-def output_schema(key_field: StructField) -> StructType:
-    return StructType(
-        [
-            StructField(key_field.name, key_field.dataType),
-            StructField("pos", LongType()),
-            StructField("token", StringType()),
-            StructField("is_new", BooleanType()),
-        ]
-    )
+def output_schema(input_schema: StructType, key: str, order: Sequence[str], token: str) -> StructType:
+    fields = [StructField(key, input_schema[key].dataType)]
+    fields += [StructField(c, input_schema[c].dataType) for c in order]
+    fields += [
+        StructField("token", StringType()),
+        StructField("pos", LongType()),  # set for carried rows only
+        StructField("n_before", LongType()),
+    ]
+    return StructType(fields)
 
 
-def make_carry_function(window: int, key: str, order: Sequence[str], token: str = "token", retain: str = "batch"):
+def make_carry_function(window: int, key: str, order: Sequence[str], token: str = "token", retain: str = "tail"):
     """Build the ``applyInPandasWithState`` function.
 
-    ``retain="batch"`` stores carry + this batch's tokens (what the history
-    table of the original holds); ``"tail"`` stores only the last ``W - 1``
-    tokens.  Only the last ``W - 1`` are ever read back."""
+    ``retain="tail"`` stores the last ``W - 1`` tokens; ``"batch"`` stores
+    carry + this batch's tokens (the original's history row).  Only the last
+    ``W - 1`` are ever read back."""
     if retain not in ("batch", "tail"):
         raise ValueError(f"retain={retain!r}")
     keep = window - 1
     order = list(order)
+    cols = [*order, token]
+
+    # Everything the function uses is defined here or comes from numpy and
+    # pandas, so executors need nothing but those to run it.
+    def _latest(df: pd.DataFrame, n: int) -> pd.DataFrame:
+        """The ``n`` rows that come last in ``order``, in order."""
+        if len(df) == 0 or n == 0:
+            return df.iloc[:0]
+        idx = np.lexsort([df[c].to_numpy() for c in reversed(order)])
+        return df.iloc[idx[-n:]]
 
     def carry(key_tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        parts = list(frames)
-        batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        # stable order by the order columns (last key varies fastest)
-        ordering = np.lexsort([batch[c].to_numpy() for c in reversed(order)])
-        new_tokens = batch[token].to_numpy(dtype=object)[ordering].tolist()
         if state.exists:
             history, n_seen = state.get
             history = list(history or [])
@@ -67,19 +77,47 @@ def make_carry_function(window: int, key: str, order: Sequence[str], token: str
         else:
             history, n_seen = [], 0
         tail = history[-keep:] if keep > 0 else []
-        first = n_seen - len(tail) + 1
-        tokens = tail + new_tokens
-        kept = tokens if retain == "batch" else tokens[-keep:]
-        state.update((kept, n_seen + len(new_tokens)))
-        is_new = np.ones(len(tokens), dtype=bool)
-        is_new[: len(tail)] = False
-        yield pd.DataFrame(
-            {
-                key: [key_tuple[0]] * len(tokens),
-                "pos": np.arange(first, first + len(tokens), dtype=np.int64),
-                "token": tokens,
-                "is_new": is_new,
-            }
-        )
+        k = key_tuple[0]
+        if tail:
+            first = n_seen - len(tail) + 1
+            out = {key: [k] * len(tail)}
+            out.update({c: [None] * len(tail) for c in order})
+            out.update(
+                {
+                    "token": tail,
+                    "pos": np.arange(first, first + len(tail), dtype=np.int64),
+                    "n_before": np.full(len(tail), n_seen, dtype=np.int64),
+                }
+            )
+            yield pd.DataFrame(out)
+
+        n_new = 0
+        latest = None
+        whole = [] if retain == "batch" else None
+        for pdf in frames:
+            if len(pdf) == 0:
+                continue
+            n_new += len(pdf)
+            part = pdf[cols]
+            latest = _latest(part if latest is None else pd.concat([latest, part], ignore_index=True), keep)
+            if whole is not None:
+                whole.append(part)
+            yield pd.DataFrame(
+                {
+                    key: pdf[key].to_numpy(),
+                    **{c: pdf[c].to_numpy() for c in order},
+                    "token": pdf[token].to_numpy(dtype=object),
+                    "pos": pd.array([None] * len(pdf), dtype="Int64"),
+                    "n_before": np.full(len(pdf), n_seen, dtype=np.int64),
+                }
+            )
+        if whole is not None:
+            allrows = pd.concat(whole, ignore_index=True) if whole else None
+            new_tokens = [] if allrows is None else _latest(allrows, len(allrows))[token].tolist()
+            stored = tail + new_tokens
+        else:
+            new_tokens = [] if latest is None else latest[token].tolist()
+            stored = (tail + new_tokens)[-keep:] if keep > 0 else []
+        state.update((stored, n_seen + n_new))
 
     return carry

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import MarkovConfig
 from ..functions.text import history_message
+from ..operators.ordering import sequence_positions
 from ..operators.scoring import detect, score_windows
 from ..operators.sequences import chunk_of
 from ..sources.model_io import load_model
@@ -28,17 +29,29 @@ def carry_history(
     key: str = "customer_id",
     order: Sequence[str] = ("transaction_id",),
     token: str = "token",
-    retain: str = "batch",
+    retain: str = "tail",
 ) -> DataFrame:
-    """Streaming long form ``(key, pos, token, is_new)`` with absolute
-    positions; carried tokens come first with ``is_new = false``."""
+    """Streaming rows ``(key, order..., token, pos, n_before)``: carried
+    tokens with their absolute ``pos``, then this batch's rows with ``pos``
+    NULL and the customer's token count before the batch."""
     fn = make_carry_function(cfg.window, key, order, token, retain)
-    schema = output_schema(stream.schema[key])
+    schema = output_schema(stream.schema, key, order, token)
     return stream.select(key, *order, token).groupBy(key).applyInPandasWithState(
         fn, schema, STATE_SCHEMA, "append", "NoTimeout"
     )
 
 
+def position_batch(batch: DataFrame, *, key: str = "customer_id", order: Sequence[str] = ("transaction_id",)) -> DataFrame:
+    """Long form ``(key, pos, token, is_new)`` of one micro-batch: the new
+    rows are numbered after the customer's earlier tokens with the skew-safe
+    ``sequence_positions``."""
+    carried = batch.where(F.col("pos").isNotNull()).select(key, "pos", "token", F.lit(False).alias("is_new"))
+    new = batch.where(F.col("pos").isNull()).select(key, *order, "token", "n_before")
+    ranked = sequence_positions(new, key, list(order), pos="_rank")
+    new_long = ranked.select(key, (F.col("n_before") + F.col("_rank")).alias("pos"), "token", F.lit(True).alias("is_new"))
+    return carried.unionByName(new_long)
+
+
 def history_messages(batch: DataFrame, cfg: MarkovConfig, *, key: str = "customer_id") -> DataFrame:
     """``customerId.tok1,tok2`` of the tokens new in this batch (one message
     per customer, or per chunk of positions for a very long batch)."""
@@ -63,7 +76,7 @@ def detect_stream(
     key: str = "customer_id",
     order: Sequence[str] = ("transaction_id",),
     token: str = "token",
-    retain: str = "batch",
+    retain: str = "tail",
     trigger: dict | None = None,
     query_name: str | None = None,
     sink_format: str = "parquet",
@@ -99,10 +112,12 @@ def detect_stream(
         spark = batch.sparkSession
         batch.persist()
         try:
+            long = position_batch(batch, key=key, order=order).persist()
             model = load_model(spark, model_path)
-            write(score_batch(batch, model, cfg, key=key), alerts_path, alerts_topic, batch_id)
+            write(score_batch(long, model, cfg, key=key), alerts_path, alerts_topic, batch_id)
             if history_path or sink_format != "parquet":
-                write(history_messages(batch, cfg, key=key), history_path, history_topic, batch_id)
+                write(history_messages(long, cfg, key=key), history_path, history_topic, batch_id)
+            long.unpersist()
         finally:
             batch.unpersist()
 

@@ -27,7 +27,7 @@ def replay_slices(
     key: str = "customer_id",
     order: Sequence[str] = ("transaction_id",),
     token: str = "token",
-    retain: str = "batch",
+    retain: str = "tail",
     timeout_s: int = 600,
 ) -> dict:
     spark = rows.sparkSession

@@ -60,7 +60,9 @@ def test_single_token_slices_and_absent_customer(spark, seq_df):
     model = train_model(tokens, CFG)
     mp = work_path(spark, "test-model-small")
     save_model(model, mp)
-    paths = replay_slices(df, "slice", list(range(8)), mp, CFG.with_(threshold=-1.0), work_path(spark, "test-stream-1"))
+    paths = replay_slices(
+        df, "slice", list(range(8)), mp, CFG.with_(threshold=-1.0), work_path(spark, "test-stream-1"), retain="batch"
+    )
     got = sorted((r.customer_id, r.pos, round(r.score, 12)) for r in read_alerts(spark, paths["alerts"]).collect())
     want_df = score_windows(tokens, spark.read.parquet(mp), CFG, "customer_id")
     want = sorted((r.customer_id, r.pos, round(r.score, 12)) for r in want_df.collect())
