@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chainwatch.config import DEFAULT_CHUNK, DEFAULT_STATES, MarkovConfig
 from chainwatch.functions.states import state_index
-from chainwatch.functions.text import alert_message, parse_transaction_lines, transaction_line
+from chainwatch.functions.text import parse_transaction_lines, transaction_line
 from chainwatch.operators.model import best_successor, dense, row_entropy, row_totals, train, transition_counts
 from chainwatch.operators.scoring import detect, score_windows
 from chainwatch.operators.sequences import (
