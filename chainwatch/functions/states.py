@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 
 def states_array(states: Sequence[str]) -> Column:
-    return F.array(*[F.lit(s) for s in states])
+    """The dictionary as a literal ``ARRAY<STRING>`` (one SQL expression)."""
+    quoted = ", ".join("'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'" for s in states)
+    return F.expr(f"array({quoted})")
 
 
 def state_index(col: str | Column, states: Sequence[str]) -> Column:
