@@ -22,6 +22,7 @@ from chainwatch.operators.sequences import (
     chunk_of,
     lines_to_long,
     sequence_lines,
+    sequence_tails,
     token_windows,
     transitions,
     window_token_cols,
@@ -127,6 +128,22 @@ def q_sequence_text_model(spark, sf_dir):
     return model.select("src", "dst", "n", "row_total", "p")
 
 
+def q_score_text_model(spark, sf_dir):
+    """Score with a model that went through the dense text file (it carries
+    probabilities only, so the miss probability is the row sum minus the
+    cell)."""
+    t = _tokens(spark, sf_dir)
+    path = work_path(spark, "score-model-text")
+    write_model_text(train_model(t, CFG, key=KEY), CFG, path)
+    s = score_windows(t, read_model_text(spark, path, CFG), CFG, KEY)
+    return s.select(KEY, "pos", *WINDOW_COLS, F.round("score", 9).alias("score"))
+
+
+def q_carry_tails(spark, sf_dir):
+    tails = sequence_tails(_tokens(spark, sf_dir), KEY, CFG.window - 1)
+    return tails.select(KEY, "n_tokens", F.array_join("tail", ",").alias("tail"))
+
+
 def q_best_successor(spark, sf_dir):
     return best_successor(_model(spark, sf_dir), CFG)
 
@@ -248,6 +265,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dense_model": q_dense_model,
     "model_text_roundtrip": q_model_text_roundtrip,
     "sequence_text_model": q_sequence_text_model,
+    "score_text_model": q_score_text_model,
+    "carry_tails": q_carry_tails,
     "best_successor": q_best_successor,
     "row_entropy": q_row_entropy,
     "token_windows": q_token_windows,
@@ -416,6 +435,18 @@ select src_idx, dst_idx, src, dst, n, p from dense""",
 select src_idx, dst_idx, p from dense""",
     "sequence_text_model": f"""with {_TOK}, {_model_ctes()}
 select src, dst, n, row_total, p from model""",
+    "score_text_model": f"""with {_TOK}, {_model_ctes()}, {_win_ctes()},
+prow as (select src_idx, sum(p) as row_p from model group by src_idx),
+tm as (
+  select g.src_idx, g.dst_idx, case when r.row_p is null then 0.0 else r.row_p - coalesce(m.p, 0.0) end as term
+  from tgrid g left join model m on m.src_idx = g.src_idx and m.dst_idx = g.dst_idx
+  left join prow r on r.src_idx = g.src_idx),
+s as ({_scored_sql('tm')})
+select user_id, pos, t0, t1, t2, t3, t4, round(score, 9) as score from s""",
+    "carry_tails": f"""with {_TOK}, n as (select user_id, max(pos) as n_tokens from tok group by user_id)
+select t.user_id, n.n_tokens, string_agg(t.token, ',' order by t.pos) as tail
+from tok t join n on n.user_id = t.user_id where t.pos > n.n_tokens - {CFG.window - 1}
+group by t.user_id, n.n_tokens""",
     "best_successor": f"""with {_TOK}, {_model_ctes()}
 select src_idx, {_S}[src_idx + 1] as src, best_idx, {_S}[best_idx + 1] as best, best_p from best""",
     "row_entropy": f"""with {_TOK}, {_model_ctes()}

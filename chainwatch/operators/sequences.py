@@ -120,3 +120,18 @@ def carry_tail(tokens: str | Column, window: int) -> Column:
 def position_tokens(df: DataFrame, key: str | Sequence[str], order: Sequence[str], **kw) -> DataFrame:
     """Raw transactions with an order column → long form with dense ``pos``."""
     return sequence_positions(df, key, order, **kw)
+
+
+def sequence_tails(
+    tokens: DataFrame, key: str | Sequence[str], n: int, *, pos: str = "pos", token: str = "token"
+) -> DataFrame:
+    """The last ``n`` tokens of every sequence, in order: ``(key, n_tokens,
+    tail ARRAY<STRING>)`` — what a stream carries into its next batch.
+
+    The length per key is a partial aggregate and the tail rows are picked by
+    position, so only ``n`` rows per key are ever grouped."""
+    keys = _cols(key)
+    lengths = tokens.groupBy(*keys).agg(F.max(pos).alias("n_tokens"))
+    tail = tokens.select(*keys, pos, token).join(lengths, keys).where(F.col(pos) > F.col("n_tokens") - F.lit(n))
+    agg = tail.groupBy(*keys, "n_tokens").agg(F.sort_array(F.collect_list(F.struct(F.col(pos), F.col(token)))).alias("_s"))
+    return agg.select(*keys, "n_tokens", F.transform("_s", lambda x: x[token]).alias("tail"))

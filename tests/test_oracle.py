@@ -21,6 +21,8 @@ FAST = [
     "detect_holdout",
     "history_messages",
     "alert_messages",
+    "score_text_model",
+    "carry_tails",
 ]
 
 
