@@ -63,6 +63,7 @@ def sequence_positions(
     carry: Sequence[str] = (),
     pos: str = "pos",
     hot_rows: int = DEFAULT_HOT_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Add ``pos`` (BIGINT, 1..n within each key, following ``order``) and
     ``prev_<c>`` for every column ``c`` in ``carry``.
@@ -79,7 +80,9 @@ def sequence_positions(
 
     The hot-key table is computed eagerly (one aggregate over the key and
     the first order column); with no hot key the result is a plain window per
-    key, which is then bounded by ``hot_rows`` rows per group.
+    key, which is then bounded by ``hot_rows`` rows per group.  A caller that
+    knows the input has at most ``max_rows`` rows (a counted micro-batch) and
+    ``max_rows <= hot_rows`` skips that aggregate: no key can be hot.
     """
     keys = _cols(key)
     order = list(order)
@@ -104,7 +107,7 @@ def sequence_positions(
     )
     # One aggregate job decides the plan: with no hot key it is one window per
     # key (each group then holds at most hot_rows rows).
-    if hot.isEmpty():
+    if (max_rows is not None and max_rows <= hot_rows) or hot.isEmpty():
         w1 = Window.partitionBy(*keys).orderBy(*order)
         return df.select(
             "*",

@@ -41,13 +41,15 @@ def carry_history(
     )
 
 
-def position_batch(batch: DataFrame, *, key: str = "customer_id", order: Sequence[str] = ("transaction_id",)) -> DataFrame:
+def position_batch(
+    batch: DataFrame, *, key: str = "customer_id", order: Sequence[str] = ("transaction_id",), batch_rows: int | None = None
+) -> DataFrame:
     """Long form ``(key, pos, token, is_new)`` of one micro-batch: the new
     rows are numbered after the customer's earlier tokens with the skew-safe
-    ``sequence_positions``."""
+    ``sequence_positions`` (``batch_rows``, when known, bounds every key)."""
     carried = batch.where(F.col("pos").isNotNull()).select(key, "pos", "token", F.lit(False).alias("is_new"))
     new = batch.where(F.col("pos").isNull()).select(key, *order, "token", "n_before")
-    ranked = sequence_positions(new, key, list(order), pos="_rank")
+    ranked = sequence_positions(new, key, list(order), pos="_rank", max_rows=batch_rows)
     new_long = ranked.select(key, (F.col("n_before") + F.col("_rank")).alias("pos"), "token", F.lit(True).alias("is_new"))
     return carried.unionByName(new_long)
 
@@ -112,7 +114,8 @@ def detect_stream(
         spark = batch.sparkSession
         batch.persist()
         try:
-            long = position_batch(batch, key=key, order=order).persist()
+            n_rows = batch.count()  # materialises the cached batch
+            long = position_batch(batch, key=key, order=order, batch_rows=n_rows).persist()
             model = load_model(spark, model_path)
             write(score_batch(long, model, cfg, key=key), alerts_path, alerts_topic, batch_id)
             if history_path or sink_format != "parquet":

@@ -83,6 +83,7 @@ def test_retain_tail_keeps_only_the_carry(spark, seq_df):
     paths = replay_slices(df, "slice", [0, 1], mp, CFG, work_path(spark, "test-stream-tail"), retain="tail")
     hist = read_history(spark, paths["checkpoint"]).collect()
     assert [(r.history, r.n_seen) for r in hist] == [("NNS,NNL,NNN,HHS", 7)]
+    assert read_history(spark, paths["checkpoint"], limit=0).count() == 0
 
 
 def test_replayed_batch_is_not_duplicated(spark, seq_df):
