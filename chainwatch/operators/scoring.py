@@ -133,12 +133,7 @@ def lookup_table(model: DataFrame, cfg: MarkovConfig, algorithm: str, *, cut_lin
     With ``cut_lineage`` it is checkpointed into the shared checkpoint folder,
     so scoring neither re-runs training nor loses the model with an
     executor."""
-    alg = resolve_algorithm(algorithm)
-    table = {
-        "miss_probability": miss_probability_terms,
-        "miss_rate": miss_rate_terms,
-        "entropy": entropy_terms,
-    }[alg](model, cfg)
+    table = SCORERS[resolve_algorithm(algorithm)](model, cfg)
     if cut_lineage:
         table = checkpointed(table.coalesce(1))
     return table
@@ -156,7 +151,12 @@ def score_windows(
     cut_lineage: bool = True,
 ) -> DataFrame:
     """Score every complete window: ``(key, pos, chunk, t0..t{W-1}, score)``
-    where ``pos`` is the window's first position."""
+    where ``pos`` is the window's first position.
+
+    One shuffle at most (the halo window on ``(key, chunk)``; none when the
+    tokens are already partitioned by the key) and one reused broadcast of
+    the term table.  The entropy scorer's expanding prefix additionally reads
+    the window stage a second time for its per-chunk totals."""
     keys = _cols(key)
     alg = resolve_algorithm(algorithm or cfg.algorithm)
     m = cfg.window - 1
