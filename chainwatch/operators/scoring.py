@@ -2,9 +2,10 @@
 
 Every scorer is a per-transition term looked up in a small table keyed by
 (current state index, next state index), then combined over the ``W - 1``
-transitions of a window and divided by ``W - 1``.  The lookup table has
-S × (S + 1) rows (next state -1 = unknown token), so it is broadcast; the
-window rows never leave their ``(customer, chunk)`` partition.
+transitions of a window and divided by ``W - 1``.  The lookup table is
+dense with S × (S + 1) rows (next state -1 = unknown token), bounded by the
+dictionary, so it is inlined as literal arrays read by position; the window
+rows never leave their ``(customer, chunk)`` partition.
 
 =================  ==========================================================
 MissProbability    Σ over the window of P(current → anything but next):
@@ -21,16 +22,16 @@ EntropyReduction   expanding-prefix ratio Σ(H - h(next)) / Σ H over every
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MarkovConfig
 from ..functions.states import checked_index, state_index
 from ..functions.text import alert_message
-from ..session import checkpointed
 from .model import best_successor, term_grid
 from .ordering import _cols, running_total
 from .sequences import token_windows, window_token_cols
@@ -103,40 +104,54 @@ def resolve_algorithm(name: str) -> str:
 
 def _window_indices(cfg: MarkovConfig) -> list:
     """``idx0..idx{W-1}`` expressions: every token but the last is a current
-    state (policy applies), the last is only ever a next state (unknown →
+    state (an unknown one fails the job, or gives NULL with
+    ``on_unknown="null"``), the last is only ever a next state (unknown →
     -1)."""
     w = cfg.window
-    idx = [checked_index(f"t{i}", cfg.states, cfg.on_unknown, "current state") for i in range(w - 1)]
+    policy = "null" if cfg.on_unknown == "null" else "error"
+    idx = [checked_index(f"t{i}", cfg.states, policy, "current state") for i in range(w - 1)]
     idx.append(state_index(f"t{w - 1}", cfg.states))
     return idx
 
 
-def _lookup(win: DataFrame, table: DataFrame, cfg: MarkovConfig, value_cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """Left-join the term table once per transition of the window; returns
-    ``keep`` plus ``<value><i>`` for each transition ``i``.
-
-    The same table is joined under W - 1 aliases, so Spark plans a single
-    broadcast and reuses it for every transition."""
+def lookup_table(model: DataFrame, cfg: MarkovConfig, algorithm: str) -> DataFrame:
+    """The per-transition term table of a scorer: one row per (current state,
+    next state or -1), S × (S + 1) rows."""
+    return SCORERS[resolve_algorithm(algorithm)](model, cfg)
+
+
+def term_arrays(table: DataFrame, cfg: MarkovConfig, value_cols: Sequence[str]) -> dict[str, Column]:
+    """The term table as literal arrays indexed by ``src * (S + 1) + dst + 1``.
+
+    The table is dense and has exactly S × (S + 1) rows (checked against the
+    dictionary size by ``MarkovConfig``), so it is collected once and inlined:
+    every transition is then an O(1) array read inside the generated code, with
+    no join, no broadcast exchange and no lineage back to training."""
+    s = cfg.n_states
+    rows = table.select("src_idx", "dst_idx", *value_cols).collect()
+    if len(rows) != s * (s + 1):
+        raise ValueError(f"term table has {len(rows)} rows, expected {s * (s + 1)}")
+    types = dict(table.select(*value_cols).dtypes)
+    out = {}
+    for v in value_cols:
+        vals = [None] * (s * (s + 1))
+        for r in rows:
+            vals[r["src_idx"] * (s + 1) + r["dst_idx"] + 1] = r[v]
+        # JSON carries doubles exactly (shortest round-trip text both ways)
+        out[v] = F.from_json(F.lit(json.dumps(vals)), f"array<{types[v]}>")
+    return out
+
+
+def _lookup(win: DataFrame, arrays: dict[str, Column], cfg: MarkovConfig, keep: Sequence[str]) -> DataFrame:
+    """``keep`` plus ``<value><i>`` for every transition ``i`` of the window."""
     idx = _window_indices(cfg)
-    out = win.alias("_w")
+    width = cfg.n_states + 1
+    vals = []
     for i in range(cfg.window - 1):
-        a = f"_m{i}"
-        cond = (idx[i] == F.col(f"{a}.src_idx")) & (idx[i + 1] == F.col(f"{a}.dst_idx"))
-        out = out.join(F.broadcast(table.alias(a)), cond, "left")
-    vals = [F.col(f"_m{i}.{v}").alias(f"{v}{i}") for i in range(cfg.window - 1) for v in value_cols]
-    return out.select(*[F.col(f"_w.{c}") for c in keep], *vals)
-
-
-def lookup_table(model: DataFrame, cfg: MarkovConfig, algorithm: str, *, cut_lineage: bool = True) -> DataFrame:
-    """The per-transition term table of a scorer (S × (S + 1) rows).
-
-    With ``cut_lineage`` it is checkpointed into the shared checkpoint folder,
-    so scoring neither re-runs training nor loses the model with an
-    executor."""
-    table = SCORERS[resolve_algorithm(algorithm)](model, cfg)
-    if cut_lineage:
-        table = checkpointed(table.coalesce(1))
-    return table
+        at = idx[i] * F.lit(width) + idx[i + 1] + F.lit(2)  # 1-based
+        for v, arr in arrays.items():
+            vals.append(F.try_element_at(arr, at.cast("int")).alias(f"{v}{i}"))
+    return win.select(*keep, *vals)
 
 
 def score_windows(
@@ -148,28 +163,28 @@ def score_windows(
     algorithm: str | None = None,
     pos: str = "pos",
     token: str = "token",
-    cut_lineage: bool = True,
 ) -> DataFrame:
     """Score every complete window: ``(key, pos, chunk, t0..t{W-1}, score)``
     where ``pos`` is the window's first position.
 
     One shuffle at most (the halo window on ``(key, chunk)``; none when the
-    tokens are already partitioned by the key) and one reused broadcast of
-    the term table.  The entropy scorer's expanding prefix additionally reads
-    the window stage a second time for its per-chunk totals."""
+    tokens are already partitioned by the key); the model enters as literal
+    arrays of S × (S + 1) terms (one small job collects them).  The entropy
+    scorer's expanding prefix additionally reads the window stage a second
+    time for its per-chunk totals."""
     keys = _cols(key)
     alg = resolve_algorithm(algorithm or cfg.algorithm)
     m = cfg.window - 1
     win = token_windows(tokens, keys, cfg, pos=pos, token=token)
     toks = window_token_cols(cfg.window)
     base = [*keys, pos, "chunk", *toks]
-    table = lookup_table(model, cfg, alg, cut_lineage=cut_lineage)
+    table = lookup_table(model, cfg, alg)
     if alg in ("miss_probability", "miss_rate"):
-        looked = _lookup(win, table, cfg, ["term"], base)
+        looked = _lookup(win, term_arrays(table, cfg, ["term"]), cfg, base)
         total = reduce(lambda a, b: a + b, [F.col(f"term{i}") for i in range(m)])
         return looked.select(*base, (total / F.lit(float(m))).alias("score"))
 
-    looked = _lookup(win, table, cfg, ["num", "den", "undefined"], base)
+    looked = _lookup(win, term_arrays(table, cfg, ["num", "den", "undefined"]), cfg, base)
     # a NULL lookup (unknown current state under on_unknown="null") is undefined too
     bad = [F.coalesce(F.col(f"undefined{i}"), F.lit(True)).cast("int") for i in range(m)]
     prefix = running_total(
