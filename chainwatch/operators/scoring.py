@@ -204,13 +204,13 @@ def score_windows(
 
 def detect(scored: DataFrame, cfg: MarkovConfig, key: str | Sequence[str], *, threshold: float | None = None) -> DataFrame:
     """Windows whose score is strictly above the threshold (NULL never
-    passes), with the alert message."""
+    passes), with the alert message (it names the first key column, the
+    customer)."""
     keys = _cols(key)
     t = cfg.threshold if threshold is None else threshold
     toks = window_token_cols(cfg.window)
-    msg_key = keys[0] if len(keys) == 1 else F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     return scored.where(F.col("score") > F.lit(t)).select(
-        "*", alert_message(msg_key, toks, F.col("score")).alias("message")
+        "*", alert_message(F.col(keys[0]), toks, F.col("score")).alias("message")
     )
 
 
