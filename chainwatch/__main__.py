@@ -19,18 +19,18 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .config import MarkovConfig, config_from_properties
-from .operators.scoring import detect, score_windows
-from .operators.sequences import build_sequences
-from .plans.jobs import train_model, transactions_to_tokens
-from .sources.model_io import load_model, read_model_text, save_model, write_model_text
-from .sources.transactions import (
+from chainwatch.config import MarkovConfig, config_from_properties
+from chainwatch.operators.scoring import detect, score_windows
+from chainwatch.operators.sequences import build_sequences
+from chainwatch.plans.jobs import train_model, transactions_to_tokens
+from chainwatch.sources.model_io import load_model, read_model_text, save_model, write_model_text
+from chainwatch.sources.transactions import (
     read_sequence_lines,
     read_transaction_stream,
     read_transactions,
     write_sequence_lines,
 )
-from .streaming.detect import detect_stream
+from chainwatch.streaming.detect import detect_stream
 
 
 def _config(args) -> MarkovConfig:
