@@ -125,7 +125,34 @@ def sequence_positions(
         )
     blocked = df.join(F.broadcast(hot), keys, "left").select(
         *df.columns,
-        F.coalesce(F.floor((t - F.col("_t0")) / F.col("_width")), F.lit(0)).cast("bigint").alias("_blk"),
+        t.alias("_t"),
+        F.coalesce(F.floor((t - F.col("_t0")) / F.col("_width")), F.lit(0)).cast("bigint").alias("_b1"),
+    )
+    # Second level: a block holding more than 2 * hot_rows rows (a burst much
+    # shorter than the key's block width) is cut again with a width taken from
+    # its own span and count.  Heavy blocks hold more than 2 * hot_rows rows
+    # each, so their table has at most total_rows / (2 * hot_rows) rows.
+    heavy = (
+        blocked.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+        .groupBy(*keys, "_b1")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_u0"), F.max("_t").alias("_u1"))
+        .where(F.col("_n") > F.lit(2 * hot_rows))
+        .select(
+            *keys,
+            "_b1",
+            "_u0",
+            F.greatest(
+                F.lit(1),
+                F.ceil((F.col("_u1") - F.col("_u0") + F.lit(1)).cast("double") * F.lit(float(hot_rows)) / F.col("_n")),
+            ).cast("bigint").alias("_w2"),
+        )
+    )
+    heavy = checkpointed(heavy)
+    # the block id orders (level-1 block, sub-block) lexicographically; a heavy
+    # block has about rows / hot_rows sub-blocks, far below the 2**31 stride
+    sub = F.coalesce(F.floor((F.col("_t") - F.col("_u0")) / F.col("_w2")), F.lit(0)).cast("bigint")
+    blocked = blocked.join(F.broadcast(heavy), [*keys, "_b1"], "left").select(
+        *df.columns, (F.col("_b1") * F.lit(1 << 31) + sub).alias("_blk")
     )
 
     w = Window.partitionBy(*keys, "_blk").orderBy(*order)

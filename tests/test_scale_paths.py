@@ -84,3 +84,24 @@ def test_one_customer_with_a_third_of_all_rows(spark):
     c2 = ["user_id", "pos", "t0", "t1", "t2", "t3", "t4", "score"]
     assert _rows(a, c2) == _rows(b, c2)
     tok.unpersist()
+
+
+def test_burst_inside_a_hot_key_is_split_again(spark):
+    """Half of the hot customer's events are squeezed into one day, far
+    narrower than its first-level blocks: the heavy block is cut again, and
+    positions still equal the plain computation."""
+    from pyspark.sql import Window
+
+    from chainwatch.sources.events import event_tokens, read_table
+    from .conftest import SF01
+
+    ev = read_table(spark, SF01, "events").withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    )
+    burst = F.expr("TIMESTAMP_NTZ'2024-01-15 00:00:00' + make_dt_interval(0, 0, 0, event_id * 8.64)")
+    ev = ev.withColumn("ts", F.when(F.col("event_id") % 6 == 0, burst).otherwise(F.col("ts")))
+    hot = event_tokens(ev, hot_rows=200)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    plain = ev.select("user_id", "event_id", F.row_number().over(w).cast("bigint").alias("pos"))
+    cols = ["user_id", "event_id", "pos"]
+    assert _rows(hot, cols) == _rows(plain, cols)
