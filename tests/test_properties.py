@@ -46,3 +46,12 @@ def test_transactions_csv_and_text(spark):
     b = read_transactions(spark, path, "csv")
     rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert rows(a) == rows(b) and len(rows(a)) == 1000
+
+
+def test_recommended_conf_sizes_partitions():
+    from chainwatch.session import recommended_conf
+
+    conf = recommended_conf(100 * (1 << 40))  # 100 TiB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 4096
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(recommended_conf(1 << 20)["spark.sql.shuffle.partitions"]) == 200

@@ -136,3 +136,20 @@ def test_text_transaction_stream(spark, seq_df):
     q.awaitTermination(300)
     got = sorted((r.customer_id, r.pos, r.score) for r in read_alerts(spark, f"{out}/alerts").collect())
     assert got == [("a", 1, 0.25), ("a", 2, 0.25)]
+
+
+def test_console_sink(spark, seq_df, capsys):
+    from chainwatch.streaming.detect import detect_stream
+
+    toks = {"a": ["NNL", "NNN", "NNL", "NNS", "NNL", "NNN"]}
+    rows = [("a", i + 1, t) for i, t in enumerate(toks["a"])]
+    src = work_path(spark, "test-console-in")
+    spark.createDataFrame(rows, "customer_id string, transaction_id bigint, token string").write.parquet(src)
+    mp = work_path(spark, "test-console-model")
+    save_model(train_model(seq_df(toks), CFG), mp)
+    stream = spark.readStream.schema("customer_id string, transaction_id bigint, token string").parquet(src)
+    q = detect_stream(stream, mp, CFG.with_(threshold=0.2), checkpoint=work_path(spark, "test-console-ck"),
+                      alerts_path=None, sink_format="console", trigger={"availableNow": True})
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert "a : NNL NNN NNL NNS NNL : 0.25" in capsys.readouterr().out
