@@ -8,9 +8,10 @@ groups:
 
 ``sequence_positions``
     Dense 1-based position of every row inside its key, plus the previous
-    row's value of chosen columns.  A hot key is cut into time blocks of about
-    ``hot_rows`` rows; each (key, block) is numbered by a window and shifted by
-    the counts of the key's earlier blocks, taken from a small block table.
+    row's value of chosen columns.  The rows of hot keys are range-partitioned
+    on the full order (checkpointed, so the slices are fixed); each (key,
+    slice) is numbered by a window and shifted by the counts of the key's
+    earlier slices, taken from a small slice table.
 
 ``with_following``
     Values of the next ``k`` rows.  Positions are cut into chunks of ``chunk``
@@ -40,21 +41,6 @@ def _cols(x) -> list[str]:
 DEFAULT_HOT_ROWS = 1 << 22
 
 
-def _order_number(df: DataFrame, col: str) -> Column | None:
-    """A BIGINT that never decreases along ``col`` (micros for timestamps);
-    None when the column has no such mapping (strings)."""
-    from pyspark.sql.types import NumericType, TimestampNTZType, TimestampType
-
-    dt = df.schema[col].dataType
-    if isinstance(dt, TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
-    if isinstance(dt, TimestampType):
-        return F.unix_micros(F.col(col))
-    if isinstance(dt, NumericType):
-        return F.floor(F.col(col)).cast("bigint")
-    return None
-
-
 def sequence_positions(
     df: DataFrame,
     key: str | Sequence[str],
@@ -68,120 +54,80 @@ def sequence_positions(
     """Add ``pos`` (BIGINT, 1..n within each key, following ``order``) and
     ``prev_<c>`` for every column ``c`` in ``carry``.
 
-    ``order`` must be unique within a key (add a tie-breaker column).  To
-    split a hot key its first column must be numeric or a timestamp.
-
-    A key with more than ``hot_rows`` rows is cut into blocks of its first
-    order column, each block about ``hot_rows`` rows wide if its rows are
-    spread over time; other keys form one block.  Rows are numbered inside
-    (key, block) and shifted by the row count of the key's earlier blocks.
-    Block boundaries are a pure function of the data, so every recomputation
-    (task retry, lost executor, a second consumer) gives the same numbering.
-
-    The hot-key table is computed eagerly (one aggregate over the key and
-    the first order column); with no hot key the result is a plain window per
-    key, which is then bounded by ``hot_rows`` rows per group.  A caller that
-    knows the input has at most ``max_rows`` rows (a counted micro-batch) and
-    ``max_rows <= hot_rows`` skips that aggregate: no key can be hot.
+    ``order`` must be unique within a key (add a tie-breaker column).
+
+    Keys with at most ``hot_rows`` rows are numbered by one window per key.
+    The rows of hotter keys are range-partitioned on ``(key, order...)``:
+    Spark samples the composite key, so a hot key is spread over about
+    ``rows / hot_rows`` partitions whatever the distribution of its order
+    values (ties in the first order column are split by the next one).  That
+    assignment is checkpointed into the shared folder, so every later read
+    (task retry, lost executor, a second consumer) sees the same slices.
+    Each (key, slice) is numbered by a window and shifted by the row count of
+    the key's earlier slices, taken from a slice table of at most
+    ``#hot keys + #slices`` rows.
+
+    Finding hot keys is one eager aggregate (a count per key, map-side
+    combined); a caller that knows the input has at most ``max_rows`` rows
+    (a counted micro-batch) and ``max_rows <= hot_rows`` skips it.
     """
     keys = _cols(key)
     order = list(order)
-    t = _order_number(df, order[0])
-    splittable = t is not None
-    if t is None:
-        t = F.lit(0).cast("bigint")
 
-    # Hot keys: a partial aggregate (map-side combined, so a hot key costs one
-    # row per map task).  Each hot key has more than hot_rows rows, so the hot
-    # table has at most total_rows / hot_rows rows: a proven bound, broadcast.
-    stats = df.select(*keys, t.alias("_t")).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t0"), F.max("_t").alias("_t1")
-    )
-    hot = stats.where(F.col("_n") > F.lit(hot_rows)).select(
-        *keys,
-        "_t0",
-        F.greatest(
-            F.lit(1),
-            F.ceil((F.col("_t1") - F.col("_t0") + F.lit(1)).cast("double") * F.lit(float(hot_rows)) / F.col("_n")),
-        ).cast("bigint").alias("_width"),
-    )
-    # One aggregate job decides the plan: with no hot key it is one window per
-    # key (each group then holds at most hot_rows rows).
-    if (max_rows is not None and max_rows <= hot_rows) or hot.isEmpty():
+    def plain(frame: DataFrame) -> DataFrame:
         w1 = Window.partitionBy(*keys).orderBy(*order)
-        return df.select(
+        return frame.select(
             "*",
             F.row_number().over(w1).cast("bigint").alias(pos),
             *[F.lag(c).over(w1).alias(f"prev_{c}") for c in carry],
         )
-    # Materialise the (bounded) hot-key table once, so every consumer below
-    # sees the same blocks without re-running the aggregate.
+
+    if max_rows is not None and max_rows <= hot_rows:
+        return plain(df)
+    # Hot keys: a partial aggregate (map-side combined, so a hot key costs one
+    # row per map task).  Each hot key has more than hot_rows rows, so the hot
+    # table has at most total_rows / hot_rows rows: a proven bound, broadcast.
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(hot_rows))
+    if hot.isEmpty():
+        return plain(df)
     hot = checkpointed(hot)
+    hot_keys = F.broadcast(hot.select(*keys))
+    n_hot = hot.agg(F.sum("_n")).first()[0]
+    slices = max(1, -(-n_hot // hot_rows))
 
-    if not splittable:
-        raise ValueError(
-            f"a key has more than {hot_rows} rows; its first order column {order[0]!r} must be numeric "
-            "or a timestamp so that the key can be cut into blocks"
-        )
-    blocked = df.join(F.broadcast(hot), keys, "left").select(
-        *df.columns,
-        t.alias("_t"),
-        F.coalesce(F.floor((t - F.col("_t0")) / F.col("_width")), F.lit(0)).cast("bigint").alias("_b1"),
-    )
-    # Second level: a block holding more than 2 * hot_rows rows (a burst much
-    # shorter than the key's block width) is cut again with a width taken from
-    # its own span and count.  Heavy blocks hold more than 2 * hot_rows rows
-    # each, so their table has at most total_rows / (2 * hot_rows) rows.
-    heavy = (
-        blocked.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
-        .groupBy(*keys, "_b1")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_u0"), F.max("_t").alias("_u1"))
-        .where(F.col("_n") > F.lit(2 * hot_rows))
-        .select(
-            *keys,
-            "_b1",
-            "_u0",
-            F.greatest(
-                F.lit(1),
-                F.ceil((F.col("_u1") - F.col("_u0") + F.lit(1)).cast("double") * F.lit(float(hot_rows)) / F.col("_n")),
-            ).cast("bigint").alias("_w2"),
-        )
-    )
-    heavy = checkpointed(heavy)
-    # the block id orders (level-1 block, sub-block) lexicographically; a heavy
-    # block has about rows / hot_rows sub-blocks, far below the 2**31 stride
-    sub = F.coalesce(F.floor((F.col("_t") - F.col("_u0")) / F.col("_w2")), F.lit(0)).cast("bigint")
-    blocked = blocked.join(F.broadcast(heavy), [*keys, "_b1"], "left").select(
-        *df.columns, (F.col("_b1") * F.lit(1 << 31) + sub).alias("_blk")
-    )
+    cold = plain(df.join(hot_keys, keys, "left_anti"))
 
+    # Range-partition only the hot keys' rows and materialise the assignment.
+    ranged = checkpointed(
+        df.join(hot_keys, keys, "left_semi")
+        .repartitionByRange(slices, *keys, *order)
+        .withColumn("_blk", F.spark_partition_id())
+    )
     w = Window.partitionBy(*keys, "_blk").orderBy(*order)
-    local = blocked.withColumn("_lrn", F.row_number().over(w))
-    for c in carry:
-        local = local.withColumn(f"_lprev_{c}", F.lag(c).over(w))
-
-    # Offsets of the blocks of hot keys (#rows <= 2 * total_rows / hot_rows).
+    local = ranged.select(
+        "*",
+        F.row_number().over(w).alias("_lrn"),
+        *[F.lag(c).over(w).alias(f"_lprev_{c}") for c in carry],
+    )
     order_key = F.struct(*order)
     block_aggs = [F.count(F.lit(1)).alias("_bn")]
     block_aggs += [F.max_by(c, order_key).alias(f"_last_{c}") for c in carry]
-    blocks = blocked.join(F.broadcast(hot.select(*keys)), keys, "left_semi").groupBy(*keys, "_blk").agg(*block_aggs)
     wk = Window.partitionBy(*keys).orderBy("_blk")
-    blocks = blocks.select(
+    blocks = ranged.groupBy(*keys, "_blk").agg(*block_aggs).select(
         *keys,
         "_blk",
         F.coalesce(F.sum("_bn").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         *[F.lag(f"_last_{c}").over(wk).alias(f"_bprev_{c}") for c in carry],
     )
-
-    out = local.join(blocks, [*keys, "_blk"], "left")
-    out = out.withColumn(pos, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lrn")).cast("bigint"))
-    for c in carry:
-        out = out.withColumn(
-            f"prev_{c}",
-            F.when(F.col("_lrn") == 1, F.col(f"_bprev_{c}")).otherwise(F.col(f"_lprev_{c}")),
-        )
-    helper = ["_blk", "_lrn", "_off"] + [f"_lprev_{c}" for c in carry] + [f"_bprev_{c}" for c in carry]
-    return out.drop(*helper)
+    warm = local.join(blocks, [*keys, "_blk"]).select(
+        *df.columns,
+        (F.col("_off") + F.col("_lrn")).cast("bigint").alias(pos),
+        *[
+            F.when(F.col("_lrn") == 1, F.col(f"_bprev_{c}")).otherwise(F.col(f"_lprev_{c}")).alias(f"prev_{c}")
+            for c in carry
+        ],
+    )
+    return cold.unionByName(warm)
 
 
 def chunk_of(pos: str | Column, chunk: int) -> Column:

@@ -105,3 +105,23 @@ def test_burst_inside_a_hot_key_is_split_again(spark):
     plain = ev.select("user_id", "event_id", F.row_number().over(w).cast("bigint").alias("pos"))
     cols = ["user_id", "event_id", "pos"]
     assert _rows(hot, cols) == _rows(plain, cols)
+
+
+def test_hot_key_with_one_timestamp(spark):
+    """A third of all events belong to one customer and share one instant:
+    the slices split them by the next order column."""
+    from pyspark.sql import Window
+
+    from chainwatch.sources.events import event_tokens, read_table
+    from .conftest import SF01
+
+    ev = read_table(spark, SF01, "events")
+    same = F.col("event_id") % 3 == 0
+    ev = ev.withColumn("user_id", F.when(same, F.lit(-1)).otherwise(F.col("user_id"))).withColumn(
+        "ts", F.when(same, F.expr("TIMESTAMP_NTZ'2024-01-15 00:00:00'")).otherwise(F.col("ts"))
+    )
+    hot = event_tokens(ev, hot_rows=200)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    plain = ev.select("user_id", "event_id", F.row_number().over(w).cast("bigint").alias("pos"))
+    cols = ["user_id", "event_id", "pos"]
+    assert _rows(hot, cols) == _rows(plain, cols)
