@@ -101,25 +101,25 @@ def sequence_positions(
     ranged = checkpointed(
         df.join(hot_keys, keys, "left_semi")
         .repartitionByRange(slices, *keys, *order)
-        .withColumn("_blk", F.spark_partition_id())
+        .withColumn("_slice", F.spark_partition_id())
     )
-    w = Window.partitionBy(*keys, "_blk").orderBy(*order)
+    w = Window.partitionBy(*keys, "_slice").orderBy(*order)
     local = ranged.select(
         "*",
         F.row_number().over(w).alias("_lrn"),
         *[F.lag(c).over(w).alias(f"_lprev_{c}") for c in carry],
     )
     order_key = F.struct(*order)
-    block_aggs = [F.count(F.lit(1)).alias("_bn")]
-    block_aggs += [F.max_by(c, order_key).alias(f"_last_{c}") for c in carry]
-    wk = Window.partitionBy(*keys).orderBy("_blk")
-    blocks = ranged.groupBy(*keys, "_blk").agg(*block_aggs).select(
+    slice_aggs = [F.count(F.lit(1)).alias("_bn")]
+    slice_aggs += [F.max_by(c, order_key).alias(f"_last_{c}") for c in carry]
+    wk = Window.partitionBy(*keys).orderBy("_slice")
+    offsets = ranged.groupBy(*keys, "_slice").agg(*slice_aggs).select(
         *keys,
-        "_blk",
+        "_slice",
         F.coalesce(F.sum("_bn").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         *[F.lag(f"_last_{c}").over(wk).alias(f"_bprev_{c}") for c in carry],
     )
-    warm = local.join(blocks, [*keys, "_blk"]).select(
+    warm = local.join(offsets, [*keys, "_slice"]).select(
         *df.columns,
         (F.col("_off") + F.col("_lrn")).cast("bigint").alias(pos),
         *[
