@@ -24,3 +24,23 @@ def test_train_then_score(spark):
                  "--alerts-out", alerts, "--threshold", "0.9"]) == 0
     got = spark.read.parquet(alerts)
     assert got.count() > 0 and got.where(F.col("score") <= 0.9).count() == 0
+
+
+def test_stream_command(spark, seq_df):
+    from chainwatch.config import MarkovConfig
+    from chainwatch.plans.jobs import train_model
+    from chainwatch.sources.model_io import save_model
+    from chainwatch.streaming.detect import read_alerts
+
+    toks = {"a": ["NNL", "NNN", "NNL", "NNS", "NNL", "NNN"]}
+    src = work_path(spark, "cli-stream-in")
+    rows = [("a", i + 1, t) for i, t in enumerate(toks["a"])]
+    spark.createDataFrame(rows, "customer_id string, transaction_id bigint, token string").write.parquet(src)
+    model = work_path(spark, "cli-stream-model")
+    save_model(train_model(seq_df(toks), MarkovConfig()), model)
+    out = work_path(spark, "cli-stream-out")
+    assert main(["stream", "--source", "parquet", "--path", src, "--model", model, "--threshold", "0.2",
+                 "--alerts-out", f"{out}/alerts", "--history-out", f"{out}/history",
+                 "--checkpoint", f"{out}/ck", "--available-now"]) == 0
+    got = sorted((r.customer_id, r.pos, r.score) for r in read_alerts(spark, f"{out}/alerts").collect())
+    assert got == [("a", 1, 0.25), ("a", 2, 0.25)]
