@@ -19,7 +19,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from chainwatch.config import MarkovConfig, config_from_properties
+from chainwatch.config import DEFAULT_INPUT_TOPIC, MarkovConfig, config_from_properties
 from chainwatch.operators.scoring import detect, score_windows
 from chainwatch.operators.sequences import build_sequences
 from chainwatch.plans.jobs import train_model, transactions_to_tokens
@@ -75,6 +75,8 @@ def cmd_score(spark, args) -> None:
 def cmd_stream(spark, args) -> None:
     cfg = _config(args)
     kafka = dict(kv.split("=", 1) for kv in (args.kafka_option or []))
+    if args.source == "kafka" and not {"subscribe", "assign", "subscribePattern"} & kafka.keys():
+        kafka["subscribe"] = DEFAULT_INPUT_TOPIC
     stream = read_transaction_stream(spark, args.source, path=args.path, kafka_options=kafka)
     order = ["kafka_partition", "kafka_offset"] if args.source == "kafka" else ["transaction_id"]
     trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}

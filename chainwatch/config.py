@@ -20,6 +20,10 @@ DEFAULT_WINDOW = 5
 DEFAULT_THRESHOLD = 0.96
 DEFAULT_ALGORITHM = "MissProbability"
 DEFAULT_BATCH_INTERVAL = "10 seconds"
+# topic names of the three message streams (input, history out, alerts out)
+DEFAULT_INPUT_TOPIC = "real-time-cc"
+DEFAULT_HISTORY_TOPIC = "user-trans-history"
+DEFAULT_ALERTS_TOPIC = "candidate-fraud-trans"
 
 # Sequences are cut into chunks of this many positions for every ordered
 # operator (lead, running sum, line export), so no task ever holds more than

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import MarkovConfig
+from ..config import DEFAULT_ALERTS_TOPIC, DEFAULT_HISTORY_TOPIC, MarkovConfig
 from ..functions.text import history_message
 from ..operators.ordering import sequence_positions
 from ..operators.scoring import detect, score_windows
@@ -82,8 +82,8 @@ def detect_stream(
     query_name: str | None = None,
     sink_format: str = "parquet",
     kafka_options: dict | None = None,
-    alerts_topic: str = "candidate-fraud-trans",
-    history_topic: str = "user-trans-history",
+    alerts_topic: str = DEFAULT_ALERTS_TOPIC,
+    history_topic: str = DEFAULT_HISTORY_TOPIC,
 ) -> StreamingQuery:
     """Start the detection query.  ``trigger`` defaults to the configured
     processing-time interval; pass ``{"availableNow": True}`` to drain the
