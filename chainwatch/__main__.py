@@ -91,7 +91,7 @@ def cmd_stream(spark, args) -> None:
         retain=args.retain,
         trigger=trigger,
         sink_format=args.sink,
-        kafka_options=kafka,
+        kafka_options={k: v for k, v in kafka.items() if k.startswith("kafka.")},  # connection only
     )
     q.awaitTermination()
 
