@@ -289,8 +289,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_detect_miss_probability(spark, "/root/testdata/sf0.001")
 
 
+def _text_operators():
+    """Queries and SQL of the text-corpus operators, which are optional: without
+    ``chainwatch/llm`` and ``corpus_pipeline.py`` everything else works."""
+    try:
+        import corpus_pipeline
+        from chainwatch.llm import queries as text
+    except ModuleNotFoundError as e:
+        if e.name != "corpus_pipeline" and not (e.name or "").startswith("chainwatch.llm"):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**text.queries(), "pipeline": corpus_pipeline.run}, {**text.oracle_sql(), **sql}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_text_operators()[0]}
 
 
 # --------------------------------------------------------------------------
@@ -491,4 +505,4 @@ from s where score > 0.96""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _SQL.items() if k in _QUERIES}
+    return {**{k: v for k, v in _SQL.items() if k in _QUERIES}, **_text_operators()[1]}

@@ -48,7 +48,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E._QUERIES) <= set(E.oracle_sql())
 
 
 def test_entry(spark):
