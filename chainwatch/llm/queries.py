@@ -5,9 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chainwatch.llm import bpe, exact_dedup
+from chainwatch.llm import bpe, exact_dedup, tokenfile
 from chainwatch.llm._common import read_table
+from chainwatch.session import work_path
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -22,6 +24,14 @@ def op3_bpe(spark, sf_dir):
     )
 
 
+def op9_token_file(spark, sf_dir):
+    path = work_path(spark, "token-files")
+    tokenfile.write(read_table(spark, sf_dir, "documents"), WORD_BPE, path)
+    return tokenfile.read(spark, path).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -38,6 +48,7 @@ from n window w as (partition by t)
 def queries():
     return {
         "op3_bpe": op3_bpe,
+        "op9_token_file": op9_token_file,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
