@@ -58,12 +58,13 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) ->
         yield batch.slice(a, b - a)
 
 
-def with_text_columns(df: DataFrame, text: str, make: Callable[[], Callable], fields: list[T.StructField]) -> DataFrame:
+def with_text_columns(df: DataFrame, text: str, make: Callable[[], Callable], fields: list[T.StructField], also: list[str] = ()) -> DataFrame:
     """Append columns computed from ``text`` by a Python function.
 
     ``make()`` runs once per task and returns a function from a list of texts
-    (None for null) to one Arrow array or list per field.  All other columns
-    pass through untouched; one with the name of a computed column is replaced."""
+    (None for null) to one Arrow array or list per field.  With ``also``,
+    it gets tuples of the text and those columns instead.  All other columns pass
+    through untouched; one with the name of a computed column is replaced."""
     new = {f.name for f in fields}
     kept = [f for f in df.schema.fields if f.name not in new]
     schema = T.StructType([*kept, *fields])
@@ -74,7 +75,8 @@ def with_text_columns(df: DataFrame, text: str, make: Callable[[], Callable], fi
         compute = make()
         for whole in batches:
             for batch in text_slices(whole, text):
-                made = compute(batch.column(text).to_pylist())
+                texts = batch.column(text).to_pylist()
+                made = compute(list(zip(texts, *(batch.column(c).to_pylist() for c in also))) if also else texts)
                 made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, arrow)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *made], names=names)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chainwatch.llm import bpe, exact_dedup, tokenfile
+from chainwatch.llm import bpe, exact_dedup, line_dedup, tokenfile
 from chainwatch.llm._common import read_table
 from chainwatch.session import work_path
 
@@ -24,6 +24,29 @@ def op3_bpe(spark, sf_dir):
     )
 
 
+def op7_line_dedup(spark, sf_dir):
+    kept = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+with l as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+  from documents),
+k as (
+  select doc_id, line, pos, translate(regexp_replace(line, '^[ 	-
+]+|[ 	-
+]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+o as (select key, min(doc_id) as owner from k where length(key) >= 10 group by key),
+m as (select k.doc_id, k.line, k.pos, o.owner is null or o.owner = k.doc_id as stays from k left join o using (key))
+select doc_id, count(*) as n_lines, count(*) filter (not stays) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (stays), '')) as kept_sha256
+from m group by doc_id
+"""
+
+
 def op9_token_file(spark, sf_dir):
     path = work_path(spark, "token-files")
     tokenfile.write(read_table(spark, sf_dir, "documents"), WORD_BPE, path)
@@ -48,6 +71,7 @@ from n window w as (partition by t)
 def queries():
     return {
         "op3_bpe": op3_bpe,
+        "op7_line_dedup": op7_line_dedup,
         "op9_token_file": op9_token_file,
         "op10_exact_dedup": op10_exact_dedup,
     }
@@ -55,5 +79,6 @@ def queries():
 
 def oracle_sql():
     return {
+        "op7_line_dedup": OP7_SQL,
         "op10_exact_dedup": OP10_SQL,
     }
