@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chainwatch.llm import bpe, exact_dedup, line_dedup, tokenfile
+from chainwatch.llm import bpe, exact_dedup, line_dedup, near_dedup, tokenfile
 from chainwatch.llm._common import read_table
 from chainwatch.session import work_path
 
@@ -24,6 +24,10 @@ def op3_bpe(spark, sf_dir):
     )
 
 
+def op4_near_dedup(spark, sf_dir):
+    return near_dedup.near_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark, sf_dir):
     kept = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -71,6 +75,7 @@ from n window w as (partition by t)
 def queries():
     return {
         "op3_bpe": op3_bpe,
+        "op4_near_dedup": op4_near_dedup,
         "op7_line_dedup": op7_line_dedup,
         "op9_token_file": op9_token_file,
         "op10_exact_dedup": op10_exact_dedup,
