@@ -52,8 +52,9 @@ FRAME_BYTES = 256 << 10
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 
-#: Words that a worker remembers before it starts afresh.
-CACHE_WORDS = 800_000
+#: Words, and pieces of words, of a generation that a worker remembers; the one
+#: before is kept beside it, so that frequent words are never learnt again.
+CACHE_WORDS, CACHE_PIECES = 300_000, 100_000
 
 
 class WordEncoder:
@@ -73,15 +74,19 @@ class WordEncoder:
         self.chars = byte_chars()
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older_words, self.older_pieces = self.words, self.pieces
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed little-endian uint32 ids of each text."""
         split = [(t or "").encode().split() for t in texts]
         if len(self.words) > CACHE_WORDS:
-            self.words = {}
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces = {}
+            self.older_words, self.words = self.words, {}
+        if len(self.pieces) > CACHE_PIECES:
+            self.older_pieces, self.pieces = self.pieces, {}
         new = {w for words in split for w in words} - self.words.keys()
+        for w in new & self.older_words.keys():
+            self.words[w] = self.older_words[w]
+        new -= self.words.keys()
         if new:
             self._learn(new)
         get = self.words.__getitem__
@@ -100,6 +105,9 @@ class WordEncoder:
         # one call of the normaliser for all; the spaces between words stay apart
         found = self.pattern.findall(self.lib.normalizer.normalize_str(b" ".join(plain).decode()))
         for piece in set(found) - self.pieces.keys():
+            if piece in self.older_pieces:
+                self.pieces[piece] = self.older_pieces[piece]
+                continue
             mapped = "".join(map(self.chars.__getitem__, piece.encode()))
             self.pieces[piece] = _pack([t.id for t in self.lib.model.tokenize(mapped)])
         self.pieces[" "] = b""
