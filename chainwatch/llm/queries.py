@@ -5,14 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chainwatch.llm import bpe, exact_dedup, line_dedup, near_dedup, tokenfile
-from chainwatch.llm._common import read_table
+from chainwatch.llm import bpe, exact_dedup, langid, line_dedup, near_dedup, tokenfile, toxicity
+from chainwatch.llm._common import crc_bucket, read_table
 from chainwatch.session import work_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", crc_bucket("doc_id", 5) == 0)
+    seen = docs.where(~F.coalesce("held_out", F.lit(True)))
+    languages = langid.fit(seen)
+    model = toxicity.fit(seen, read_table(spark, sf_dir, "labels"), languages)
+    scored = toxicity.score(docs.select("doc_id", "held_out", "text"), model, languages)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op2_langid(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", crc_bucket("doc_id", 4) == 2)
+    model = langid.fit(docs.where(~F.coalesce("held_out", F.lit(True))))
+    found = langid.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "proportions", "rejected")
+
+
 def op3_bpe(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, BYTE_BPE, decoded="decoded")
@@ -74,6 +90,8 @@ from n window w as (partition by t)
 
 def queries():
     return {
+        "op1_toxicity": op1_toxicity,
+        "op2_langid": op2_langid,
         "op3_bpe": op3_bpe,
         "op4_near_dedup": op4_near_dedup,
         "op7_line_dedup": op7_line_dedup,
