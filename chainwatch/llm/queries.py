@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chainwatch.llm import bpe, exact_dedup, langid, line_dedup, near_dedup, tokenfile, toxicity
+from chainwatch.llm import bpe, decontaminate, exact_dedup, langid, line_dedup, near_dedup, tokenfile, toxicity
 from chainwatch.llm._common import crc_bucket, read_table
 from chainwatch.session import work_path
 
@@ -44,6 +44,12 @@ def op4_near_dedup(spark, sf_dir):
     return near_dedup.near_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_matches(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("matches"))
+
+
 def op7_line_dedup(spark, sf_dir):
     kept = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -94,6 +100,7 @@ def queries():
         "op2_langid": op2_langid,
         "op3_bpe": op3_bpe,
         "op4_near_dedup": op4_near_dedup,
+        "op6_decontaminate": op6_decontaminate,
         "op7_line_dedup": op7_line_dedup,
         "op9_token_file": op9_token_file,
         "op10_exact_dedup": op10_exact_dedup,
