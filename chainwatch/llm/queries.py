@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chainwatch.llm import bpe, decontaminate, exact_dedup, langid, line_dedup, near_dedup, tokenfile, toxicity
+from chainwatch.llm import bpe, decontaminate, exact_dedup, langid, line_dedup, near_dedup, pii, tokenfile, toxicity
 from chainwatch.llm._common import crc_bucket, read_table
 from chainwatch.session import work_path
 
@@ -73,6 +73,17 @@ from m group by doc_id
 """
 
 
+def op8_pii(spark, sf_dir):
+    found = pii.find_spans(read_table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias("n_" + pii.KINDS[k])
+    return found.select(
+        "doc_id",
+        *(count(k) for k in range(len(pii.KINDS))),
+        F.sha2(pii.span_text("base"), 256).alias("base_sha256"),
+        pii.span_text("spans").alias("spans"),
+    )
+
+
 def op9_token_file(spark, sf_dir):
     path = work_path(spark, "token-files")
     tokenfile.write(read_table(spark, sf_dir, "documents"), WORD_BPE, path)
@@ -102,6 +113,7 @@ def queries():
         "op4_near_dedup": op4_near_dedup,
         "op6_decontaminate": op6_decontaminate,
         "op7_line_dedup": op7_line_dedup,
+        "op8_pii": op8_pii,
         "op9_token_file": op9_token_file,
         "op10_exact_dedup": op10_exact_dedup,
     }
