@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chainwatch.llm import bpe, decontaminate, exact_dedup, langid, line_dedup, near_dedup, pii, tokenfile, toxicity
+from chainwatch.llm import bpe, decontaminate, exact_dedup, langid, licenses, line_dedup, near_dedup, pii, tokenfile, toxicity
 from chainwatch.llm._common import crc_bucket, read_table
 from chainwatch.session import work_path
 
@@ -44,6 +44,11 @@ def op4_near_dedup(spark, sf_dir):
     return near_dedup.near_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op5_licenses(spark, sf_dir):
+    found = licenses.find_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.inline("licenses"))
+
+
 def op6_decontaminate(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_matches(docs, read_table(spark, sf_dir, "benchmark"))
@@ -111,6 +116,7 @@ def queries():
         "op2_langid": op2_langid,
         "op3_bpe": op3_bpe,
         "op4_near_dedup": op4_near_dedup,
+        "op5_licenses": op5_licenses,
         "op6_decontaminate": op6_decontaminate,
         "op7_line_dedup": op7_line_dedup,
         "op8_pii": op8_pii,
