@@ -33,6 +33,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return name
+
+
 def per_worker(key, make: Callable):
     """An object kept for the life of a Python worker, such as a tokenizer."""
     store = sys.__dict__.setdefault("_text_operator_objects", {})

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainwatch.llm._common import with_text_columns
+from chainwatch.llm._common import unused, with_text_columns
 
 #: BM25's usual parameters.
 K1, B = 1.2, 0.75
@@ -239,6 +239,12 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", out:
     return base
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **columns) -> DataFrame:
+    """The documents without a verified match, with their columns."""
+    out = unused(docs, "matches")
+    return find_matches(docs, benchmark, text, out, **columns).where(F.size(out) == 0).select(docs.columns)
+
+
 def _scan(docs: DataFrame, index: ItemIndex, text: str, out: str, kind) -> DataFrame:
     table = _byte_map()
     names = [f.name for f in kind.elementType.fields]
@@ -250,5 +256,6 @@ def _scan(docs: DataFrame, index: ItemIndex, text: str, out: str, kind) -> DataF
 
         return compute
 
-    more = with_text_columns(docs, text, make, [T.StructField("_found", kind, False)])
-    return more.withColumn(out, F.concat(out, "_found")).drop("_found")
+    new = unused(docs, "found")
+    more = with_text_columns(docs, text, make, [T.StructField(new, kind, False)])
+    return more.withColumn(out, F.concat(out, new)).drop(new)

@@ -36,29 +36,28 @@ MAX_HOT_TEXTS = 10_000
 KEY_CHARS = 16
 
 
-def normalised(text: str):
-    """``text`` (null: empty) with each white space run replaced by a space."""
-    return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+", " ")
+def normalised(text):
+    """The text column (null: empty) with each white space run replaced by a space."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
 def _content_sorted(docs: DataFrame, id: str, text: str, hot_rows: int) -> DataFrame:
-    """All columns of ``docs`` with the place of each row in its run of equal
-    texts: _first (of its sub-group), _head (smallest id of it), _size."""
-    rows = docs.withColumns({"_norm": normalised(text)}).withColumn("_hash", F.xxhash64("_norm"))
+    """The rows of ``docs`` as a struct _doc, with the place of each in its run
+    of equal texts _norm: _first (of its sub-group), _head (smallest id), _size."""
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"))
+    id, norm = F.col("_doc")[id], normalised(F.col("_doc")[text])
     least = max(hot_rows, docs.count() // MAX_HOT_TEXTS)
-    hot = rows.groupBy(F.col("_hash").alias("_hot")).agg(F.count("*").alias("_n")).where(F.col("_n") > least)
-    salt = 1 + F.pmod(F.xxhash64(F.coalesce(F.col(id), F.lit(0))), F.ceil(F.col("_n") / least))
-    rows = rows.join(F.broadcast(hot), F.col("_hash") == F.col("_hot"), "left")
-    rows = rows.withColumns({"_salt": F.coalesce(salt, F.lit(0)), "_prefix": F.substring("_norm", 1, KEY_CHARS)})
+    hot = rows.groupBy(F.xxhash64(norm).alias("_hot")).agg(F.count("*").alias("_n")).where(F.col("_n") > least)
+    salt = 1 + F.pmod(F.xxhash64(F.coalesce(id, F.lit(0))), F.ceil(F.col("_n") / least))
+    rows = rows.withColumns({"_hash": F.xxhash64(norm), "_prefix": F.substring(norm, 1, KEY_CHARS)})
+    rows = rows.join(F.broadcast(hot), F.col("_hash") == F.col("_hot"), "left").withColumn("_salt", F.coalesce(salt, F.lit(0)))
     order = ["_prefix", "_hash", "_salt"]
-    by_id = Window.partitionBy(*order, "_norm").orderBy(F.col(id).asc_nulls_last())
+    by_id = Window.partitionBy(*order, "_norm").orderBy(F.col("_id").asc_nulls_last())
     whole = by_id.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (
-        rows.drop("_hot", "_n")
-        .repartitionByRange(*order)
-        .withColumns(
-            {"_first": F.row_number().over(by_id) == 1, "_head": F.first(id).over(by_id), "_size": F.count("*").over(whole)}
-        )
+    # the normalised text is made again after the shuffle rather than carried along
+    ranged = rows.select("_doc", *order).repartitionByRange(*order).withColumns({"_norm": norm, "_id": id})
+    return ranged.withColumns(
+        {"_first": F.row_number().over(by_id) == 1, "_head": F.first("_id").over(by_id), "_size": F.count("*").over(whole)}
     )
 
 
@@ -84,7 +83,7 @@ def _merged(subs: DataFrame) -> DataFrame:
 def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per document: ``id``, keep_id, group_size, kept, text_sha256."""
     found = _content_sorted(docs.select(id, text), id, text, hot_rows).select(
-        id, "_hash", "_salt", "_first", "_head", "_size", F.sha2("_norm", 256).alias("text_sha256"),
+        "_id", "_hash", "_salt", "_first", "_head", "_size", F.sha2("_norm", 256).alias("text_sha256"),
         # the text itself goes along only where heads of sub-groups are compared
         F.when((F.col("_salt") > 0) & F.col("_first"), F.col("_norm")).alias("_norm"),
     )
@@ -93,7 +92,7 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", hot_ro
     rows = found.drop("_norm").join(F.broadcast(merged), _same_sub("m"), "left")
     keep = F.when(F.col("_total").isNull(), F.col("_head")).otherwise(F.col("_keep"))
     return rows.select(
-        id,
+        F.col("_id").alias(id),
         keep.alias("keep_id"),
         F.coalesce("_total", "_size").alias("group_size"),
         (F.col("_first") & F.col("_head").eqNullSafe(keep)).alias("kept"),
@@ -103,8 +102,8 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", hot_ro
 
 def drop_exact(docs: DataFrame, id: str = "doc_id", text: str = "text", hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows of ``docs`` that stay, one for each distinct normalised text,
-    with all their columns.  Columns may not begin with an underscore."""
+    with all their columns."""
     ranged = _content_sorted(docs, id, text, hot_rows)
     merged = _merged(_content_sorted(docs.select(id, text), id, text, hot_rows).where("_salt > 0 and _first"))
     lost = merged.where(~F.col("m_head").eqNullSafe(F.col("_keep"))).select("m_hash", "m_salt", "m_head")
-    return ranged.where("_first").join(F.broadcast(lost), _same_sub("m"), "left_anti").select(docs.columns)
+    return ranged.where("_first").join(F.broadcast(lost), _same_sub("m"), "left_anti").select("_doc.*")

@@ -180,8 +180,8 @@ FIELDS = [
 ]
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """Append lang_pred, score, proportions and rejected."""
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", prefix: str = "") -> DataFrame:
+    """Append lang_pred, score, proportions and rejected, their names after ``prefix``."""
 
     def make():
         def compute(texts):
@@ -191,4 +191,12 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
 
         return compute
 
-    return with_text_columns(docs, text, make, FIELDS)
+    return with_text_columns(docs, text, make, [T.StructField(prefix + f.name, f.dataType, False) for f in FIELDS])
+
+
+def drop_rejected(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """The documents whose language is told, with their columns."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return identify(docs, model, text, prefix).where(f"not {prefix}rejected").select(docs.columns)

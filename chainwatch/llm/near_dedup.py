@@ -282,3 +282,10 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words:
     return rows.where("hot_id is not null").select("id", "n", "hot_id").union(cold.select("id", "n", "hot_id")).select(
         F.col("id").alias(id), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )
+
+
+def drop_near(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents that stay, one of each component, with their columns; rows
+    with a null id stay."""
+    lost = near_groups(docs, id, text, words, percent).where("not kept").select(F.col(id).alias("_lost")).distinct()
+    return docs.join(lost, F.col(id) == F.col("_lost"), "left_anti")
