@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainwatch.config import DEFAULT_CHUNK, DEFAULT_STATES, MarkovConfig
-from chainwatch.functions.states import state_index
+from chainwatch.config import DEFAULT_STATES, MarkovConfig
+from chainwatch.functions.states import read_states, state_index
 from chainwatch.functions.text import parse_transaction_lines, transaction_line
+from chainwatch.operators.ordering import sequence_positions
 from chainwatch.operators.model import best_successor, dense, row_entropy, row_totals, train, transition_counts
 from chainwatch.operators.scoring import detect, score_windows
 from chainwatch.operators.sequences import (
     build_sequences,
-    chunk_of,
     lines_to_long,
     sequence_lines,
     sequence_tails,
@@ -31,15 +31,23 @@ from chainwatch.plans.jobs import holdout_split, train_model, transactions_to_to
 from chainwatch.session import work_path
 from chainwatch.sources.events import load_tokens
 from chainwatch.sources.model_io import read_model_text, save_model, write_model_text
-from chainwatch.sources.transactions import read_transactions, write_transactions_text
-from chainwatch.streaming.detect import read_alerts, read_history
+from chainwatch.sources.transactions import (
+    read_sequence_lines,
+    read_sequences,
+    read_transaction_stream,
+    read_transactions,
+    write_sequence_lines,
+    write_sequences,
+    write_transactions_text,
+)
+from chainwatch.streaming.detect import detect_stream, history_messages, read_alerts, read_history
 from chainwatch.streaming.replay import replay_slices
 
 CFG = MarkovConfig()
 KEY = "user_id"
 WINDOW_COLS = window_token_cols(CFG.window)
 HOLDOUT_TS = "2024-01-16 00:00:00"
-N_SLICES = 6
+SLICE_DAYS = 5
 
 
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,9 +58,14 @@ def _model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_model(_tokens(spark, sf_dir), CFG, key=KEY)
 
 
-def _slice_col():
-    # stream slices: 5-day spans of the event time (days 1-5 → 0, ...)
-    return F.floor((F.dayofmonth("ts") - 1) / 5).cast("int")
+def _sliced(tokens: DataFrame) -> tuple[DataFrame, int]:
+    """Tokens with the stream slice of each: spans of five days since the first
+    event, however long the table runs; and the number of slices."""
+    first, last = tokens.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    if first is None:
+        return tokens.withColumn("slice", F.lit(0)), 0
+    days = F.datediff(F.to_date("ts"), F.lit(first))
+    return tokens.withColumn("slice", F.floor(days / SLICE_DAYS).cast("int")), (last - first).days // SLICE_DAYS + 1
 
 
 # --------------------------------------------------------------------------
@@ -80,17 +93,57 @@ def q_transactions_to_sequences(spark, sf_dir):
     write_transactions_text(t, path, customer=KEY, transaction="event_id", token="token")
     tx = read_transactions(spark, path).withColumn("txn", F.col("transaction_id").cast("bigint"))
     long = transactions_to_tokens(tx, key="customer_id", order=["txn"])
-    seqs = build_sequences(long, "customer_id", CFG)
-    return seqs.select(
-        "customer_id", "n_tokens", F.concat_ws(",", F.col("customer_id"), "tokens").alias("line")
+    out = work_path(spark, "sequence-lines")
+    write_sequence_lines(build_sequences(long, "customer_id", CFG), out)
+    return spark.read.text(out).select(
+        F.substring_index("value", ",", 1).alias("customer_id"),
+        (F.size(F.split("value", ",")) - 1).cast("bigint").alias("n_tokens"),
+        F.col("value").alias("line"),
     )
 
 
 def q_sequence_lines(spark, sf_dir):
-    seqs = build_sequences(_tokens(spark, sf_dir), KEY, CFG)
-    return seqs.select(
-        KEY, "chunk", "first_pos", "n_tokens", F.concat_ws(",", F.col(KEY).cast("string"), "tokens").alias("line")
-    )
+    return sequence_lines(build_sequences(_tokens(spark, sf_dir), KEY, CFG), KEY).select(F.col("value").alias("line"))
+
+
+def q_sequence_pieces(spark, sf_dir):
+    """Sequences cut into pieces of 7 tokens, through text lines and back: all
+    transitions, as if nothing had been cut."""
+    small = CFG.with_(chunk=7)
+    path = work_path(spark, "sequence-pieces")
+    write_sequence_lines(build_sequences(_tokens(spark, sf_dir), KEY, small), path, key=KEY)
+    long = read_sequence_lines(spark, path)
+    return transitions(long, ["customer_id", "line_id"], CFG).select("customer_id", "pos", "src", "dst")
+
+
+def q_sequence_table_scores(spark, sf_dir):
+    """The parquet hand-off, cut into pieces of 7 tokens: scores of all windows."""
+    t = _tokens(spark, sf_dir)
+    path = work_path(spark, "sequence-table")
+    write_sequences(build_sequences(t, KEY, CFG.with_(chunk=7)), path)
+    s = score_windows(read_sequences(spark, path, key=KEY), train_model(t, CFG, key=KEY), CFG, KEY)
+    return s.select(KEY, "pos", *WINDOW_COLS, "score")
+
+
+def _null_tokens(spark, sf_dir):
+    """Every seventh customer is NULL; their tokens are one sequence."""
+    t = _tokens(spark, sf_dir).select(F.when(F.col(KEY) % 7 != 0, F.col(KEY)).alias(KEY), "ts", "event_id", "token")
+    return sequence_positions(t, KEY, ["ts", "event_id"], hot_rows=500)
+
+
+def q_null_customer_scores(spark, sf_dir):
+    """A NULL customer that is also hot keeps all its windows, in order."""
+    t = _null_tokens(spark, sf_dir)
+    s = score_windows(t, train_model(t, CFG, key=KEY), CFG.with_(zero_cell="limit", chunk=300), KEY, algorithm="EntropyReduction")
+    return s.select(KEY, "pos", *WINDOW_COLS, F.round("score", 9).alias("score"))
+
+
+def q_states_file(spark, sf_dir):
+    """The state dictionary read from a file, and each token's index in it."""
+    path = work_path(spark, "states")
+    spark.createDataFrame([(",".join(DEFAULT_STATES),)], "value string").write.text(path)
+    states = read_states(spark, path)
+    return _tokens(spark, sf_dir).select(KEY, "pos", "token", state_index("token", states).alias("state_idx"))
 
 
 def q_transitions(spark, sf_dir):
@@ -204,28 +257,18 @@ def q_detect_holdout(spark, sf_dir):
 
 
 def q_history_messages(spark, sf_dir):
-    t = _tokens(spark, sf_dir).withColumn("slice", _slice_col())
-    g = t.groupBy("slice", KEY, chunk_of("pos", CFG.chunk).alias("chunk")).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_s")
-    )
-    return g.select(
-        "slice",
-        KEY,
-        "chunk",
-        F.concat(F.col(KEY).cast("string"), F.lit("."), F.array_join(F.transform("_s", lambda x: x["token"]), ",")).alias(
-            "message"
-        ),
-    )
+    t, _ = _sliced(_tokens(spark, sf_dir))
+    return history_messages(t.withColumn("is_new", F.lit(True)), key=KEY, by=["slice"])
 
 
 def _replayed(spark, sf_dir):
-    t = _tokens(spark, sf_dir).withColumn("slice", _slice_col())
+    t, slices = _sliced(_tokens(spark, sf_dir))
     model_path = work_path(spark, "stream-model")
     save_model(train_model(t, CFG, key=KEY), model_path)
     return replay_slices(
         t,
         "slice",
-        list(range(N_SLICES)),
+        list(range(slices)),
         model_path,
         CFG,
         work_path(spark, "stream"),
@@ -245,6 +288,26 @@ def q_stream_history(spark, sf_dir):
     return read_history(spark, paths["checkpoint"], key=KEY)
 
 
+def q_stream_history_messages(spark, sf_dir):
+    """What the stream wrote to its history output."""
+    paths = _replayed(spark, sf_dir)
+    return spark.read.option("basePath", paths["history"]).parquet(paths["history"]).select(KEY, "message")
+
+
+def q_text_stream_detect(spark, sf_dir):
+    """Transaction lines as a text stream, ordered by ids of unequal length."""
+    t = _tokens(spark, sf_dir)
+    src, model, out = (work_path(spark, n) for n in ("text-stream", "text-stream-model", "text-stream-out"))
+    save_model(train_model(t, CFG, key=KEY), model)
+    # ids in time order, as a feed would number them
+    numbered = t.select(KEY, F.col("pos").alias("txn"), "token")
+    write_transactions_text(numbered, src, customer=KEY, transaction="txn")
+    stream = read_transaction_stream(spark, "text", path=src).withColumn("_order", F.col("transaction_id").cast("bigint"))
+    q = detect_stream(stream, model, CFG, alerts_path=f"{out}/alerts", checkpoint=f"{out}/ck", order=["_order"], trigger={"availableNow": True})
+    q.awaitTermination()
+    return read_alerts(spark, f"{out}/alerts").select("customer_id", "pos", *WINDOW_COLS, "score")
+
+
 def q_alert_messages(spark, sf_dir):
     s = detect(_scored(spark, sf_dir, "MissProbability"), CFG, KEY)
     head = F.expr("substring(message, 1, length(message) - length(cast(score as string)))")
@@ -258,6 +321,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_transactions": q_parse_transactions,
     "transactions_to_sequences": q_transactions_to_sequences,
     "sequence_lines": q_sequence_lines,
+    "sequence_pieces": q_sequence_pieces,
+    "sequence_table_scores": q_sequence_table_scores,
+    "null_customer_scores": q_null_customer_scores,
+    "states_file": q_states_file,
     "transitions": q_transitions,
     "transition_counts": q_transition_counts,
     "row_totals": q_row_totals,
@@ -280,6 +347,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_messages": q_history_messages,
     "stream_detect": q_stream_detect,
     "stream_history": q_stream_history,
+    "stream_history_messages": q_stream_history_messages,
+    "text_stream_detect": q_text_stream_detect,
     "alert_messages": q_alert_messages,
 }
 
@@ -419,7 +488,7 @@ select user_id, pos, t0, t1, t2, t3, t4,
 from ep"""
 
 
-_SLICE = "cast(floor((dayofmonth(ts) - 1) / 5) as int)"
+_SLICE = f"cast(date_diff('day', (select min(cast(ts as date)) from events), cast(ts as date)) // {SLICE_DAYS} as int)"
 
 _SQL: dict[str, str] = {
     "tokens": f"""with {_TOK}
@@ -432,9 +501,12 @@ select cast(user_id as varchar) as customer_id, count(*)::bigint as n_tokens,
        user_id || ',' || string_agg(token, ',' order by event_id) as line
 from tok group by user_id""",
     "sequence_lines": f"""with {_TOK}
-select user_id, ((pos - 1) // {DEFAULT_CHUNK})::bigint as chunk, min(pos)::bigint as first_pos,
-       count(*)::bigint as n_tokens, user_id || ',' || string_agg(token, ',' order by pos) as line
-from tok group by user_id, (pos - 1) // {DEFAULT_CHUNK}""",
+select user_id || ',' || string_agg(token, ',' order by pos) as line from tok group by user_id""",
+    "null_customer_scores": f"""with {_TOK}, tokn as (
+  select customer as user_id, event_id, ts, token,
+         cast(row_number() over (partition by customer order by ts, event_id) as bigint) as pos
+  from (select *, case when user_id % 7 <> 0 then user_id end as customer from tok)),
+{_model_ctes('tokn')}, {_win_ctes('tokn')}, {_entropy_sql(True)}""",
     "transitions": f"""with {_TOK}, {_model_ctes()}
 select user_id, pos, src, dst from tr where dst is not null""",
     "transition_counts": f"""with {_TOK}, {_model_ctes()}
@@ -484,9 +556,19 @@ ta as (select * from tok where ts >= TIMESTAMP '{HOLDOUT_TS}'), {_model_ctes('tb
 s as ({_scored_sql('mp')})
 select * from s where score > 0.96""",
     "history_messages": f"""with {_TOK}
-select {_SLICE} as slice, user_id, ((pos - 1) // {DEFAULT_CHUNK})::bigint as chunk,
-       user_id || '.' || string_agg(token, ',' order by pos) as message
-from tok group by {_SLICE}, user_id, (pos - 1) // {DEFAULT_CHUNK}""",
+select slice, user_id, user_id || '.' || string_agg(token, ',' order by pos) as message
+from (select *, {_SLICE} as slice from tok) group by slice, user_id""",
+    "stream_history_messages": f"""with {_TOK}
+select user_id, user_id || '.' || string_agg(token, ',' order by pos) as message
+from (select *, {_SLICE} as slice from tok) group by slice, user_id""",
+    "sequence_pieces": f"""with {_TOK}, tr as (
+  select user_id::varchar as customer_id, pos, token as src, lead(token) over (partition by user_id order by pos) as dst from tok)
+select customer_id, pos, src, dst from tr where dst is not null""",
+    "sequence_table_scores": f"with {_TOK}, {_model_ctes()}, {_win_ctes()}\n{_scored_sql('mp')}",
+    "states_file": f"""with {_TOK}
+select user_id, pos, token, (list_position({_S}, token) - 1)::bigint as state_idx from tok""",
+    "text_stream_detect": f"with {_TOK}, {_model_ctes()}, {_win_ctes()}, s as ({_scored_sql('mp')})\n"
+    "select user_id::varchar as customer_id, * exclude (user_id) from s where score > 0.96",
     "stream_detect": f"with {_TOK}, {_model_ctes()}, {_win_ctes()}, s as ({_scored_sql('mp')})\n"
     "select * from s where score > 0.96",
     "stream_history": f"""with {_TOK}, t as (select *, {_SLICE} as slice from tok),

@@ -6,7 +6,7 @@ the original application read separately.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Fixed values that must equal the original application's for identical
 # results: the 18 Markov states in dictionary order (the position in this list
@@ -27,7 +27,8 @@ DEFAULT_ALERTS_TOPIC = "candidate-fraud-trans"
 
 # Sequences are cut into chunks of this many positions for every ordered
 # operator (lead, running sum, line export), so no task ever holds more than
-# one chunk plus a small halo of one customer, however long its history.
+# one chunk plus a small halo of one customer, however long its history.  Every
+# hand-off keeps the chunk's first position, so nothing is lost at a cut.
 DEFAULT_CHUNK = 1 << 18
 
 # Upper bound on the number of cells of any model-derived lookup table that is
@@ -51,7 +52,14 @@ class MarkovConfig:
     # Entropy scorer: "undefined" reproduces 0*ln(0) = NaN (score NULL),
     # "limit" uses the limit 0*ln(0) = 0.
     zero_cell: str = "undefined"
-    extra: dict = field(default_factory=dict, compare=False)
+    input_topic: str = DEFAULT_INPUT_TOPIC
+    history_topic: str = DEFAULT_HISTORY_TOPIC
+    alerts_topic: str = DEFAULT_ALERTS_TOPIC
+    # paths of a properties file; the command line's options take precedence
+    model_path: str | None = None
+    transactions_path: str | None = None
+    sequences_path: str | None = None
+    brokers: str | None = None
 
     def __post_init__(self):
         if self.window < 2:
@@ -71,10 +79,6 @@ class MarkovConfig:
     def n_states(self) -> int:
         return len(self.states)
 
-    @property
-    def transitions_per_window(self) -> int:
-        return self.window - 1
-
     def with_(self, **kw) -> "MarkovConfig":
         return replace(self, **kw)
 
@@ -84,12 +88,20 @@ def parse_states(line: str) -> tuple[str, ...]:
     return tuple(s for s in line.strip().split(",") if s != "")
 
 
-# properties keys of the original configuration file that change results
+# properties keys of the original configuration file: those that change
+# results, then its topics, paths and brokers
 _PROPERTY_KEYS = {
     "scorer.algorithm": ("algorithm", str),
     "state.seq.windowSize": ("window", int),
     "metric.threshold": ("threshold", float),
     "batch.duration": ("batch_interval", lambda v: f"{int(v)} seconds"),
+    "kafka.inputtopic": ("input_topic", str),
+    "kafka.xacttopic": ("history_topic", str),
+    "kafka.fraudtopic": ("alerts_topic", str),
+    "model.path": ("model_path", str),
+    "transaction.file": ("transactions_path", str),
+    "sequence.file": ("sequences_path", str),
+    "metadata.broker.list": ("brokers", str),
 }
 
 

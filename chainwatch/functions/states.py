@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import parse_states
+
+#: How a NULL token is shown and looked up.
+NULL_TOKEN = "NULL"
+
 
 def states_array(states: Sequence[str]) -> Column:
     """The dictionary as a literal ``ARRAY<STRING>`` (one SQL expression)."""
@@ -15,12 +20,24 @@ def states_array(states: Sequence[str]) -> Column:
 
 
 def state_index(col: str | Column, states: Sequence[str]) -> Column:
-    """Index of the token in the dictionary (first match), -1 when unknown.
-    BIGINT.  A linear probe of a literal array: no join, stays in codegen."""
+    """Index of the token in the dictionary (first match), -1 when unknown or
+    NULL.  BIGINT.  A linear probe of a literal array: no join, stays in codegen."""
+    return F.coalesce(_position(col, states), F.lit(-1).cast("bigint"))
+
+
+def _position(col: str | Column, states: Sequence[str]) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return (F.array_position(states_array(states), c) - F.lit(1)).cast("bigint")
 
 
+def known_token(col: str | Column) -> Column:
+    """The token, with ``NULL_TOKEN`` for NULL.
+
+    The ordered operators look ahead, and NULL there means that no row follows;
+    a row whose token is NULL has an unknown state instead."""
+    return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(NULL_TOKEN))
+
+
 def state_name(idx: str | Column, states: Sequence[str]) -> Column:
     i = F.col(idx) if isinstance(idx, str) else idx
     return F.element_at(states_array(states), (i + F.lit(1)).cast("int"))
@@ -28,8 +45,11 @@ def state_name(idx: str | Column, states: Sequence[str]) -> Column:
 
 def checked_index(col: str | Column, states: Sequence[str], on_unknown: str, what: str = "state") -> Column:
     """``state_index`` that fails the job on an unknown token when
-    ``on_unknown == "error"`` and yields NULL when it is ``"null"``."""
-    idx = state_index(col, states)
+    ``on_unknown == "error"`` and yields NULL when it is ``"null"``.
+
+    SQL's NULL stands for a row that does not exist and stays NULL: filters may
+    be evaluated before it is gone (see :func:`known_token`)."""
+    idx = _position(col, states)
     c = F.col(col) if isinstance(col, str) else col
     if on_unknown == "error":
         msg = F.concat(F.lit(f"unknown {what}: "), F.coalesce(c, F.lit("NULL")))
@@ -39,18 +59,9 @@ def checked_index(col: str | Column, states: Sequence[str], on_unknown: str, wha
     return idx
 
 
-def states_frame(spark: SparkSession, states: Sequence[str]) -> DataFrame:
-    """The dictionary as a table ``(idx BIGINT, state STRING)``, generated from
-    the dictionary by index (S rows, S fixed by the configuration)."""
-    n = len(states)
-    return spark.range(n).select(
-        F.col("id").alias("idx"), state_name(F.col("id"), states).alias("state")
-    )
-
-
-def read_states(spark: SparkSession, path: str) -> DataFrame:
-    """Read a dictionary file: one comma list, position = index."""
-    line = spark.read.text(path, wholetext=True)
-    return line.select(
-        F.posexplode(F.split(F.regexp_replace(F.trim(F.col("value")), ",+$", ""), ",")).alias("idx", "state")
-    ).select(F.col("idx").cast("bigint"), "state")
+def read_states(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """A dictionary file: one comma list, position = index."""
+    lines = [r.value for r in spark.read.text(path).where("trim(value) <> ''").take(2)]
+    if len(lines) != 1:
+        raise ValueError(f"{path} must hold one line of states")
+    return parse_states(lines[0])

@@ -18,62 +18,66 @@ def transaction_line(customer, transaction, token) -> Column:
     return F.concat_ws(",", _c(customer).cast("string"), _c(transaction).cast("string"), _c(token))
 
 
-def parse_transaction_lines(lines: DataFrame, col: str = "value", mode: str = "strict") -> DataFrame:
-    """Split ``customerId,transactionId,token`` lines.
+def well_formed(col) -> Column:
+    """Whether a transaction line has its three fields (further ones are ignored)."""
+    return F.coalesce(F.size(F.split(_c(col).cast("string"), ",")) >= 3, F.lit(False))
+
+
+def parse_transaction_lines(lines: DataFrame, col: str = "value", mode: str = "strict", keep: Sequence[str] = ()) -> DataFrame:
+    """Split ``customerId,transactionId,token`` lines; ``keep`` names columns to
+    carry along.
 
     Fields beyond the third are ignored.  ``strict`` fails the job on a line
     with fewer than three fields; ``permissive`` keeps such lines with
     ``malformed = true`` and NULL fields, so callers can split them off."""
-    parts = F.split(F.col(col).cast("string"), ",")
-    ok = F.size(parts) >= 3
-    out = lines.select(
-        F.col(col).cast("string").alias("_line"),
-        ok.alias("_ok"),
-        parts.alias("_p"),
-    )
-    if mode == "strict":
-        guard = F.when(~F.col("_ok"), F.raise_error(F.concat(F.lit("malformed transaction: "), F.col("_line"))))
-        out = out.withColumn("_g", guard)
-    elif mode != "permissive":
+    if mode not in ("strict", "permissive"):
         raise ValueError(f"mode={mode!r}")
-    cols = [
-        F.when(F.col("_ok"), F.get(F.col("_p"), i)).alias(name)
-        for i, name in enumerate(("customer_id", "transaction_id", "token"))
-    ]
-    res = out.select(*cols, (~F.col("_ok")).alias("malformed"), *(["_g"] if mode == "strict" else []))
+    line = F.col(col).cast("string")
+    ok = well_formed(line)
     if mode == "strict":
-        # keep the guard evaluated: filter on it (it is NULL for good lines)
-        res = res.where(F.col("_g").isNull()).drop("_g")
-    return res
+        failed = F.raise_error(F.concat(F.lit("malformed transaction: "), F.coalesce(line, F.lit("NULL"))))
+        ok = F.when(ok, F.lit(True)).otherwise(failed.cast("boolean"))
+    parts = F.split(line, ",")
+    cols = [F.when(F.col("_ok"), F.get("_p", i)).alias(name) for i, name in enumerate(("customer_id", "transaction_id", "token"))]
+    return lines.select(ok.alias("_ok"), parts.alias("_p"), *keep).select(*cols, (~F.col("_ok")).alias("malformed"), *keep)
+
 
+def sequence_line(customer, tokens, first_pos=None) -> Column:
+    """``customerId,tok1,tok2,...`` from an array of tokens.
 
-def sequence_line(customer, tokens) -> Column:
-    """``customerId,tok1,tok2,...`` from an array of tokens."""
-    return F.concat_ws(",", _c(customer).cast("string"), _c(tokens))
+    With a non-NULL ``first_pos`` the line is one piece of a longer sequence:
+    ``customerId,@first_pos,tok1,...``."""
+    mark = [] if first_pos is None else [F.concat(F.lit("@"), _c(first_pos).cast("string"))]
+    return F.concat_ws(",", F.coalesce(_c(customer).cast("string"), F.lit("")), *mark, _c(tokens))
 
 
 def parse_sequence_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``customerId,tok1,...`` → ``(customer_id, tokens ARRAY<STRING>)``.
-    Trailing empty fields are dropped, as a Java ``split`` does."""
+    """``customerId,tok1,...`` → ``(customer_id, first_pos, tokens
+    ARRAY<STRING>)``; ``first_pos`` is NULL unless the line is a piece of a
+    longer sequence (``customerId,@first_pos,tok1,...``).  Trailing empty fields
+    are dropped, as a Java ``split`` does."""
     s = F.regexp_replace(F.col(col).cast("string"), ",+$", "")
     parts = F.split(s, ",")
+    mark = F.regexp_extract(F.coalesce(F.get(parts, 1), F.lit("")), r"^@(\d+)$", 1)
+    skip = F.when(mark != "", 2).otherwise(1)
     return lines.select(
         F.get(parts, 0).alias("customer_id"),
-        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))).alias("tokens"),
+        F.when(mark != "", mark.cast("bigint")).alias("first_pos"),
+        F.slice(parts, skip + 1, F.greatest(F.size(parts) - skip, F.lit(0))).alias("tokens"),
     )
 
 
 def history_message(customer, tokens) -> Column:
     """``customerId.tok1,tok2`` (only the tokens of one micro-batch)."""
-    return F.concat(_c(customer).cast("string"), F.lit("."), F.array_join(_c(tokens), ","))
+    return F.concat(F.coalesce(_c(customer).cast("string"), F.lit("NULL")), F.lit("."), F.array_join(_c(tokens), ",", "NULL"))
 
 
 def alert_message(customer, window_tokens: Sequence, score) -> Column:
     """``<id> : t1 t2 t3 t4 t5 : <score>``: every token is followed by one
     space, and the score is printed as the JVM prints a double."""
-    toks = [_c(t) for t in window_tokens]
+    toks = [F.coalesce(_c(t), F.lit("NULL")) for t in window_tokens]
     return F.concat(
-        _c(customer).cast("string"),
+        F.coalesce(_c(customer).cast("string"), F.lit("NULL")),
         F.lit(" : "),
         *[F.concat(t, F.lit(" ")) for t in toks],
         F.lit(": "),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import MarkovConfig
 from ..functions.states import checked_index, state_index, state_name
-from .ordering import _cols
+from .ordering import _cols, join_keys
 
 MODEL_COLUMNS = ["src", "dst", "src_idx", "dst_idx", "n", "row_total", "p"]
 
@@ -32,7 +32,7 @@ def transition_counts(transitions: DataFrame, cfg: MarkovConfig, *, key: str | S
         bad = t.where(
             (state_index("src", cfg.states) < 0) | (state_index("dst", cfg.states) < 0)
         ).select(*keys).distinct()
-        t = t.join(bad, keys, "left_anti")
+        t = join_keys(t, bad, keys, "left_anti")
     counts = t.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
     policy = "error" if cfg.on_unknown == "error" else "null"
     counts = counts.select(

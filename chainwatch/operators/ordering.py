@@ -27,6 +27,7 @@ groups:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,6 +40,16 @@ def _cols(x) -> list[str]:
 
 
 DEFAULT_HOT_ROWS = 1 << 22
+# Hot keys beyond this number are joined by shuffle instead of broadcast.
+MAX_BROADCAST_KEYS = 100_000
+
+
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL; the keys of ``left`` are
+    kept.  (Spark plans a null-safe equality like any other join key.)"""
+    other = right.select(*[F.col(c).alias(f"_k_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
+    return left.join(other, reduce(lambda a, b: a & b, on), how).drop(*[f"_k_{c}" for c in keys])
 
 
 def sequence_positions(
@@ -86,20 +97,23 @@ def sequence_positions(
         return plain(df)
     # Hot keys: a partial aggregate (map-side combined, so a hot key costs one
     # row per map task).  Each hot key has more than hot_rows rows, so the hot
-    # table has at most total_rows / hot_rows rows: a proven bound, broadcast.
+    # table has at most total_rows / hot_rows rows; it is broadcast only while
+    # its checked size is below MAX_BROADCAST_KEYS.
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(hot_rows))
     if hot.isEmpty():
         return plain(df)
     hot = checkpointed(hot)
-    hot_keys = F.broadcast(hot.select(*keys))
-    n_hot = hot.agg(F.sum("_n")).first()[0]
+    n_keys, n_hot = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    hot_keys = hot.select(*keys)
+    if n_keys <= MAX_BROADCAST_KEYS:
+        hot_keys = F.broadcast(hot_keys)
     slices = max(1, -(-n_hot // hot_rows))
 
-    cold = plain(df.join(hot_keys, keys, "left_anti"))
+    cold = plain(join_keys(df, hot_keys, keys, "left_anti"))
 
     # Range-partition only the hot keys' rows and materialise the assignment.
     ranged = checkpointed(
-        df.join(hot_keys, keys, "left_semi")
+        join_keys(df, hot_keys, keys, "left_semi")
         .repartitionByRange(slices, *keys, *order)
         .withColumn("_slice", F.spark_partition_id())
     )
@@ -119,7 +133,7 @@ def sequence_positions(
         F.coalesce(F.sum("_bn").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         *[F.lag(f"_last_{c}").over(wk).alias(f"_bprev_{c}") for c in carry],
     )
-    warm = local.join(offsets, [*keys, "_slice"]).select(
+    warm = join_keys(local, offsets, [*keys, "_slice"]).select(
         *df.columns,
         (F.col("_off") + F.col("_lrn")).cast("bigint").alias(pos),
         *[
@@ -195,7 +209,7 @@ def running_total(
     offsets = totals.select(
         *keys, chunk_col, *[F.coalesce(F.sum(f"_t_{n}").over(wk), F.lit(0)).alias(f"_o_{n}") for n in values]
     )
-    out = within.join(offsets, [*keys, chunk_col])
+    out = join_keys(within, offsets, [*keys, chunk_col])
     for n in values:
         out = out.withColumn(n, F.col(f"_o_{n}") + F.col(f"_w_{n}"))
     return out.drop(*[f"_{p}_{n}" for n in values for p in ("v", "w", "o")])

@@ -214,10 +214,6 @@ def detect(scored: DataFrame, cfg: MarkovConfig, key: str | Sequence[str], *, th
     )
 
 
-def score_and_detect(tokens, model, cfg, key, **kw) -> DataFrame:
-    return detect(score_windows(tokens, model, cfg, key, **kw), cfg, key)
-
-
 SCORERS: dict[str, Callable] = {
     "miss_probability": miss_probability_terms,
     "miss_rate": miss_rate_terms,

@@ -11,9 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import MarkovConfig
+from ..config import DEFAULT_CHUNK, MarkovConfig
+from ..functions.states import known_token
 from ..functions.text import sequence_line
-from .ordering import _cols, chunk_of, sequence_positions, with_following
+from .ordering import _cols, chunk_of, with_following
 
 
 def window_token_cols(window: int) -> list[str]:
@@ -32,7 +33,7 @@ def transitions(
     dst)`` with ``src`` at ``pos`` and ``dst`` at ``pos + 1``; 0 or 1 token give
     none."""
     keys = _cols(key)
-    f = with_following(tokens.select(*keys, pos, token), keys, pos, [token], 1, cfg.chunk)
+    f = with_following(tokens.select(*keys, pos, known_token(token).alias(token)), keys, pos, [token], 1, cfg.chunk)
     return f.where(F.col("_has1")).select(
         *keys, pos, "chunk", F.col(token).alias("src"), F.col(f"{token}_next1").alias("dst")
     )
@@ -51,7 +52,7 @@ def token_windows(
     ``(key, pos, chunk, t0..t{W-1})`` where ``pos`` is the window start."""
     keys = _cols(key)
     k = cfg.window - 1
-    f = with_following(tokens.select(*keys, pos, token, *extra), keys, pos, [token], k, cfg.chunk)
+    f = with_following(tokens.select(*keys, pos, known_token(token).alias(token), *extra), keys, pos, [token], k, cfg.chunk)
     cols = [F.col(token).alias("t0")] + [F.col(f"{token}_next{i}").alias(f"t{i}") for i in range(1, k + 1)]
     return f.where(F.col(f"_has{k}")).select(*keys, pos, "chunk", *extra, *cols)
 
@@ -65,10 +66,13 @@ def build_sequences(
     token: str = "token",
 ) -> DataFrame:
     """Tokens per customer in order, one row per chunk of ``cfg.chunk``
-    positions: ``(key, chunk, first_pos, n_tokens, tokens ARRAY<STRING>)``.
+    positions: ``(key, chunk, first_pos, n_tokens, piece, tokens
+    ARRAY<STRING>)``.
 
     A customer shorter than the chunk has exactly one row; a longer history is
-    cut so no row (or task) exceeds the chunk."""
+    cut so no row (or task) exceeds the chunk.  ``piece`` marks rows of which
+    the sequence may have more (a full chunk, or not the first); ``first_pos``
+    puts them together again."""
     keys = _cols(key)
     grouped = tokens.select(*keys, pos, token, chunk_of(pos, cfg.chunk).alias("chunk")).groupBy(*keys, "chunk")
     agg = grouped.agg(
@@ -76,14 +80,18 @@ def build_sequences(
         F.count(F.lit(1)).alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct(F.col(pos), F.col(token)))).alias("_s"),
     )
+    piece = (F.col("chunk") > 0) | (F.col("n_tokens") >= F.lit(cfg.chunk))
     return agg.select(
-        *keys, "chunk", "first_pos", "n_tokens", F.transform("_s", lambda x: x[token]).alias("tokens")
+        *keys, "chunk", "first_pos", "n_tokens", piece.alias("piece"), F.transform("_s", lambda x: x[token]).alias("tokens")
     )
 
 
 def sequence_lines(sequences: DataFrame, key: str = "customer_id", tokens: str = "tokens") -> DataFrame:
-    """``customerId,tok1,tok2,...`` text lines (one per sequence row)."""
-    return sequences.select(sequence_line(F.col(key), F.col(tokens)).alias("value"))
+    """Text lines, one per sequence row: ``customerId,tok1,tok2,...``, and
+    ``customerId,@first_pos,tok1,...`` for the pieces of a sequence that fills
+    more than a chunk, which :func:`lines_to_long` joins again."""
+    piece = F.when(F.col("piece"), sequence_line(F.col(key), F.col(tokens), F.col("first_pos")))
+    return sequences.select(F.coalesce(piece, sequence_line(F.col(key), F.col(tokens))).alias("value"))
 
 
 def explode_sequences(
@@ -99,39 +107,32 @@ def explode_sequences(
 
 
 def lines_to_long(lines: DataFrame, parsed_key: str = "customer_id") -> DataFrame:
-    """Sequence lines read from text → long form keyed by line.
+    """Sequence lines read from text → long form ``(customer_id, line_id, pos,
+    token)``.
 
-    Every line is an independent sequence (transitions never cross lines), so
+    A plain line is an independent sequence (transitions never cross lines), so
     the key is ``(customer_id, line_id)``; ``line_id`` is stable for a given
-    input."""
+    input.  The pieces of a longer sequence have ``line_id`` -1 and their own
+    positions, so a customer's pieces are one sequence again, in any order."""
     from ..functions.text import parse_sequence_lines
 
-    parsed = parse_sequence_lines(lines).withColumn("line_id", F.monotonically_increasing_id())
-    return explode_sequences(parsed, [parsed_key, "line_id"], "tokens")
-
-
-def carry_tail(tokens: str | Column, window: int) -> Column:
-    """The last ``min(L, W - 1)`` tokens of an array."""
-    a = F.col(tokens) if isinstance(tokens, str) else tokens
-    keep = window - 1
-    return F.slice(a, F.greatest(F.lit(1), F.size(a) - F.lit(keep - 1)), keep)
-
-
-def position_tokens(df: DataFrame, key: str | Sequence[str], order: Sequence[str], **kw) -> DataFrame:
-    """Raw transactions with an order column → long form with dense ``pos``."""
-    return sequence_positions(df, key, order, **kw)
+    own = F.when(F.col("first_pos").isNull(), F.col("_n")).otherwise(F.lit(-1))
+    parsed = parse_sequence_lines(lines).withColumn("_n", F.monotonically_increasing_id())
+    parsed = parsed.select(parsed_key, own.cast("bigint").alias("line_id"), F.coalesce("first_pos", F.lit(1)).alias("first_pos"), "tokens")
+    return explode_sequences(parsed, [parsed_key, "line_id"], "tokens", first_pos="first_pos")
 
 
 def sequence_tails(
-    tokens: DataFrame, key: str | Sequence[str], n: int, *, pos: str = "pos", token: str = "token"
+    tokens: DataFrame, key: str | Sequence[str], n: int, *, pos: str = "pos", token: str = "token", chunk: int = DEFAULT_CHUNK
 ) -> DataFrame:
     """The last ``n`` tokens of every sequence, in order: ``(key, n_tokens,
     tail ARRAY<STRING>)`` — what a stream carries into its next batch.
 
-    The length per key is a partial aggregate and the tail rows are picked by
-    position, so only ``n`` rows per key are ever grouped."""
+    A row belongs to the tail if it has no ``n``-th successor, so one halo window
+    finds them without a join, and only ``n`` rows per key are ever grouped."""
     keys = _cols(key)
-    lengths = tokens.groupBy(*keys).agg(F.max(pos).alias("n_tokens"))
-    tail = tokens.select(*keys, pos, token).join(lengths, keys).where(F.col(pos) > F.col("n_tokens") - F.lit(n))
-    agg = tail.groupBy(*keys, "n_tokens").agg(F.sort_array(F.collect_list(F.struct(F.col(pos), F.col(token)))).alias("_s"))
+    ahead = with_following(tokens.select(*keys, pos, token), keys, pos, [], n, chunk)
+    agg = ahead.where(~F.col(f"_has{n}")).groupBy(*keys).agg(
+        F.max(pos).alias("n_tokens"), F.sort_array(F.collect_list(F.struct(F.col(pos), F.col(token)))).alias("_s")
+    )
     return agg.select(*keys, "n_tokens", F.transform("_s", lambda x: x[token]).alias("tail"))

@@ -1,8 +1,9 @@
-"""End-to-end jobs a user calls: build sequences, train, score, detect.
+"""End-to-end jobs a user calls: order transactions, train, split.
 
-Each returns a lazy DataFrame; nothing is collected to the driver and no
-intermediate file is required (write one with the ``sources`` helpers when a
-hand-off between jobs is wanted)."""
+Each returns a DataFrame and needs no intermediate file (write one with the
+``sources`` helpers when a hand-off between jobs is wanted).  Two steps run small
+jobs while a plan is built: ordering counts the rows per key to find hot keys,
+and scoring collects the S × (S + 1) terms of the model."""
 
 from __future__ import annotations
 
@@ -14,8 +15,7 @@ from pyspark.sql import functions as F
 from ..config import MarkovConfig
 from ..operators.model import train
 from ..operators.ordering import sequence_positions
-from ..operators.scoring import detect, score_windows
-from ..operators.sequences import build_sequences, transitions
+from ..operators.sequences import transitions
 
 
 def transactions_to_tokens(
@@ -32,38 +32,10 @@ def transactions_to_tokens(
     return pos.select(key, "pos", F.col(token).alias("token"))
 
 
-def build_sequence_table(tokens: DataFrame, cfg: MarkovConfig, *, key: str = "customer_id") -> DataFrame:
-    """Per customer, tokens in order (one row per chunk of positions)."""
-    return build_sequences(tokens, key, cfg)
-
-
 def train_model(tokens: DataFrame, cfg: MarkovConfig, *, key: str | Sequence[str] = "customer_id") -> DataFrame:
     return train(transitions(tokens, key, cfg), cfg, key=key)
 
 
-def score(
-    tokens: DataFrame,
-    model: DataFrame,
-    cfg: MarkovConfig,
-    *,
-    key: str | Sequence[str] = "customer_id",
-    algorithm: str | None = None,
-) -> DataFrame:
-    return score_windows(tokens, model, cfg, key, algorithm=algorithm)
-
-
-def detect_outliers(
-    tokens: DataFrame,
-    model: DataFrame,
-    cfg: MarkovConfig,
-    *,
-    key: str | Sequence[str] = "customer_id",
-    algorithm: str | None = None,
-    threshold: float | None = None,
-) -> DataFrame:
-    return detect(score_windows(tokens, model, cfg, key, algorithm=algorithm), cfg, key, threshold=threshold)
-
-
 def holdout_split(tokens: DataFrame, split_col: str, split_value, *, key: str | Sequence[str] = "customer_id"):
     """Train on rows before ``split_value``, score the rest.  Both parts keep
     their global positions, which stay dense inside each part because the split

@@ -33,13 +33,15 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    It is read from the session; only when it is unset (local tests) is a
-    folder under the system temp directory chosen and registered."""
+    It is read from the session; only when it is unset and the master is local
+    (as in tests) is a folder under the system temp directory chosen and
+    registered.  On a cluster an unset folder is an error."""
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        # local tests only: nothing is configured, take a temp folder
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="chainwatch-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
@@ -62,8 +64,10 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint into the shared checkpoint folder (cuts the
-    lineage; survives the loss of any executor).  Used only for small,
-    size-bounded tables."""
+    lineage; survives the loss of any executor).  Used for the table of hot keys
+    and for the rows of hot keys, whose slices it fixes; Spark removes the files
+    with the session if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is
+    set."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

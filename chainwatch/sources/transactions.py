@@ -8,51 +8,88 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.text import parse_transaction_lines, sequence_line, transaction_line
-from ..operators.sequences import lines_to_long
+from ..functions.text import parse_transaction_lines, transaction_line, well_formed
+from ..operators.sequences import explode_sequences, lines_to_long, sequence_lines
 
-TRANSACTION_SCHEMA = StructType(
-    [
-        StructField("customer_id", StringType()),
-        StructField("transaction_id", StringType()),
-        StructField("token", StringType()),
-    ]
-)
+def _lines(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    return spark.read.text(path).withColumn("value", _unquoted("value") if fmt == "csv" else F.col("value"))
+
+
+def _unquoted(col: str):
+    """CSV fields without their quotes; a token or id holds no comma or quote."""
+    return F.regexp_replace(col, '"', "")
 
 
 def read_transactions(spark: SparkSession, path: str, fmt: str = "text", *, mode: str = "strict") -> DataFrame:
     """``(customer_id, transaction_id, token)`` from text lines, headerless
-    CSV or a parquet/ORC table with those columns."""
-    if fmt == "text":
-        return parse_transaction_lines(spark.read.text(path), mode=mode).drop("malformed")
-    if fmt == "csv":
-        return spark.read.schema(TRANSACTION_SCHEMA).option("mode", "FAILFAST" if mode == "strict" else "PERMISSIVE").csv(path)
+    CSV (the same lines, fields may be quoted) or a parquet/ORC table with those
+    columns.  A line with fewer than three fields fails the job under ``strict``
+    and is left out under ``permissive``; see :func:`read_rejects`."""
+    if fmt in ("text", "csv"):
+        return parse_transaction_lines(_lines(spark, path, fmt), mode=mode).where(~F.col("malformed")).drop("malformed")
     return spark.read.format(fmt).load(path).select("customer_id", "transaction_id", "token")
 
 
+def read_rejects(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame:
+    """The lines (``value``) that ``read_transactions(mode="permissive")`` leaves out."""
+    return _lines(spark, path, fmt).where(~well_formed("value"))
+
+
 def write_transactions_text(df: DataFrame, path: str, *, customer="customer_id", transaction="transaction_id", token="token") -> None:
     df.select(transaction_line(customer, transaction, token).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_sequence_lines(sequences: DataFrame, path: str, *, key: str = "customer_id") -> None:
-    sequences.select(sequence_line(F.col(key), F.col("tokens")).alias("value")).write.mode("overwrite").text(path)
+    """Text lines; the pieces of a sequence that fills more than a chunk carry
+    their first position, see ``operators.sequences.sequence_lines``."""
+    sequence_lines(sequences, key).write.mode("overwrite").text(path)
+
+
+def write_sequences(sequences: DataFrame, path: str) -> None:
+    """The rows of ``build_sequences`` as parquet."""
+    sequences.write.mode("overwrite").parquet(path)
+
+
+def read_sequences(spark: SparkSession, path: str, *, key: str = "customer_id") -> DataFrame:
+    """Long form ``(key, pos, token)`` of :func:`write_sequences`."""
+    return explode_sequences(spark.read.parquet(path), key, "tokens", first_pos="first_pos")
 
 
 def read_sequence_lines(spark: SparkSession, path: str) -> DataFrame:
     """Long form ``(customer_id, line_id, pos, token)``; every line is one
-    sequence."""
+    sequence, except that the marked pieces of a customer are one together."""
     return lines_to_long(spark.read.text(path))
 
 
+def _raw_stream(spark: SparkSession, source: str, path: str | None, kafka_options: dict | None, per_trigger: int | None) -> DataFrame:
+    r = spark.readStream
+    if source == "kafka":
+        options = {**({"maxOffsetsPerTrigger": per_trigger} if per_trigger else {}), **(kafka_options or {})}
+        for k, v in options.items():
+            r = r.option(k, v)
+        return r.format("kafka").load().select(
+            F.col("value").cast("string").alias("value"),
+            F.col("partition").alias("kafka_partition"),
+            F.col("offset").alias("kafka_offset"),
+        )
+    if per_trigger:
+        r = r.option("maxFilesPerTrigger", per_trigger)
+    if source == "text":
+        return r.text(path)
+    if source == "parquet":
+        return r.schema(spark.read.parquet(path).schema).parquet(path)
+    raise ValueError(f"unknown stream source {source!r}")
+
+
 def read_transaction_stream(
     spark: SparkSession,
     source: str = "parquet",
     *,
     path: str | None = None,
     kafka_options: dict | None = None,
-    max_files_per_trigger: int | None = None,
+    per_trigger: int | None = None,
+    mode: str = "strict",
 ) -> DataFrame:
     """Streaming transactions with an order column.
 
@@ -63,33 +100,25 @@ def read_transaction_stream(
       ``(kafka_partition, kafka_offset)`` (keyed topics keep one customer in
       one partition).  Needs the Kafka connector on the classpath; it is not
       exercised by the tests here.
+
+    ``per_trigger`` bounds a micro-batch: files, or Kafka offsets.  A malformed
+    line fails the stream under ``strict``; under ``permissive`` it is left out,
+    and :func:`read_reject_stream` delivers it.
     """
+    raw = _raw_stream(spark, source, path, kafka_options, per_trigger)
     if source == "parquet":
-        r = spark.readStream
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        schema = spark.read.parquet(path).schema
-        return r.schema(schema).parquet(path)
-    if source == "text":
-        r = spark.readStream
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        return parse_transaction_lines(r.text(path), mode="permissive").where(~F.col("malformed")).drop("malformed")
-    if source == "kafka":
-        r = spark.readStream.format("kafka")
-        for k, v in (kafka_options or {}).items():
-            r = r.option(k, v)
-        raw = r.load().select(
-            F.col("value").cast("string").alias("value"),
-            F.col("partition").alias("kafka_partition"),
-            F.col("offset").alias("kafka_offset"),
-        )
-        parts = F.split("value", ",")
-        return raw.where(F.size(parts) >= 3).select(
-            F.get(parts, 0).alias("customer_id"),
-            F.get(parts, 1).alias("transaction_id"),
-            F.get(parts, 2).alias("token"),
-            "kafka_partition",
-            "kafka_offset",
-        )
-    raise ValueError(f"unknown stream source {source!r}")
+        return raw
+    parsed = parse_transaction_lines(raw, mode=mode, keep=[c for c in raw.columns if c != "value"])
+    return parsed.where(~F.col("malformed")).drop("malformed")
+
+
+def read_reject_stream(
+    spark: SparkSession,
+    source: str,
+    *,
+    path: str | None = None,
+    kafka_options: dict | None = None,
+    per_trigger: int | None = None,
+) -> DataFrame:
+    """The malformed lines (``value``) of a text or Kafka source."""
+    return _raw_stream(spark, source, path, kafka_options, per_trigger).where(~well_formed("value")).select("value")

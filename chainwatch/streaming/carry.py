@@ -81,7 +81,8 @@ def make_carry_function(window: int, key: str, order: Sequence[str], token: str
         if tail:
             first = n_seen - len(tail) + 1
             out = {key: [k] * len(tail)}
-            out.update({c: [None] * len(tail) for c in order})
+            # typed NULLs, so that no frame's type depends on its values
+            out.update({c: pd.Series([None] * len(tail), dtype=object) for c in order})
             out.update(
                 {
                     "token": tail,

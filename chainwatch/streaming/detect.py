@@ -13,11 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import DEFAULT_ALERTS_TOPIC, DEFAULT_HISTORY_TOPIC, MarkovConfig
+from ..config import MarkovConfig
 from ..functions.text import history_message
 from ..operators.ordering import sequence_positions
 from ..operators.scoring import detect, score_windows
-from ..operators.sequences import chunk_of
 from ..sources.model_io import load_model
 from .carry import STATE_SCHEMA, make_carry_function, output_schema
 
@@ -54,12 +53,13 @@ def position_batch(
     return carried.unionByName(new_long)
 
 
-def history_messages(batch: DataFrame, cfg: MarkovConfig, *, key: str = "customer_id") -> DataFrame:
-    """``customerId.tok1,tok2`` of the tokens new in this batch (one message
-    per customer, or per chunk of positions for a very long batch)."""
-    new = batch.where(F.col("is_new")).select(key, "pos", "token", chunk_of("pos", cfg.chunk).alias("chunk"))
-    agg = new.groupBy(key, "chunk").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_s"))
-    return agg.select(key, "chunk", history_message(F.col(key), F.transform("_s", lambda x: x["token"])).alias("message"))
+def history_messages(batch: DataFrame, *, key: str = "customer_id", by: Sequence[str] = ()) -> DataFrame:
+    """``customerId.tok1,tok2`` of the tokens new in this batch, one message per
+    customer (and value of ``by``, where several batches lie in one table).  The
+    trigger's bound on a batch is the bound on a message."""
+    new = batch.where(F.col("is_new"))
+    agg = new.groupBy(*by, key).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_s"))
+    return agg.select(*by, key, history_message(F.col(key), F.transform("_s", lambda x: x["token"])).alias("message"))
 
 
 def score_batch(batch: DataFrame, model: DataFrame, cfg: MarkovConfig, *, key: str = "customer_id") -> DataFrame:
@@ -71,8 +71,8 @@ def detect_stream(
     model_path: str,
     cfg: MarkovConfig,
     *,
-    alerts_path: str,
     checkpoint: str,
+    alerts_path: str | None = None,
     history_path: str | None = None,
     key: str = "customer_id",
     order: Sequence[str] = ("transaction_id",),
@@ -82,45 +82,50 @@ def detect_stream(
     query_name: str | None = None,
     sink_format: str = "parquet",
     kafka_options: dict | None = None,
-    alerts_topic: str = DEFAULT_ALERTS_TOPIC,
-    history_topic: str = DEFAULT_HISTORY_TOPIC,
+    alerts_topic: str | None = None,
+    history_topic: str | None = None,
 ) -> StreamingQuery:
     """Start the detection query.  ``trigger`` defaults to the configured
     processing-time interval; pass ``{"availableNow": True}`` to drain the
     input and stop.
 
     ``sink_format``: ``parquet`` (``batch_id=<n>`` folders, overwritten on
-    replay), ``kafka`` (``message`` as the record value; needs the Kafka
-    connector, at-least-once) or ``console`` (alert messages printed on the
-    driver, for debugging)."""
+    replay; needs ``alerts_path``), ``kafka`` (``message`` as the record value;
+    needs the Kafka connector, at-least-once) or ``console`` (every message is
+    printed on the driver, for debugging)."""
+    if sink_format == "parquet" and not alerts_path:
+        raise ValueError("the parquet sink needs alerts_path")
+    if sink_format not in ("parquet", "kafka", "console"):
+        raise ValueError(f"unknown sink {sink_format!r}")
+    alerts_topic, history_topic = alerts_topic or cfg.alerts_topic, history_topic or cfg.history_topic
     carried = carry_history(stream, cfg, key=key, order=order, token=token, retain=retain)
 
     def write(df: DataFrame, path: str | None, topic: str, batch_id: int) -> None:
         if sink_format == "parquet":
-            if path:
-                df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         elif sink_format == "kafka":
             w = df.select(F.col(key).cast("string").alias("key"), F.col("message").alias("value")).write.format("kafka")
             for k, v in (kafka_options or {}).items():
                 w = w.option(k, v)
             w.option("topic", topic).save()
-        elif sink_format == "console":
-            df.select("message").show(20, truncate=False)
         else:
-            raise ValueError(f"unknown sink {sink_format!r}")
+            for row in df.select("message").toLocalIterator():
+                print(row.message)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
+        long = None
         try:
             n_rows = batch.count()  # materialises the cached batch
             long = position_batch(batch, key=key, order=order, batch_rows=n_rows).persist()
             model = load_model(spark, model_path)
             write(score_batch(long, model, cfg, key=key), alerts_path, alerts_topic, batch_id)
             if history_path or sink_format != "parquet":
-                write(history_messages(long, cfg, key=key), history_path, history_topic, batch_id)
-            long.unpersist()
+                write(history_messages(long, key=key), history_path, history_topic, batch_id)
         finally:
+            if long is not None:
+                long.unpersist()
             batch.unpersist()
 
     writer = carried.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)

@@ -1,9 +1,8 @@
 """Drive the streaming detector from a table, one slice per run.
 
-Each slice is appended to the input folder and the query is run with an
-``availableNow`` trigger from the same checkpoint, so slices are consumed
-strictly in order (no reliance on file modification times) and every run is
-a restart from the checkpoint."""
+One query runs all the time; each slice is appended to its input folder once
+the one before is done, so slices are consumed strictly in order (no reliance on
+file modification times)."""
 
 from __future__ import annotations
 
@@ -28,7 +27,6 @@ def replay_slices(
     order: Sequence[str] = ("transaction_id",),
     token: str = "token",
     retain: str = "tail",
-    timeout_s: int = 600,
 ) -> dict:
     spark = rows.sparkSession
     paths = {
@@ -41,31 +39,32 @@ def replay_slices(
     source = rows.select(slice_col, *cols).persist()
     schema = source.select(*cols).schema
     try:
-        _run_slices(spark, source, slice_col, slices, cols, schema, paths, model_path, cfg, key, order, token, retain, timeout_s)
+        _run_slices(spark, source, slice_col, slices, cols, schema, paths, model_path, cfg, key, order, token, retain)
     finally:
         source.unpersist()
     return paths
 
 
-def _run_slices(spark, source, slice_col, slices, cols, schema, paths, model_path, cfg, key, order, token, retain, timeout_s):
-    for s in slices:
-        source.where(F.col(slice_col) == F.lit(s)).select(*cols).write.mode("append").parquet(paths["input"])
-        stream = spark.readStream.schema(schema).parquet(paths["input"])
-        q = detect_stream(
-            stream,
-            model_path,
-            cfg,
-            alerts_path=paths["alerts"],
-            history_path=paths["history"],
-            checkpoint=paths["checkpoint"],
-            key=key,
-            order=order,
-            token=token,
-            retain=retain,
-            trigger={"availableNow": True},
-        )
-        if not q.awaitTermination(timeout_s):
-            q.stop()
-            raise TimeoutError(f"slice {s} did not finish in {timeout_s}s")
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+def _run_slices(spark, source, slice_col, slices, cols, schema, paths, model_path, cfg, key, order, token, retain):
+    source.limit(0).select(*cols).write.mode("append").parquet(paths["input"])
+    q = detect_stream(
+        spark.readStream.schema(schema).parquet(paths["input"]),
+        model_path,
+        cfg,
+        alerts_path=paths["alerts"],
+        history_path=paths["history"],
+        checkpoint=paths["checkpoint"],
+        key=key,
+        order=order,
+        token=token,
+        retain=retain,
+        trigger={"processingTime": "0 seconds"},
+    )
+    try:
+        for s in slices:
+            source.where(F.col(slice_col) == F.lit(s)).select(*cols).write.mode("append").parquet(paths["input"])
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))

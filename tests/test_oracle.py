@@ -7,23 +7,7 @@ import __spark_entry__ as E
 
 from .conftest import SF001
 
-FAST = [
-    "tokens",
-    "sequence_lines",
-    "transition_probabilities",
-    "dense_model",
-    "best_successor",
-    "row_entropy",
-    "score_miss_probability",
-    "score_miss_rate",
-    "score_entropy_reference",
-    "score_entropy_limit",
-    "detect_holdout",
-    "history_messages",
-    "alert_messages",
-    "score_text_model",
-    "carry_tails",
-]
+QUERIES = sorted(E._QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +22,7 @@ def _norm(df):
     return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in row) for row in df.itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_oracle(spark, con, name):
     got = E.queries()[name](spark, SF001).toPandas()
     want = con.sql(E.oracle_sql()[name]).df()
