@@ -25,6 +25,7 @@ text; an empty table gives no documents; other columns are not written."""
 from __future__ import annotations
 
 import struct
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +55,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 #: Words, and pieces of words, of a generation that a worker remembers; the one
 #: before is kept beside it, so that frequent words are never learnt again.
-CACHE_WORDS, CACHE_PIECES = 300_000, 100_000
+CACHE_WORDS, CACHE_PIECES = 220_000, 100_000
 
 
 class WordEncoder:
@@ -83,7 +84,7 @@ class WordEncoder:
             self.older_words, self.words = self.words, {}
         if len(self.pieces) > CACHE_PIECES:
             self.older_pieces, self.pieces = self.pieces, {}
-        new = {w for words in split for w in words} - self.words.keys()
+        new = set(chain.from_iterable(split)) - self.words.keys()
         for w in new & self.older_words.keys():
             self.words[w] = self.older_words[w]
         new -= self.words.keys()
@@ -95,31 +96,41 @@ class WordEncoder:
     def _learn(self, new: set[bytes]) -> None:
         whole = b" ".join(new)
         odd = [x for x in self.odd if x in whole]
-        plain = [w for w in new if w.isascii() or max(w) < STABLE_BYTE]
-        if odd:
-            plain = [w for w in plain if not any(x in w for x in odd)]
-        for w in new.difference(plain):
-            self.words[w] = _pack(self.lib.encode(w.decode(), add_special_tokens=False).ids)
-        if not plain:
-            return
-        # one call of the normaliser for all; the spaces between words stay apart
-        found = self.pattern.findall(self.lib.normalizer.normalize_str(b" ".join(plain).decode()))
-        for piece in set(found) - self.pieces.keys():
-            if piece in self.older_pieces:
-                self.pieces[piece] = self.older_pieces[piece]
+        stable = np.frombuffer(whole, np.uint8).max(initial=0) < STABLE_BYTE
+        plain, accented = [], []
+        for w in new:
+            if w.isascii() and not (odd and any(x in w for x in odd)):
+                plain.append(w)
+            elif (stable or max(w) < STABLE_BYTE) and not (odd and any(x in w for x in odd)):
+                accented.append(w)
+            else:
+                self.words[w] = _pack(self.lib.encode(w.decode(), add_special_tokens=False).ids)
+        # ASCII words only need lower case; one call of the normaliser for the others
+        if plain:
+            self._split(plain, b" ".join(plain).lower().decode())
+        if accented:
+            self._split(accented, self.lib.normalizer.normalize_str(b" ".join(accented).decode()))
+
+    def _split(self, words: list[bytes], text: str) -> None:
+        """Ids of each word; ``text`` has them normalised, with spaces between."""
+        found = self.pattern.findall(text)
+        pieces, older, tokenize = self.pieces, self.older_pieces, self.lib.model.tokenize
+        for piece in set(found) - pieces.keys():
+            if piece in older:
+                pieces[piece] = older[piece]
                 continue
-            mapped = "".join(map(self.chars.__getitem__, piece.encode()))
-            self.pieces[piece] = _pack([t.id for t in self.lib.model.tokenize(mapped)])
-        self.pieces[" "] = b""
-        word, out = 0, []
+            mapped = piece if piece.isascii() and piece.isalnum() else "".join(map(self.chars.__getitem__, piece.encode()))
+            pieces[piece] = _pack([t.id for t in tokenize(mapped)])
+        pieces[" "] = b""
+        known, word, out = self.words, 0, b""
         for piece in found:
             if piece == " ":
-                self.words[plain[word]] = b"".join(out)
-                word, out = word + 1, []
+                known[words[word]] = out
+                word, out = word + 1, b""
             else:
-                out.append(self.pieces[piece])
-        self.words[plain[word]] = b"".join(out)
-        if word + 1 != len(plain):
+                out += pieces[piece]
+        known[words[word]] = out
+        if word + 1 != len(words):
             raise ValueError("a word was split at a character that is not ASCII white space")
 
 
