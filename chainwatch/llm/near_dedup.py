@@ -15,8 +15,8 @@ sketch holds the ``SKETCH`` smallest of them.
 4. Within a loose cluster, full sets are compared exactly; the links that hold
    join classes to components (again as spanning forests).
 
-A list or cluster that is larger than a block is dealt out to tasks by pairs of
-blocks, so that no task holds more than two blocks.  Two sets with a similarity
+A list or cluster that is larger than a block is dealt out to tasks in pairs of
+blocks (see ``_linked``), so that no task holds more than two.  Two sets with a similarity
 of 0.8 share none of the 8 smallest values of their union with probability
 0.2^8, and no run of three in 64 with probability below 1e-8; their estimate is
 4 standard deviations above LOOSE.
@@ -119,14 +119,41 @@ def _lists(classes: DataFrame) -> DataFrame:
     return first.where(F.col("m") <= BLOCK).select("key", "m", "rep").union(shared(again).select("key", "m", "rep"))
 
 
-def _dealt(members: DataFrame, key: str, blocks) -> DataFrame:
-    """Rows with a task number: one task per key, or per pair of blocks of it."""
-    n = blocks.cast("bigint")
-    mine = F.pmod(F.xxhash64("rep"), n)
-    other = F.sequence(F.lit(0).cast("bigint"), n - 1)
-    pairs = F.when(n == 1, F.array(F.lit(0).cast("bigint"))).otherwise(F.filter(other, lambda j: j != mine))
-    rows = members.withColumns({"_n": n, "_mine": mine}).withColumn("_other", F.explode(pairs))
-    return rows.withColumn("task", F.xxhash64(key, F.least("_mine", "_other"), F.greatest("_mine", "_other"), F.lit(7))).drop("_n", "_mine", "_other")
+def _block(column: str, blocks):
+    return F.pmod(F.xxhash64(column), blocks)
+
+
+def _linked(members: DataFrame, key: str, blocks, attach, columns: list[str], link) -> DataFrame:
+    """(node, component) of the links among the members (``key``, rep) of each key.
+
+    A key of one block is one task.  A larger one is dealt out twice: first each
+    block meets the first one, which in a dense group links nearly all members;
+    then only those outside the key's largest component meet all others, a block
+    of them with a block of members at a time.  Two members that never meet are in
+    that component, so no link is lost, and a group of near copies costs a few
+    rows a member however large it is.  ``attach`` joins what ``link`` needs."""
+    rows = members.select(key, "rep", blocks.cast("bigint").alias("_n")).withColumn("_mine", _block("rep", F.col("_n")))
+    rows = written(rows, "near-members")
+    later = F.sequence(F.lit(1).cast("bigint"), F.col("_n") - 1)
+    meets = F.when(F.col("_n") == 1, F.array(F.lit(0).cast("bigint"))).when(F.col("_mine") == 0, later).otherwise(F.array("_mine"))
+    dealt = rows.withColumn("_other", F.explode(meets)).select(F.xxhash64(key, "_other").alias("task"), "rep")
+    edges = written(_by_task(attach(dealt), columns, link), "near-edges")
+    first = components(edges)
+    wide = rows.where("_n > 1")
+    if wide.isEmpty():
+        return first
+    parts = first.select(F.col("node").alias("rep"), F.col("component").alias("_part"))
+    wide = wide.join(parts, "rep", "left").withColumn("_part", F.coalesce("_part", "rep"))
+    wide = written(wide.select(key, "rep", "_n", "_mine", "_part"), "near-wide")
+    parts = wide.groupBy(key, "_part").agg(F.count("*").alias("_size"))
+    most = parts.groupBy(key).agg(F.max_by("_part", F.struct("_size", "_part")).alias("_most"), (F.sum("_size") - F.max("_size")).alias("_strays"))
+    wide = wide.join(most.where("_strays > 0").withColumn("_s", F.ceil(F.col("_strays") / BLOCK)), key)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    strays = wide.where("_part <> _most").withColumns({"_i": _block("rep", F.col("_s")), "_j": every("_n")})
+    others = wide.withColumns({"_i": every("_s"), "_j": F.col("_mine")})
+    dealt = strays.select(key, "_i", "_j", "rep").union(others.select(key, "_i", "_j", "rep")).distinct()
+    dealt = dealt.select(F.xxhash64(key, "_i", "_j", F.lit(1)).alias("task"), "rep")
+    return components(edges.union(_by_task(attach(dealt), columns, link)))
 
 
 def _by_task(rows: DataFrame, columns: list[str], link) -> DataFrame:
@@ -260,16 +287,16 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words:
     )
     classes = written(classes, "near-classes")
 
-    lists = _dealt(_lists(classes), "key", F.ceil(F.col("m") / BLOCK))
-    seen = lists.join(classes.select("rep", "n", "sketch"), "rep")
-    loose = components(_by_task(seen, ["n", "sketch"], _estimated(percent / 100)))
+    sketch = classes.select("rep", "n", "sketch")
+    estimate = _estimated(percent / 100)
+    loose = _linked(_lists(classes), "key", F.ceil(F.col("m") / BLOCK), lambda d: d.join(sketch, "rep"), ["n", "sketch"], estimate)
 
     clusters = loose.join(classes.select(F.col("rep").alias("node"), "n"), "node")
     size = clusters.groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
-    members = clusters.join(size, "component").select("component", F.col("node").alias("rep"), "m", "shingles")
-    dealt = _dealt(members, "component", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)))
+    members = clusters.join(size, "component").withColumnRenamed("node", "rep")
+    blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
     texts = docs.select(F.col(id).cast("bigint").alias("rep"), F.col(text).alias("text"))
-    same = components(_by_task(dealt.join(texts, "rep"), ["text"], _exact(words, percent)))
+    same = _linked(members, "component", blocks, lambda d: d.join(texts, "rep"), ["text"], _exact(words, percent))
 
     found = classes.join(same.withColumnRenamed("node", "rep"), "rep", "left")
     found = written(found.select("digest", "size", F.coalesce("component", "rep").alias("component_id")), "near-found")
