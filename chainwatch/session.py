@@ -62,17 +62,6 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return path
 
 
-def discard(spark: SparkSession, *paths: str) -> None:
-    """Delete work folders whose rows are no longer read, on any file system.
-    Only paths that :func:`work_path` may have made are accepted."""
-    root = f"{shared_dir(spark)}/chainwatch/"
-    for path in paths:
-        if not path.startswith(root):
-            raise ValueError(f"{path} is not a work folder")
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint into the shared checkpoint folder (cuts the
     lineage; survives the loss of any executor).  Used for the table of hot keys
