@@ -1,6 +1,6 @@
 """The skew-safe paths give the same results as the plain ones.
 
-Small ``hot_rows`` forces every customer through the time-block numbering;
+Small ``hot_rows`` forces every customer through the range-sliced numbering;
 small ``chunk`` forces every window and prefix sum across chunk halos."""
 
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ def _rows(df, cols):
     return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
 
 
-def test_hot_key_blocks_match_plain_positions(spark):
+def test_hot_key_slices_match_plain_positions(spark):
     a = load_tokens(spark, SF001)
     b = load_tokens(spark, SF001, hot_rows=9)
     cols = ["user_id", "event_id", "pos", "token"]
