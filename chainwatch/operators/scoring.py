@@ -30,7 +30,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MarkovConfig
-from ..functions.states import checked_index, state_index
 from ..functions.text import alert_message
 from .model import best_successor, term_grid
 from .ordering import _cols, running_total
@@ -108,10 +107,15 @@ def _window_indices(cfg: MarkovConfig) -> list:
     ``on_unknown="null"``), the last is only ever a next state (unknown →
     -1)."""
     w = cfg.window
-    policy = "null" if cfg.on_unknown == "null" else "error"
-    idx = [checked_index(f"t{i}", cfg.states, policy, "current state") for i in range(w - 1)]
-    idx.append(state_index(f"t{w - 1}", cfg.states))
-    return idx
+
+    def current(i: int) -> Column:
+        if cfg.on_unknown == "null":
+            bad = F.lit(None).cast("int")
+        else:
+            bad = F.raise_error(F.concat(F.lit("unknown current state: "), F.col(f"t{i}"))).cast("int")
+        return F.when(F.col(f"i{i}") < 0, bad).otherwise(F.col(f"i{i}"))
+
+    return [*(current(i) for i in range(w - 1)), F.col(f"i{w - 1}")]
 
 
 def lookup_table(model: DataFrame, cfg: MarkovConfig, algorithm: str) -> DataFrame:
@@ -175,7 +179,7 @@ def score_windows(
     keys = _cols(key)
     alg = resolve_algorithm(algorithm or cfg.algorithm)
     m = cfg.window - 1
-    win = token_windows(tokens, keys, cfg, pos=pos, token=token)
+    win = token_windows(tokens, keys, cfg, pos=pos, token=token, index=True)
     toks = window_token_cols(cfg.window)
     base = [*keys, pos, "chunk", *toks]
     table = lookup_table(model, cfg, alg)

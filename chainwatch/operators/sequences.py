@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CHUNK, MarkovConfig
-from ..functions.states import known_token
+from ..functions.states import known_token, state_index
 from ..functions.text import sequence_line
 from .ordering import _cols, chunk_of, with_following
 
@@ -47,13 +47,22 @@ def token_windows(
     pos: str = "pos",
     token: str = "token",
     extra: Sequence[str] = (),
+    index: bool = False,
 ) -> DataFrame:
     """Sliding windows of ``W`` tokens, step 1: ``max(0, n - W + 1)`` rows
-    ``(key, pos, chunk, t0..t{W-1})`` where ``pos`` is the window start."""
+    ``(key, pos, chunk, t0..t{W-1})`` where ``pos`` is the window start.
+
+    With ``index`` the tokens' state indices ``i0..i{W-1}`` (-1 for an unknown
+    token) come along; each token is looked up once, before the halo window."""
     keys = _cols(key)
     k = cfg.window - 1
-    f = with_following(tokens.select(*keys, pos, known_token(token).alias(token), *extra), keys, pos, [token], k, cfg.chunk)
-    cols = [F.col(token).alias("t0")] + [F.col(f"{token}_next{i}").alias(f"t{i}") for i in range(1, k + 1)]
+    rows = tokens.select(*keys, pos, known_token(token).alias(token), *extra)
+    names = {token: "t"}
+    if index:
+        rows = rows.withColumn("_index", state_index(token, cfg.states).cast("int"))
+        names["_index"] = "i"
+    f = with_following(rows, keys, pos, list(names), k, cfg.chunk)
+    cols = [F.col(f"{c}_next{j}" if j else c).alias(f"{n}{j}") for c, n in names.items() for j in range(k + 1)]
     return f.where(F.col(f"_has{k}")).select(*keys, pos, "chunk", *extra, *cols)
 
 
