@@ -5,10 +5,12 @@ sketch holds the ``SKETCH`` smallest of them.
 
 1. Documents with one set (equal 128-bit digest of the whole set) form a class;
    only the class's smallest id goes on, so exact copies cost one row each.
-2. Inverted lists of the ``LISTED`` smallest values gather the classes that
-   share a value.  A value in more than ``BLOCK`` classes says little: its
-   classes are listed again under every run of three consecutive sketch values,
-   which texts that only share a passage rarely have in common.
+2. Inverted lists gather the classes that share a value.  A value in more than
+   ``BLOCK`` classes says little, so every class is listed under its ``LISTED``
+   smallest values that are not so common.  Classes with fewer than
+   ``LEAST_RARE`` of these (as in a large group of near copies) are listed under
+   every run of three consecutive sketch values as well, short ones under runs of
+   two, of which two linked short sets always share one.
 3. Within a list, the sketch of the union gives an estimate of the similarity.
    Estimates of at least ``LOOSE`` join classes to loose clusters (each task
    returns a spanning forest, never the pairs).
@@ -16,10 +18,10 @@ sketch holds the ``SKETCH`` smallest of them.
    join classes to components (again as spanning forests).
 
 A list or cluster that is larger than a block is dealt out to tasks in pairs of
-blocks (see ``_linked``), so that no task holds more than two.  Two sets with a similarity
-of 0.8 share none of the 8 smallest values of their union with probability
-0.2^8, and no run of three in 64 with probability below 1e-8; their estimate is
-4 standard deviations above LOOSE.
+blocks (see ``_linked``), so that no task holds more than two.  Two sets with a
+similarity of 0.8 share none of the 8 smallest such values of their union with
+probability 0.2^8, and no run of three in 64 with probability below 1e-8; their
+estimate is 4 standard deviations above LOOSE.
 
 Defined cases: null text, or one without words, has the empty set, is linked
 with nothing and is its own component; a text with fewer words than a shingle
@@ -40,6 +42,9 @@ from chainwatch.llm.components import components
 
 #: Values of a sketch, and those of them that get inverted lists.
 SKETCH, LISTED = 64, 8
+#: Values that are not very common, among a class's first 2 * LISTED, below which
+#: it is listed by runs too; sketch size below which these are runs of two as well.
+LEAST_RARE, SHORT = 10, 32
 #: Classes of a block: the most that a list holds before it is refined or split.
 BLOCK = 1024
 #: Shingles of a block in the exact comparison.
@@ -105,18 +110,30 @@ def sketches(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """(key, m, rep): the members of every inverted list of two or more; m: their number."""
+    """(key, m, rep): the members of every inverted list of two or more; m: their number.
+
+    A class is listed under its first LISTED values that are not too common; of
+    classes that have few such values, every run of three is a key as well."""
 
     def shared(posts):
         m = posts.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
         return posts.join(m, "key")
 
-    first = shared(classes.select("rep", F.explode(F.slice("sketch", 1, LISTED)).alias("key")))
+    first = shared(classes.select("rep", F.posexplode(F.slice("sketch", 1, 2 * LISTED)).alias("rank", "key")))
     first = written(first, "near-lists")
-    wide = first.where(F.col("m") > BLOCK).select("rep").distinct()
-    runs = F.expr("transform(sequence(1, size(sketch) - 2), i -> xxhash64(sketch[i - 1], sketch[i], sketch[i + 1]))")
-    again = classes.where(F.size("sketch") > 2).join(wide, "rep", "left_semi").select("rep", F.explode(runs).alias("key"))
-    return first.where(F.col("m") <= BLOCK).select("key", "m", "rep").union(shared(again).select("key", "m", "rep"))
+    common = first.where(F.col("m") > BLOCK).groupBy("rep").agg(F.count("*").alias("common"))
+    own = first.where(F.col("m") <= BLOCK).join(common, "rep", "left")
+    own = own.where(F.col("rank") < LISTED + F.coalesce("common", F.lit(0)))
+    # the ranks now listed may have left a list with one member
+    own = shared(own.select("rep", "key"))
+    rare = F.least(F.size("sketch"), F.lit(2 * LISTED)) - F.col("common")
+    wide = classes.join(common, "rep").where(rare < LEAST_RARE)
+    run = lambda n, of: F.expr(
+        f"if(size(sketch) >= {n} and {of}, transform(sequence(0, size(sketch) - {n}), i -> xxhash64(slice(sketch, i + 1, {n}))), array())"
+    )
+    keys = F.concat(run(3, "true"), run(2, f"size(sketch) < {SHORT}"))
+    again = wide.select("rep", F.explode(keys).alias("key"))
+    return own.select("key", "m", "rep").union(shared(again).select("key", "m", "rep"))
 
 
 def _block(column: str, blocks):

@@ -104,3 +104,14 @@ def test_components(spark):
     rnd.shuffle(edges)
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {x: root(x) for x in list(parent)}
+
+
+def test_short_texts_of_common_shingles(make_docs, monkeypatch):
+    """Sets of which every value is very common are still linked."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    rnd = random.Random(11)
+    words = [f"s{i}" for i in range(9)]
+    texts = [" ".join(words[a:b]) for a in range(9) for b in range(a + 5, 10)]
+    texts += [" ".join(words[:6] + words[rnd.randrange(6) :]) for _ in range(25)]
+    rows = list(enumerate(texts))
+    assert _got(near_dedup.near_groups(make_docs(rows).repartition(3))) == brute(rows)
