@@ -83,7 +83,7 @@ def cmd_train(spark, args) -> None:
     save_model(model, args.model_out)
     text = args.model_text_out or cfg.model_path
     if text:
-        write_model_text(load_model(spark, args.model_out), cfg, text)
+        write_model_text(load_model(spark, args.model_out, cfg), cfg, text)
 
 
 def cmd_score(spark, args) -> None:
@@ -91,7 +91,7 @@ def cmd_score(spark, args) -> None:
     # the original's configured model is its dense text file
     text = args.model_format == "text" or not args.model
     path = _needed(args.model or cfg.model_path, "--model")
-    model = read_model_text(spark, path, cfg) if text else load_model(spark, path)
+    model = read_model_text(spark, path, cfg) if text else load_model(spark, path, cfg)
     if args.sequences and args.sequences_format == "parquet":
         tokens, key = read_sequences(spark, args.sequences), "customer_id"
     elif args.sequences:

@@ -77,7 +77,8 @@ def _grid(spark: SparkSession, rows: int, cols: int, col_base: int = 0) -> DataF
 
 
 def dense(model: DataFrame, cfg: MarkovConfig) -> DataFrame:
-    """Full S×S grid ``(src_idx, dst_idx, src, dst, n, p)`` with zeros filled."""
+    """Full S×S grid ``(src_idx, dst_idx, src, dst, n, p)`` with zeros filled;
+    ``n`` is NULL for the cells of an imported text model, which has no counts."""
     s = cfg.n_states
     g = _grid(model.sparkSession, s, s)
     m = F.broadcast(model.select("src_idx", "dst_idx", "n", "p"))
@@ -86,7 +87,7 @@ def dense(model: DataFrame, cfg: MarkovConfig) -> DataFrame:
         "dst_idx",
         state_name("src_idx", cfg.states).alias("src"),
         state_name("dst_idx", cfg.states).alias("dst"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+        F.when(F.col("p").isNull(), F.lit(0)).otherwise(F.col("n")).cast("bigint").alias("n"),
         F.coalesce("p", F.lit(0.0)).alias("p"),
     )
 

@@ -20,8 +20,14 @@ def save_model(model: DataFrame, path: str) -> None:
     model.select(*MODEL_COLUMNS).write.mode("overwrite").parquet(path)
 
 
-def load_model(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*MODEL_COLUMNS)
+def load_model(spark: SparkSession, path: str, cfg: MarkovConfig) -> DataFrame:
+    """A saved model.  Its size is checked, since it is broadcast: at most one
+    row per pair of states."""
+    model = spark.read.parquet(path).select(*MODEL_COLUMNS)
+    most = cfg.n_states**2
+    if model.limit(most + 1).count() > most:
+        raise ValueError(f"{path} has more than {most} rows, so it is no model of {cfg.n_states} states")
+    return model
 
 
 def model_text_rows(model: DataFrame, cfg: MarkovConfig) -> DataFrame:

@@ -119,7 +119,7 @@ def detect_stream(
         try:
             n_rows = batch.count()  # materialises the cached batch
             long = position_batch(batch, key=key, order=order, batch_rows=n_rows).persist()
-            model = load_model(spark, model_path)
+            model = load_model(spark, model_path, cfg)
             write(score_batch(long, model, cfg, key=key), alerts_path, alerts_topic, batch_id)
             if history_path or sink_format != "parquet":
                 write(history_messages(long, key=key), history_path, history_topic, batch_id)

@@ -221,3 +221,19 @@ def test_settings(spark, tmp_path):
 def test_history_message_of_nulls(spark):
     df = spark.createDataFrame([(None, ["NNL", None])], "c string, t array<string>")
     assert df.select(history_message("c", "t").alias("m")).first().m == "NULL.NNL,NULL"
+
+
+def test_a_loaded_model_is_checked(spark, seq_df):
+    from chainwatch.operators.model import dense
+    from chainwatch.sources.model_io import load_model, read_model_text, write_model_text
+
+    model, text, big = (work_path(spark, n) for n in ("test-lm", "test-lm-text", "test-lm-big"))
+    save_model(train_model(seq_df({"a": ["NNL", "NNN", "NNL"]}), CFG), model)
+    loaded = load_model(spark, model, CFG)
+    assert loaded.count() == 2
+    write_model_text(loaded, CFG, text)
+    cells = dense(read_model_text(spark, text, CFG), CFG)
+    assert [r.n for r in cells.where("p > 0").collect()] == [None, None] and dense(loaded, CFG).where("n = 1").count() == 2
+    loaded.withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(400)))).drop("x").write.parquet(big)
+    with pytest.raises(ValueError):
+        load_model(spark, big, CFG)
