@@ -9,14 +9,16 @@ documents in all,
     disclosure = PMI(e, t) / IC(e) = log(N n(e, t) / (n(e) n(t))) / log(N / n(e))
 
 is the share of the entity's information content that the term reveals (Sanchez
-and Batet, "C-sanitized", 2016).  Pairs seen in at least ``SUPPORT`` different
-texts are judged: from ``REMOVE`` on the term is removed, from ``GENERALISE`` on
-it is generalised, wherever it stands near that entity.
+and Batet, "C-sanitized", 2016).  Every observed pair is judged, whether one
+document holds it or many: from ``REMOVE`` on the term is removed, from
+``GENERALISE`` on it is generalised, wherever it stands near that entity.  For an
+entity of one document this asks how rare the term is in all documents.
 
 The texts are read twice: once for the patterns and the contexts, once to count
 candidate terms over all documents.  A fixed-size bitmap of the candidates'
 hashes keeps other words from being counted; what it lets through wrongly, an
-exact join removes.  Only counts and contexts are shuffled, never a text.
+exact join removes.  Only counts and contexts are shuffled, never a text; keys
+that more than one of ``HOT`` documents holds are joined by broadcast.
 
 Defined cases: a null text counts as empty and has no spans; overlapping
 patterns of different kinds are all reported; a context term never overlaps a
@@ -50,9 +52,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WINDOW, REACH = 8, 200
 #: Letters that a context term has at least.
 LEAST_LETTERS = 3
-SUPPORT, GENERALISE, REMOVE = 3, 0.75, 0.9
-#: Bits of the candidate bitmap; slices of a pair's contexts in the last join.
-BITS, SALTS = 1 << 20, 8
+#: Texts that a judged pair has at least: all pairs are; thresholds of the actions.
+SUPPORT, GENERALISE, REMOVE = 1, 0.75, 0.9
+#: Bits of the candidate bitmap; a key in more than documents / HOT is broadcast.
+BITS, HOT = 1 << 20, 1_000
 
 TERM = re.compile("[A-Za-z0-9\u0080-\U0010ffff]+")
 
@@ -199,38 +202,43 @@ def term_counts(docs: DataFrame, text: str, flags: np.ndarray) -> DataFrame:
     return docs.select(text).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
+def _joined(rows: DataFrame, other: DataFrame, keys: list[str], frequent) -> DataFrame:
+    """``rows`` joined with the unique ``keys`` of ``other``, whose ``frequent``
+    ones (a bounded number) are broadcast, so that no key fills a task."""
+    hot = other.where(frequent)
+    rest = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti").join(other.where(~frequent), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def disclosures(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
-    """(entity, term, disclosure, action) of the pairs above the thresholds."""
-    near = found.select("row", "text_key", F.inline("context")).select("row", "text_key", "entity", "term")
-    # documents and different texts of each pair; one row a document and pair first
-    once = near.distinct()
-    pairs = once.groupBy("entity", "term", "text_key").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
-        F.sum("n").alias("n_pair"), F.count("*").alias("texts")
-    )
-    pairs = written(pairs.where(F.col("texts") >= SUPPORT), "pii-pairs")
+    """(entity, term, disclosure, action, frequent) of the pairs above the thresholds."""
+    near = found.select("row", F.inline("context")).select("row", "entity", "term")
+    # documents of each pair; one row a document and pair first
+    pairs = written(near.distinct().groupBy("entity", "term").agg(F.count("*").alias("n_pair")), "pii-pairs")
     flags = _bitmap(pairs.select("term"))
     total = docs.count()
-    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    frequent = lambda n: F.col(n) > total / HOT
     if not flags.any():
-        return pairs.limit(0).select("entity", "term", F.lit(0.0).alias("disclosure"), F.lit(0).alias("action"))
-    rated = pairs.join(entities, "entity").join(term_counts(docs, text, flags), "term")
+        return pairs.limit(0).select("entity", "term", F.lit(0.0).alias("disclosure"), F.lit(0).alias("action"), F.lit(False).alias("frequent"))
+    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    rated = _joined(pairs, written(entities, "pii-entities"), ["entity"], frequent("n_entity"))
+    rated = _joined(rated, written(term_counts(docs, text, flags), "pii-terms"), ["term"], frequent("n_term"))
     information = F.log(F.lit(float(total)) / F.col("n_entity"))
     mutual = F.log(F.lit(float(total)) * F.col("n_pair") / (F.col("n_entity") * F.col("n_term")))
     rated = rated.withColumn("disclosure", F.when(information > 0, mutual / information).otherwise(0.0))
     action = F.when(F.col("disclosure") >= REMOVE, len(KINDS) + 1).otherwise(len(KINDS))
-    return rated.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure", action.alias("action"))
+    rated = rated.where(F.col("disclosure") >= GENERALISE)
+    return rated.select("entity", "term", "disclosure", action.alias("action"), frequent("n_pair").alias("frequent"))
 
 
 def find_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``id``, text_key, base and spans, arrays of (start,
     end, kind) by start and kind; ``spans`` adds the terms that disclose."""
     found = written(find_base(docs, id, text), "pii-base")
-    pairs = written(disclosures(docs, found, text), "pii-disclosures")
-    # a pair may stand in very many documents: its contexts are dealt over SALTS
-    salt = F.pmod(F.col("row"), F.lit(SALTS)).cast("int")
-    near = found.select("row", F.inline("context")).withColumn("salt", salt)
-    many = pairs.select("entity", "term", "action").withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-    added = near.join(many, ["entity", "term", "salt"]).groupBy("row", "start", "end").agg(F.max("action").alias("kind"))
+    pairs = written(disclosures(docs, found, text), "pii-disclosures").select("entity", "term", "action", "frequent")
+    near = found.select("row", F.inline("context"))
+    near = _joined(near, pairs, ["entity", "term"], F.col("frequent"))
+    added = near.groupBy("row", "start", "end").agg(F.max("action").alias("kind"))
     span = F.struct(*(F.col(c).cast(k).alias(c) for c, k in (("start", "bigint"), ("end", "bigint"), ("kind", "int"))))
     added = added.groupBy("row").agg(F.collect_list(span).alias("added"))
     rows = found.drop("context").join(added, "row", "left")

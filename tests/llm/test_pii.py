@@ -91,3 +91,31 @@ def test_spans_and_sanitised_text(make_docs):
 def test_nothing(make_docs):
     assert pii.find_spans(make_docs([])).count() == 0
     assert pii.find_spans(make_docs([None, None])).count() == 2
+
+
+def test_supplied_documents_get_terms(corpus):
+    """Each entity there is in one text, so only pairs of one text can be judged."""
+    rows, docs = corpus
+    texts = {i: t for i, t, _ in rows}
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find_spans(docs).collect()}
+    table = pii._byte_map()
+    words = {i: set((t or "").encode().translate(table).split()) for i, t in texts.items()}
+    n_term = {}
+    for w in words.values():
+        for x in w:
+            n_term[pii._hash(x)] = n_term.get(pii._hash(x), 0) + 1
+    near = {i: pii.contexts(t, pii.base_spans(t)) for i, t in texts.items() if t}
+    held, pairs = {}, {}
+    for i, c in near.items():
+        for e, w, _, _ in c:
+            held.setdefault(e, set()).add(i)
+            pairs.setdefault((e, w), set()).add(i)
+    want = {i: {} for i in texts}
+    for i, c in near.items():
+        for e, w, a, b in c:
+            share = math.log(len(rows) * len(pairs[e, w]) / (len(held[e]) * n_term[w])) / math.log(len(rows) / len(held[e]))
+            if share >= pii.GENERALISE:
+                want[i][a, b] = max(want[i].get((a, b), 0), 5 if share >= pii.REMOVE else 4)
+    added = {i: {(a, b): k for a, b, k in s if k >= 4} for i, s in got.items()}
+    assert added == want and any(added.values())
+    assert any(len(x) == 1 for x in held.values())
