@@ -29,6 +29,7 @@ an empty result; other columns are not read."""
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,8 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Words of context on either side, and code points that hold them at most.
-WINDOW, REACH = 8, 200
+#: Words of context on either side, however long they are.
+WINDOW = 8
 #: Letters that a context term has at least.
 LEAST_LETTERS = 3
 #: Texts that a judged pair has at least: all pairs are; thresholds of the actions.
@@ -112,18 +113,13 @@ def _hash(data: bytes) -> int:
 def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
     """(entity, term, start, end) of the terms near each span."""
     out = []
+    words = [m.span() for m in TERM.finditer(text)]
+    begins, ends = [a for a, _ in words], [b for _, b in words]
     for start, end, kind in spans:
         value = text[start:end]
         entity = _hash(f"{KINDS[kind]}:{_digits(value) if kind > 1 else value.lower()}".encode())
-        low = max(0, start - REACH)
-        before = [m.span() for m in TERM.finditer(text, low, start)]
-        if before and low and before[0][0] == low:
-            before = before[1:]  # a word that the reach cuts in two
-        reach = min(len(text), end + REACH)
-        after = [m.span() for m in TERM.finditer(text, end, reach)]
-        if after and after[-1][1] == reach < len(text):
-            after = after[:-1]
-        for a, b in before[-WINDOW:] + after[:WINDOW]:
+        before, after = bisect_right(ends, start), bisect_left(begins, end)
+        for a, b in words[max(0, before - WINDOW) : before] + words[after : after + WINDOW]:
             word = text[a:b]
             if sum(c.isalpha() for c in word) >= LEAST_LETTERS and not any(a < y and x < b for x, y, _ in spans):
                 out.append((entity, _hash(word.encode().translate(_MAP)), a, b))

@@ -119,3 +119,11 @@ def test_supplied_documents_get_terms(corpus):
     added = {i: {(a, b): k for a, b, k in s if k >= 4} for i, s in got.items()}
     assert added == want and any(added.values())
     assert any(len(x) == 1 for x in held.values())
+
+
+def test_window_counts_words_however_long():
+    long = [c * 90 for c in "abcdefghi"]
+    text = f"{' '.join(long)} anna.k@arden.example {' '.join(reversed(long))}"
+    near = pii.contexts(text, pii.base_spans(text))
+    assert [text[a:b] for _, _, a, b in near] == long[-pii.WINDOW :] + long[::-1][: pii.WINDOW]
+    assert len({e for e, *_ in near}) == 1
