@@ -10,8 +10,9 @@ numpy; passages without a block that reaches the threshold are done.  The others
 run block-max WAND over the posting lists: the pivot is the first item whose
 preceding terms' largest impacts reach the threshold, blocks whose bound does
 not are skipped, and what is left is scored.  All items above the threshold are
-returned, and each is verified: the shares of its question's and its answer's
-five-word shingles that the passage holds must both reach ``OVERLAP``.
+returned, and each is verified: the share of its five-word shingles that the
+passage holds must reach ``OVERLAP``; of an item with a question and an answer
+column, the question's and the answer's share must both.
 
 Passages are two neighbouring pieces of as many words as the longest item, so
 each place of an item's length lies whole in one passage.  The index goes to the
@@ -20,7 +21,7 @@ larger benchmark is scanned shard by shard.  Documents are not shuffled.
 
 Defined cases: null or empty documents match nothing; items without words are
 left out; items with equal texts are all reported; without a question and an
-answer column an item's last quarter, five words at least, is its answer;
+answer column an item is one part, whose share stands for both overlaps;
 shorter parts are one shingle; rows are independent, other columns pass
 through."""
 
@@ -62,13 +63,14 @@ def _shingles(words: list) -> set[tuple]:
 
 
 class ItemIndex:
-    """Inverted index of items: (id, question words, answer words)."""
+    """Inverted index of items: (id, question words, answer words), or (id, words,
+    None) for items that are one part."""
 
-    def __init__(self, items: list[tuple[int, list[bytes], list[bytes]]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[int, list[bytes], list[bytes] | None]], threshold: float = THRESHOLD):
         self.threshold = threshold
         self.items = [x for x in items if x[1] or x[2]]
         n = len(self.items)
-        words = [q + a for _, q, a in self.items]
+        words = [q + (a or []) for _, q, a in self.items]
         self.half = max([LEAST_WORDS, *map(len, words)])
         counts = [{} for _ in words]
         for c, w in zip(counts, words):
@@ -95,7 +97,7 @@ class ItemIndex:
                 # bounds are rounded up, so that float32 never hides an item
                 self.block_max[at, block] = max(self.block_max[at, block], np.float32(impact * 1.000001))
         self.most = self.block_max.max(axis=1) if n else np.zeros(0, np.float32)
-        self.parts = [(_shingles(q), _shingles(a)) for _, q, a in self.items]
+        self.parts = [[_shingles(x) for x in parts if x is not None] for _, *parts in self.items]
 
     # -- retrieval
 
@@ -188,14 +190,14 @@ class ItemIndex:
             if not hits:
                 continue
             held: dict[tuple, int] = {}
-            for n in {min(SHINGLE, len(x)) for i, _ in hits for x in (self.items[i][1], self.items[i][2])} - {0}:
+            for n in {min(SHINGLE, len(x)) for i, _ in hits for x in self.items[i][1:] if x}:
                 for i in range(len(words) - n + 1):
                     held.setdefault(tuple(words[i : i + n]), i)
             for i, score in hits:
                 shares = [len(p & held.keys()) / len(p) if p else 1.0 for p in self.parts[i]]
                 if min(shares) >= OVERLAP:
                     at = [(held[s], held[s] + len(s) - 1) for p in self.parts[i] for s in p if s in held]
-                    row = (self.items[i][0], score, *shares, begin + min(x for x, _ in at), begin + max(y for _, y in at))
+                    row = (self.items[i][0], score, shares[0], shares[-1], begin + min(x for x, _ in at), begin + max(y for _, y in at))
                     out[doc].append(row)
         return [_best(rows) for rows in out]
 
@@ -214,14 +216,9 @@ def item_shards(benchmark: DataFrame, id: str = "item_id", text: str = "text", q
     columns = [F.col(id).cast("bigint").alias("id"), *([F.col(question).alias("q"), F.col(answer).alias("a")] if question else [F.col(text).alias("q")])]
     held, size = [], 0
     for r in benchmark.select(columns).orderBy("id").toLocalIterator():
-        words = terms_of(r.q, table)
-        if question:
-            rest = terms_of(r.a, table)
-        else:
-            cut = max(0, len(words) - max(SHINGLE, len(words) // 4))
-            words, rest = words[:cut], words[cut:]
+        words, rest = terms_of(r.q, table), terms_of(r.a, table) if question else None
         held.append((r.id, words, rest))
-        size += sum(map(len, words)) + sum(map(len, rest))
+        size += sum(map(len, words)) + sum(map(len, rest or []))
         if len(held) >= SHARD_ITEMS or size >= SHARD_BYTES:
             yield ItemIndex(held)
             held, size = [], 0

@@ -79,3 +79,15 @@ def test_question_and_answer_columns(spark, make_docs):
     docs = make_docs([" ".join(rows[0][1:]), rows[0][1], rows[0][2]]).withColumnRenamed("lang", "matches")
     kept = d.drop_contaminated(docs, benchmark, question="q", answer="a")
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2] and kept.columns == ["doc_id", "text", "matches"]
+
+
+def test_one_edited_word_at_each_place(spark, make_docs):
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join([*words[:k], "edited", *words[k + 1 :]]) for k in range(40)]
+    texts += [" ".join(words[9:]), " ".join(words[:24] + words[32:])]  # 27 of 36 and 20 + 4 of 36 shingles
+    benchmark = spark.createDataFrame([(7, " ".join(words))], "item_id bigint, text string")
+    found = d.find_matches(make_docs(texts), benchmark).selectExpr("doc_id", "inline(matches)").collect()
+    share = {r.doc_id: r.question_overlap for r in found}
+    # shingle i, of words i to i + 4, is lost if it holds word k
+    assert share == {k: sum(not i <= k <= i + 4 for i in range(36)) / 36 for k in range(40)}
+    assert all(r.answer_overlap == r.question_overlap and r.item_id == 7 for r in found)
