@@ -18,6 +18,8 @@ from chainwatch.session import work_path
 ARROW_ROWS = 512
 #: Bytes of text that a worker handles at a time.
 CHUNK_BYTES = 4 << 20
+#: A key in more than documents / HOT is broadcast in ``joined``.
+HOT = 1_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +35,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def joined(rows: DataFrame, other: DataFrame, keys: list[str], frequent) -> DataFrame:
+    """``rows`` joined with the unique ``keys`` of ``other``, whose ``frequent``
+    ones (a bounded number) are broadcast, so that no key fills a task."""
+    hot = other.where(frequent)
+    rest = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti").join(other.where(~frequent), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``df`` has it."""
     while name.lower() in {c.lower() for c in df.columns}:

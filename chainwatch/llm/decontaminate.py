@@ -16,8 +16,11 @@ column, the question's and the answer's share must both.
 
 Passages are two neighbouring pieces of as many words as the longest item, so
 each place of an item's length lies whole in one passage.  The index goes to the
-tasks in shards of at most ``SHARD_ITEMS`` items and ``SHARD_BYTES`` of text; a
-larger benchmark is scanned shard by shard.  Documents are not shuffled.
+tasks in shards of at most ``SHARD_ITEMS`` items and ``SHARD_BYTES`` of text.
+Document frequencies, their number and the lengths are those of all items, so
+scores and passages do not depend on the shards.  One shard is scanned without a
+shuffle; of more, each one's matches are written before the next is built, and
+then joined to the documents by a digest of the text.
 
 Defined cases: null or empty documents match nothing; items without words are
 left out; items with equal texts are all reported; without a question and an
@@ -28,6 +31,9 @@ through."""
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
+from functools import reduce
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainwatch.llm._common import unused, with_text_columns
+from chainwatch.llm._common import HOT, joined, text_slices, unused, with_text_columns, written
 
 #: BM25's usual parameters.
 K1, B = 1.2, 0.75
@@ -64,14 +70,14 @@ def _shingles(words: list) -> set[tuple]:
 
 class ItemIndex:
     """Inverted index of items: (id, question words, answer words), or (id, words,
-    None) for items that are one part."""
+    None) for items that are one part.  ``whole`` has the number of all items, of
+    their words, the longest one's words and {term: items}, if these are a shard."""
 
-    def __init__(self, items: list[tuple[int, list[bytes], list[bytes] | None]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[int, list[bytes], list[bytes] | None]], threshold: float = THRESHOLD, whole: tuple | None = None):
         self.threshold = threshold
         self.items = [x for x in items if x[1] or x[2]]
         n = len(self.items)
         words = [q + (a or []) for _, q, a in self.items]
-        self.half = max([LEAST_WORDS, *map(len, words)])
         counts = [{} for _ in words]
         for c, w in zip(counts, words):
             for t in w:
@@ -80,14 +86,17 @@ class ItemIndex:
         for c in counts:
             for t in c:
                 df[t] = df.get(t, 0) + 1
-        mean = sum(map(len, words)) / max(n, 1)
         self.terms = {t: i for i, t in enumerate(sorted(df))}
+        size = list(map(len, words))
+        number, total, longest, df = whole or (n, sum(size), max(size, default=0), df)
+        self.half = max(LEAST_WORDS, longest)
+        mean = total / max(number, 1)
         self.per_block = max(1, -(-n // BLOCKS))
-        self.postings: list[tuple[list[int], list[float]]] = [([], []) for _ in df]
-        self.block_max = np.zeros((len(df), max(1, -(-n // self.per_block))), np.float32)
+        self.postings: list[tuple[list[int], list[float]]] = [([], []) for _ in self.terms]
+        self.block_max = np.zeros((len(self.terms), max(1, -(-n // self.per_block))), np.float32)
         for i, (c, w) in enumerate(zip(counts, words)):
             norm = K1 * (1 - B + B * len(w) / mean)
-            weight = {t: np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + norm) for t, f in c.items()}
+            weight = {t: np.log(1 + (number - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + norm) for t, f in c.items()}
             own = sum(weight.values())
             for t, v in weight.items():
                 at, impact = self.terms[t], v / own
@@ -153,12 +162,13 @@ class ItemIndex:
             if live[at] != block:  # no item of this block can reach the threshold
                 goal = live[at] * self.per_block
             elif item(cursors[0]) == pivot:
-                score = 0.0
+                impacts = []
                 for c in cursors:
                     if item(c) != pivot:
                         break
-                    score += c[1][c[2]]
+                    impacts.append(c[1][c[2]])
                     c[2] += 1
+                score = fsum(impacts)  # the same in any order of the cursors
                 if score >= self.threshold - 1e-9:
                     found.append((pivot, score))
                 continue
@@ -210,20 +220,47 @@ def _best(rows: list[tuple]) -> list[tuple]:
     return list(best.values())
 
 
-def item_shards(benchmark: DataFrame, id: str = "item_id", text: str = "text", question: str | None = None, answer: str | None = None):
-    """Indexes of the items, in shards of bounded size."""
-    table = _byte_map()
-    columns = [F.col(id).cast("bigint").alias("id"), *([F.col(question).alias("q"), F.col(answer).alias("a")] if question else [F.col(text).alias("q")])]
-    held, size = [], 0
-    for r in benchmark.select(columns).orderBy("id").toLocalIterator():
-        words, rest = terms_of(r.q, table), terms_of(r.a, table) if question else None
-        held.append((r.id, words, rest))
-        size += sum(map(len, words)) + sum(map(len, rest or []))
-        if len(held) >= SHARD_ITEMS or size >= SHARD_BYTES:
-            yield ItemIndex(held)
-            held, size = [], 0
-    if held:
-        yield ItemIndex(held)
+def _items(benchmark: DataFrame, id: str, text: str, question: str | None, answer: str | None) -> DataFrame:
+    """(row, id, q, a) of the items that have words; q and a: their words, a is
+    null for items that are one part."""
+    one = F.lit(None).cast("string")
+    rows = benchmark.select(F.col(id).cast("bigint").alias("id"), F.col(question or text).alias("q"), (F.col(answer) if question else one).alias("a"))
+
+    def run(batches):
+        table, kind = _byte_map(), pa.list_(pa.binary())
+        for whole in batches:
+            for b in text_slices(whole, "q"):
+                q, a = ([terms_of(t, table) for t in b.column(c).to_pylist()] for c in ("q", "a"))
+                a = pa.array(a if question else [None] * len(q), kind)
+                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(q, kind), a], names=["id", "q", "a"])
+
+    items = rows.mapInArrow(run, "id bigint, q array<binary>, a array<binary>")
+    return written(items.where(_words() > 0).withColumn("row", F.monotonically_increasing_id()), "decontaminate-items")
+
+
+def _words():
+    return F.size("q") + F.coalesce(F.array_size("a"), F.lit(0))
+
+
+def item_shards(
+    benchmark: DataFrame, id: str = "item_id", text: str = "text", question: str | None = None, answer: str | None = None
+) -> Iterator[tuple[ItemIndex, bool]]:
+    """Indexes of the items, in shards of bounded size; and whether each is the last."""
+    items = _items(benchmark, id, text, question, answer)
+    n, total, longest = items.select(_words().alias("w")).agg(F.count("*"), F.sum("w"), F.max("w")).first()
+    empty = F.array().cast("array<binary>")
+    terms = items.select("row", F.explode(F.array_distinct(F.concat("q", F.coalesce("a", empty)))).alias("term"))
+    counts = written(terms.groupBy("term").agg(F.count("*").alias("n")), "decontaminate-terms")
+    known = joined(terms, counts, ["term"], F.col("n") > n / HOT).groupBy("row").agg(F.collect_list(F.struct("term", "n")).alias("known"))
+    held, size, df, seen = [], 0, {}, 0
+    for r in items.join(known, "row").orderBy("id", "row").toLocalIterator():
+        held.append((r.id, list(map(bytes, r.q)), None if r.a is None else list(map(bytes, r.a))))
+        df.update((bytes(x.term), x.n) for x in r.known)
+        size += sum(map(len, r.q)) + sum(map(len, r.a or []))
+        seen += 1
+        if len(held) >= SHARD_ITEMS or size >= SHARD_BYTES or seen == n:
+            yield ItemIndex(held, whole=(n, total, longest, df)), seen == n
+            held, size, df = [], 0, {}
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "matches", **columns) -> DataFrame:
@@ -231,9 +268,22 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", out:
     question_overlap, answer_overlap, first_word and last_word."""
     kind = T._parse_datatype_string(MATCHES)
     base = docs.withColumn(out, F.array().cast(kind))
-    for shard in item_shards(benchmark, **columns):
-        base = _scan(base, shard, text, out, kind)
-    return base
+    parts = []
+    for shard, last in item_shards(benchmark, **columns):
+        if last and not parts:
+            return _scan(base, shard, text, out, kind)
+        found = _scan(docs.select(F.col(text).alias("t"), F.array().cast(kind).alias("m")), shard, "t", "m", kind)
+        parts.append(written(found.select(F.sha2("t", 256).alias("key"), F.explode("m").alias("m")), "decontaminate-matches"))
+    if not parts:
+        return base
+    # equal texts have equal matches; an item's best row as in _best
+    best = F.max_by("m", F.struct("m.bm25", -F.col("m.first_word")))
+    found = reduce(DataFrame.union, parts).groupBy("key", "m.item_id").agg(best.alias("m"))
+    key, new = unused(base, "key"), unused(base, "found")
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("m.item_id").isNull().alias("last"), "m")))
+    found = found.groupBy(F.col("key").alias(key)).agg(F.transform(ordered, lambda x: x["m"]).alias(new))
+    more = base.withColumn(key, F.sha2(text, 256)).join(found, key, "left")
+    return more.withColumn(out, F.coalesce(new, out)).select(base.columns)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **columns) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainwatch.llm._common import text_slices, with_text_columns, written
+from chainwatch.llm._common import HOT, joined, text_slices, with_text_columns, written
 
 #: Kinds of pattern spans, in the order of equal starts; actions on terms follow.
 KINDS = ("email", "ip", "card", "phone")
@@ -55,8 +55,8 @@ WINDOW = 8
 LEAST_LETTERS = 3
 #: Texts that a judged pair has at least: all pairs are; thresholds of the actions.
 SUPPORT, GENERALISE, REMOVE = 1, 0.75, 0.9
-#: Bits of the candidate bitmap; a key in more than documents / HOT is broadcast.
-BITS, HOT = 1 << 20, 1_000
+#: Bits of the candidate bitmap.
+BITS = 1 << 20
 
 TERM = re.compile("[A-Za-z0-9\u0080-\U0010ffff]+")
 
@@ -198,14 +198,6 @@ def term_counts(docs: DataFrame, text: str, flags: np.ndarray) -> DataFrame:
     return docs.select(text).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
-def _joined(rows: DataFrame, other: DataFrame, keys: list[str], frequent) -> DataFrame:
-    """``rows`` joined with the unique ``keys`` of ``other``, whose ``frequent``
-    ones (a bounded number) are broadcast, so that no key fills a task."""
-    hot = other.where(frequent)
-    rest = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti").join(other.where(~frequent), keys)
-    return rows.join(F.broadcast(hot), keys).unionByName(rest)
-
-
 def disclosures(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
     """(entity, term, disclosure, action, frequent) of the pairs above the thresholds."""
     near = found.select("row", F.inline("context")).select("row", "entity", "term")
@@ -217,8 +209,8 @@ def disclosures(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFr
     if not flags.any():
         return pairs.limit(0).select("entity", "term", F.lit(0.0).alias("disclosure"), F.lit(0).alias("action"), F.lit(False).alias("frequent"))
     entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    rated = _joined(pairs, written(entities, "pii-entities"), ["entity"], frequent("n_entity"))
-    rated = _joined(rated, written(term_counts(docs, text, flags), "pii-terms"), ["term"], frequent("n_term"))
+    rated = joined(pairs, written(entities, "pii-entities"), ["entity"], frequent("n_entity"))
+    rated = joined(rated, written(term_counts(docs, text, flags), "pii-terms"), ["term"], frequent("n_term"))
     information = F.log(F.lit(float(total)) / F.col("n_entity"))
     mutual = F.log(F.lit(float(total)) * F.col("n_pair") / (F.col("n_entity") * F.col("n_term")))
     rated = rated.withColumn("disclosure", F.when(information > 0, mutual / information).otherwise(0.0))
@@ -233,7 +225,7 @@ def find_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     found = written(find_base(docs, id, text), "pii-base")
     pairs = written(disclosures(docs, found, text), "pii-disclosures").select("entity", "term", "action", "frequent")
     near = found.select("row", F.inline("context"))
-    near = _joined(near, pairs, ["entity", "term"], F.col("frequent"))
+    near = joined(near, pairs, ["entity", "term"], F.col("frequent"))
     added = near.groupBy("row", "start", "end").agg(F.max("action").alias("kind"))
     span = F.struct(*(F.col(c).cast(k).alias(c) for c, k in (("start", "bigint"), ("end", "bigint"), ("kind", "int"))))
     added = added.groupBy("row").agg(F.collect_list(span).alias("added"))

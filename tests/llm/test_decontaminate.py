@@ -91,3 +91,20 @@ def test_one_edited_word_at_each_place(spark, make_docs):
     # shingle i, of words i to i + 4, is lost if it holds word k
     assert share == {k: sum(not i <= k <= i + 4 for i in range(36)) / 36 for k in range(40)}
     assert all(r.answer_overlap == r.question_overlap and r.item_id == 7 for r in found)
+
+
+def test_shards_change_nothing(spark, corpus, monkeypatch):
+    rows, docs = corpus
+    benchmark = spark.read.parquet(f"{SF001}/benchmark.parquet")
+    again = benchmark.unionByName(benchmark.where("item_id % 3 = 0"))  # equal ids in two shards
+    docs = docs.unionByName(docs.limit(50))  # equal rows
+    # edited items: their scores hang on the document frequencies
+    edited = benchmark.selectExpr("-item_id AS doc_id", "concat('edited ', substring_index(text, ' ', size(split(text, ' ')) - 1)) AS text")
+    docs = docs.unionByName(edited, allowMissingColumns=True)
+    shown = lambda df: sorted(map(str, df.drop("text").collect()))
+    whole = d.find_matches(docs, again)
+    want, columns = shown(whole), whole.columns
+    monkeypatch.setattr(d, "SHARD_ITEMS", again.count() // 4)
+    parts = d.find_matches(docs, again)
+    assert len(list(d.item_shards(again))) > 3 and parts.columns == columns
+    assert shown(parts) == want and any("item_id" in x for x in want)
