@@ -33,8 +33,8 @@ SAMPLE = 400
 BUCKETS, ALPHA = 1 << 16, 0.05
 #: EM steps for all languages, and for each refitted set.
 STEPS, REFIT = 12, 6
-#: Largest language set, and the proportion from which a language may join one.
-MAX_SET, LEAST_SHARE = 3, 0.02
+#: The proportion from which a language may join a set.
+LEAST_SHARE = 0.02
 UNKNOWN = "und"
 
 
@@ -120,7 +120,7 @@ class LanguageModel:
         order = np.argsort(-share[:, :k], axis=1, kind="stable")
         best = np.full(len(some), np.inf)
         chosen = np.zeros_like(share)
-        for m in range(1, min(MAX_SET, k) + 1):
+        for m in range(1, k + 1):
             # the set of the m largest; beyond one only where its last has a share
             rows = np.flatnonzero(np.take_along_axis(share, order[:, m - 1 : m], 1)[:, 0] >= (LEAST_SHARE if m > 1 else 0))
             if not len(rows):

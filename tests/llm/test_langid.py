@@ -56,3 +56,13 @@ def test_nothing_to_learn(make_docs):
     assert {r.lang_pred for r in langid.identify(make_docs(EDGES), model).collect()} == {"und"}
     assert langid.drop_rejected(make_docs(EDGES), model).count() == 0
     assert langid.identify(make_docs([]), model).count() == 0
+
+
+def test_mixture_of_all_languages(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    model = langid.fit(docs)
+    by = {r.lang: r.text for r in docs.where("length(text) between 1500 and 4000 and lang is not null").dropDuplicates(["lang"]).collect()}
+    assert set(by) == set(model.languages) and len(by) > 3
+    lang, _, parts, rejected = model.infer([" ".join(t[:1400] for t in by.values())])[0]
+    assert set(parts) == set(by) and min(parts.values()) > 0.1 and lang in by and not rejected
+    assert abs(sum(parts.values()) - 1) < 0.02
