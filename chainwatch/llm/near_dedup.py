@@ -7,8 +7,9 @@ sketch holds the ``SKETCH`` smallest of them.
    only the class's smallest id goes on, so exact copies cost one row each.
 2. Inverted lists gather the classes that share a value.  A value in more than
    ``BLOCK`` classes says little, so every class is listed under its ``LISTED``
-   smallest values that are not so common.  Classes with fewer than
-   ``LEAST_RARE`` of these (as in a large group of near copies) are listed under
+   smallest values that are not so common, and under ``MORE`` further ones for
+   each common value, because the rest of such a pair agrees less.  Classes with
+   fewer than ``LEAST_RARE`` of these among the first 2 * LISTED are listed under
    every run of three consecutive sketch values as well, short ones under runs of
    two, of which two linked short sets always share one.
 3. Within a list, the sketch of the union gives an estimate of the similarity.
@@ -19,9 +20,10 @@ sketch holds the ``SKETCH`` smallest of them.
 
 A list or cluster that is larger than a block is dealt out to tasks in pairs of
 blocks (see ``_linked``), so that no task holds more than two.  Two sets with a
-similarity of 0.8 share none of the 8 smallest such values of their union with
-probability 0.2^8, and no run of three in 64 with probability below 1e-8; their
-estimate is 4 standard deviations above LOOSE.
+similarity of 0.8 share none of the smallest such values of their union with
+probability 0.2^8 or less (1e-5 if only one of the two gets runs), and no run of
+three in 64 with probability below 1e-8; their estimate is 6 standard deviations
+above the limit of a loose link, which it misses with probability 2e-8.
 
 Defined cases: null text, or one without words, has the empty set, is linked
 with nothing and is its own component; a text with fewer words than a shingle
@@ -42,15 +44,17 @@ from chainwatch.llm.components import components
 
 #: Values of a sketch, and those of them that get inverted lists.
 SKETCH, LISTED = 64, 8
+#: Further values listed for each common one: c of 16 leave (0.8 - c / 16) / (1 - c / 16).
+MORE = 0.6
 #: Values that are not very common, among a class's first 2 * LISTED, below which
 #: it is listed by runs too; sketch size below which these are runs of two as well.
-LEAST_RARE, SHORT = 10, 32
+LEAST_RARE, SHORT = 11, 32
 #: Classes of a block: the most that a list holds before it is refined or split.
 BLOCK = 1024
 #: Shingles of a block in the exact comparison.
 BLOCK_SHINGLES = 1 << 20
 #: Estimated similarity, below the wanted one, that makes a loose link.
-LOOSE = 0.2
+LOOSE = 0.3
 #: Words whose hashes a worker remembers before it starts afresh.
 CACHE_WORDS = 400_000
 #: Classes with more than rows / MAX_HOT members are looked up by broadcast.
@@ -123,7 +127,8 @@ def _lists(classes: DataFrame) -> DataFrame:
     first = written(first, "near-lists")
     common = first.where(F.col("m") > BLOCK).groupBy("rep").agg(F.count("*").alias("common"))
     own = first.where(F.col("m") <= BLOCK).join(common, "rep", "left")
-    own = own.where(F.col("rank") < LISTED + F.coalesce("common", F.lit(0)))
+    many = F.coalesce("common", F.lit(0))
+    own = own.where(F.col("rank") < LISTED + many + F.ceil(many * MORE))
     # the ranks now listed may have left a list with one member
     own = shared(own.select("rep", "key"))
     rare = F.least(F.size("sketch"), F.lit(2 * LISTED)) - F.col("common")

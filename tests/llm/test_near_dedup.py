@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from chainwatch.llm import near_dedup
 from chainwatch.llm.components import components
 
@@ -115,3 +117,24 @@ def test_short_texts_of_common_shingles(make_docs, monkeypatch):
     texts += [" ".join(words[:6] + words[rnd.randrange(6) :]) for _ in range(25)]
     rows = list(enumerate(texts))
     assert _got(near_dedup.near_groups(make_docs(rows).repartition(3))) == brute(rows)
+
+
+def test_classes_with_common_values_are_listed_more(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 2)
+    for common, keys in ((0, 8), (1, 9), (2, 10), (4, 11), (5, 11)):
+        same = [*range(common), *range(100, 140)]
+        rows = [(1, same), (2, same), (3, [*range(common), *range(200, 240)])]
+        listed = near_dedup._lists(spark.createDataFrame(rows, "rep bigint, sketch array<bigint>")).collect()
+        assert sorted(r.key for r in listed if r.rep == 1) == sorted(range(100, 100 + keys))
+    same = [*range(6), *range(100, 140)]
+    rows = [(1, same), (2, same), (3, [*range(6), *range(200, 240)])]
+    listed = near_dedup._lists(spark.createDataFrame(rows, "rep bigint, sketch array<bigint>")).collect()
+    assert len({r.key for r in listed if r.rep == 1}) == 10 + len(same) - 2  # rare values and runs of three
+
+
+def test_estimate_leaves_room_below_the_limit():
+    shared = [*range(0, 450, 10), 1000]
+    a, b = (sorted(shared + [x + i for x in range(0, 180, 10)]) for i in (1, 2))
+    assert len(a) == len(b) == near_dedup.SKETCH and 0.5 < 46 / 82 < 0.6
+    found = near_dedup._estimated(0.8)(pa.chunked_array([[1000, 1000]]), pa.chunked_array([[a, b]], pa.list_(pa.int64())))
+    assert list(found) == [(0, 1)]
