@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from chainwatch.config import DEFAULT_STATES, MarkovConfig
 from chainwatch.functions.states import read_states, state_index
 from chainwatch.functions.text import parse_transaction_lines, transaction_line
+from chainwatch.operators.arrays import score_sequences
 from chainwatch.operators.ordering import sequence_positions
 from chainwatch.operators.model import best_successor, dense, row_entropy, row_totals, train, transition_counts
 from chainwatch.operators.scoring import detect, score_windows
@@ -40,8 +41,7 @@ from chainwatch.sources.transactions import (
     write_sequences,
     write_transactions_text,
 )
-from chainwatch.streaming.detect import detect_stream, history_messages, read_alerts, read_history
-from chainwatch.streaming.replay import replay_slices
+from chainwatch.streaming.detect import detect_stream, history_messages, read_alerts, read_history, read_output
 
 CFG = MarkovConfig()
 KEY = "user_id"
@@ -125,12 +125,54 @@ def q_sequence_table_scores(spark, sf_dir):
     return s.select(KEY, "pos", *WINDOW_COLS, "score")
 
 
+def _stored(spark, sf_dir, cfg):
+    """The tokens, and their sequences read back from parquet."""
+    t = _tokens(spark, sf_dir)
+    path = work_path(spark, "stored-sequences")
+    write_sequences(build_sequences(t, KEY, cfg), path)
+    return t, spark.read.parquet(path)
+
+
+def q_array_scores(spark, sf_dir):
+    """Windows scored inside the stored arrays: one row a customer."""
+    t, stored = _stored(spark, sf_dir, CFG)
+    return score_sequences(stored, train_model(t, CFG, key=KEY), CFG, KEY).select(KEY, "pos", *WINDOW_COLS, "score")
+
+
+def q_array_scores_pieces(spark, sf_dir):
+    """The same with sequences cut into pieces of 7 tokens, by miss rate."""
+    t, stored = _stored(spark, sf_dir, CFG.with_(chunk=7))
+    s = score_sequences(stored, train_model(t, CFG, key=KEY), CFG, KEY, algorithm="MissRate")
+    return s.select(KEY, "pos", *WINDOW_COLS, "score")
+
+
+def q_array_entropy_pieces(spark, sf_dir):
+    """Entropy needs the sums of all earlier pieces."""
+    cfg = CFG.with_(chunk=7, zero_cell="limit")
+    t, stored = _stored(spark, sf_dir, cfg)
+    s = score_sequences(stored, train_model(t, cfg, key=KEY), cfg, KEY, algorithm="EntropyReduction")
+    return s.select(KEY, "pos", *WINDOW_COLS, F.round("score", 9).alias("score"))
+
+
 def _null_tokens(spark, sf_dir):
     """Every seventh customer is NULL; their tokens are one sequence."""
     t = _tokens(spark, sf_dir).select(F.when(F.col(KEY) % 7 != 0, F.col(KEY)).alias(KEY), "ts", "event_id", "token")
     return sequence_positions(t, KEY, ["ts", "event_id"], hot_rows=500)
 
 
+def q_null_token_pieces(spark, sf_dir):
+    """NULL tokens, and NULL and empty customers, cut into pieces of 7 tokens,
+    through text lines and back."""
+    who = F.when(F.col(KEY) % 7 == 1, F.lit("")).when(F.col(KEY) % 7 != 0, F.col(KEY).cast("string"))
+    token = F.when(F.col("event_id") % 11 != 0, F.col("token"))
+    t = _tokens(spark, sf_dir).select(who.alias("customer"), "ts", "event_id", token.alias("token"))
+    t = sequence_positions(t, "customer", ["ts", "event_id"])
+    path = work_path(spark, "null-pieces")
+    write_sequence_lines(build_sequences(t, "customer", CFG.with_(chunk=7)), path, key="customer")
+    long = read_sequence_lines(spark, path)
+    return transitions(long, ["customer_id", "line_id"], CFG).select("customer_id", "pos", "src", "dst")
+
+
 def q_null_customer_scores(spark, sf_dir):
     """A NULL customer that is also hot keeps all its windows, in order."""
     t = _null_tokens(spark, sf_dir)
@@ -261,21 +303,37 @@ def q_history_messages(spark, sf_dir):
     return history_messages(t.withColumn("is_new", F.lit(True)), key=KEY, by=["slice"])
 
 
+def replay_slices(rows: DataFrame, slice_col: str, slices, model_path: str, cfg: MarkovConfig, workdir: str, **options) -> dict[str, str]:
+    """Feed the stream from a table: one query runs all the time, and each slice is
+    appended to its input folder once the one before is done, so slices are
+    consumed strictly in order."""
+    spark = rows.sparkSession
+    paths = {n: f"{workdir}/{n}" for n in ("input", "checkpoint", "alerts", "history")}
+    source = rows.persist()
+    try:
+        source.limit(0).drop(slice_col).write.mode("append").parquet(paths["input"])
+        stream = spark.readStream.schema(rows.drop(slice_col).schema).parquet(paths["input"])
+        outputs = {"alerts_path": paths["alerts"], "history_path": paths["history"], "checkpoint": paths["checkpoint"]}
+        q = detect_stream(stream, model_path, cfg, **outputs, trigger={"processingTime": "0 seconds"}, **options)
+        try:
+            for s in slices:
+                source.where(F.col(slice_col) == F.lit(s)).drop(slice_col).write.mode("append").parquet(paths["input"])
+                q.processAllAvailable()
+        finally:
+            q.stop()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    finally:
+        source.unpersist()
+    return paths
+
+
 def _replayed(spark, sf_dir):
     t, slices = _sliced(_tokens(spark, sf_dir))
     model_path = work_path(spark, "stream-model")
     save_model(train_model(t, CFG, key=KEY), model_path)
-    return replay_slices(
-        t,
-        "slice",
-        list(range(slices)),
-        model_path,
-        CFG,
-        work_path(spark, "stream"),
-        key=KEY,
-        order=["ts", "event_id"],
-        retain="batch",  # history rows as the original stores them: carry + last batch
-    )
+    # history rows as the original stores them: carry + last batch
+    return replay_slices(t, "slice", range(slices), model_path, CFG, work_path(spark, "stream"), key=KEY, order=["ts", "event_id"], retain="batch")
 
 
 def q_stream_detect(spark, sf_dir):
@@ -291,7 +349,7 @@ def q_stream_history(spark, sf_dir):
 def q_stream_history_messages(spark, sf_dir):
     """What the stream wrote to its history output."""
     paths = _replayed(spark, sf_dir)
-    return spark.read.option("basePath", paths["history"]).parquet(paths["history"]).select(KEY, "message")
+    return read_output(spark, paths["history"]).select(KEY, "message")
 
 
 def q_text_stream_detect(spark, sf_dir):
@@ -308,6 +366,55 @@ def q_text_stream_detect(spark, sf_dir):
     return read_alerts(spark, f"{out}/alerts").select("customer_id", "pos", *WINDOW_COLS, "score")
 
 
+def q_byte_records_detect(spark, sf_dir):
+    """A recorded topic of byte records, ordered by (partition, offset)."""
+    t = _tokens(spark, sf_dir)
+    src, model, out = (work_path(spark, n) for n in ("records", "records-model", "records-out"))
+    save_model(train_model(t, CFG, key=KEY), model)
+    t = t.withColumn("partition", F.pmod(F.xxhash64(KEY), F.lit(4)).cast("int"))
+    t = sequence_positions(t.drop("pos"), "partition", ["ts", "event_id"], pos="offset")
+    line = transaction_line(KEY, "event_id", "token").cast("binary")
+    t.select(F.col(KEY).cast("string").cast("binary").alias("key"), line.alias("value"), "partition", "offset").write.parquet(src)
+    stream = read_transaction_stream(spark, "records", path=src)
+    order = ["kafka_partition", "kafka_offset"]
+    q = detect_stream(stream, model, CFG, alerts_path=f"{out}/alerts", checkpoint=f"{out}/ck", order=order, trigger={"availableNow": True})
+    q.awaitTermination()
+    return read_alerts(spark, f"{out}/alerts").select("customer_id", "pos", *WINDOW_COLS, "score")
+
+
+def q_stream_rejects(spark, sf_dir):
+    """Every fifth line has lost its token: one read of the source gives alerts and
+    histories from the good lines and the others as rejects."""
+    t = _tokens(spark, sf_dir)
+    src, model, out = (work_path(spark, n) for n in ("torn-lines", "torn-model", "torn-out"))
+    save_model(train_model(t, CFG, key=KEY), model)
+    line = F.when(F.col("event_id") % 5 == 0, F.concat_ws(",", KEY, "event_id")).otherwise(transaction_line(KEY, "event_id", "token"))
+    t.select(line.alias("value")).write.text(src)
+    stream = read_transaction_stream(spark, "text", path=src, mode="mark").withColumn("_order", F.col("transaction_id").cast("bigint"))
+    outputs = {"alerts_path": f"{out}/alerts", "history_path": f"{out}/history", "rejects_path": f"{out}/rejects", "checkpoint": f"{out}/ck"}
+    detect_stream(stream, model, CFG, **outputs, order=["_order"], trigger={"availableNow": True}).awaitTermination()
+    rejects = read_output(spark, f"{out}/rejects", "text").select(F.lit("reject").alias("kind"), F.col("value").alias("line"))
+    seen = read_output(spark, f"{out}/history").select(F.lit("history").alias("kind"), F.col("message").alias("line"))
+    return rejects.union(seen)
+
+
+def q_read_history_limit(spark, sf_dir):
+    """A listing capped at 20 customers: how many rows it has, and how many of them
+    are rows of the whole listing."""
+    t, _ = _sliced(_tokens(spark, sf_dir))
+    model = work_path(spark, "limit-model")
+    save_model(train_model(t, CFG, key=KEY), model)
+    paths = replay_slices(t.withColumn("slice", F.lit(0)), "slice", [0], model, CFG, work_path(spark, "limit-stream"), key=KEY, order=["ts", "event_id"])
+    some = read_history(spark, paths["checkpoint"], key=KEY, limit=20)
+    known = read_history(spark, paths["checkpoint"], key=KEY).withColumn("known", F.lit(1))
+    return some.join(known, [KEY, "history", "n_seen"], "left").agg(F.count("*").alias("n_rows"), F.count("known").alias("n_known"))
+
+
+def q_alert_text(spark, sf_dir):
+    """Alert messages in full, with the score's text."""
+    return detect(_scored(spark, sf_dir, "MissProbability"), CFG, KEY).select(KEY, "pos", "message")
+
+
 def q_alert_messages(spark, sf_dir):
     s = detect(_scored(spark, sf_dir, "MissProbability"), CFG, KEY)
     head = F.expr("substring(message, 1, length(message) - length(cast(score as string)))")
@@ -323,6 +430,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sequence_lines": q_sequence_lines,
     "sequence_pieces": q_sequence_pieces,
     "sequence_table_scores": q_sequence_table_scores,
+    "array_scores": q_array_scores,
+    "array_scores_pieces": q_array_scores_pieces,
+    "array_entropy_pieces": q_array_entropy_pieces,
+    "null_token_pieces": q_null_token_pieces,
     "null_customer_scores": q_null_customer_scores,
     "states_file": q_states_file,
     "transitions": q_transitions,
@@ -349,6 +460,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_history": q_stream_history,
     "stream_history_messages": q_stream_history_messages,
     "text_stream_detect": q_text_stream_detect,
+    "byte_records_detect": q_byte_records_detect,
+    "stream_rejects": q_stream_rejects,
+    "read_history_limit": q_read_history_limit,
+    "alert_text": q_alert_text,
     "alert_messages": q_alert_messages,
 }
 
@@ -565,10 +680,32 @@ from (select *, {_SLICE} as slice from tok) group by slice, user_id""",
   select user_id::varchar as customer_id, pos, token as src, lead(token) over (partition by user_id order by pos) as dst from tok)
 select customer_id, pos, src, dst from tr where dst is not null""",
     "sequence_table_scores": f"with {_TOK}, {_model_ctes()}, {_win_ctes()}\n{_scored_sql('mp')}",
+    "array_scores": f"with {_TOK}, {_model_ctes()}, {_win_ctes()}\n{_scored_sql('mp')}",
+    "array_scores_pieces": f"with {_TOK}, {_model_ctes()}, {_win_ctes()}\n{_scored_sql('mr')}",
+    "array_entropy_pieces": f"with {_TOK}, {_model_ctes()}, {_win_ctes()}, {_entropy_sql(True)}",
     "states_file": f"""with {_TOK}
 select user_id, pos, token, (list_position({_S}, token) - 1)::bigint as state_idx from tok""",
     "text_stream_detect": f"with {_TOK}, {_model_ctes()}, {_win_ctes()}, s as ({_scored_sql('mp')})\n"
     "select user_id::varchar as customer_id, * exclude (user_id) from s where score > 0.96",
+    "byte_records_detect": f"with {_TOK}, {_model_ctes()}, {_win_ctes()}, s as ({_scored_sql('mp')})\n"
+    "select user_id::varchar as customer_id, * exclude (user_id) from s where score > 0.96",
+    "stream_rejects": f"""with {_TOK}
+select 'reject' as kind, user_id || ',' || event_id as line from tok where event_id % 5 = 0
+union all
+select 'history' as kind, user_id || '.' || string_agg(token, ',' order by event_id) as line
+from tok where event_id % 5 <> 0 group by user_id""",
+    "read_history_limit": """
+select least(20, count(distinct user_id)) as n_rows, least(20, count(distinct user_id)) as n_known from events""",
+    "alert_text": f"""with {_TOK}, {_model_ctes()}, {_win_ctes()}, s as ({_scored_sql('mp')})
+select user_id, pos, user_id || ' : ' || t0 || ' ' || t1 || ' ' || t2 || ' ' || t3 || ' ' || t4 || ' : ' || cast(score as varchar) as message
+from s where score > 0.96""",
+    "null_token_pieces": f"""with {_TOK}, tokn as (
+  select case when user_id % 7 = 1 then '' when user_id % 7 <> 0 then user_id::varchar end as customer_id, ts, event_id,
+         case when event_id % 11 <> 0 then token else 'NULL' end as token from tok),
+tr as (
+  select customer_id, (row_number() over w)::bigint as pos, token as src, lead(token) over w as dst
+  from tokn window w as (partition by customer_id order by ts, event_id))
+select * from tr where dst is not null""",
     "stream_detect": f"with {_TOK}, {_model_ctes()}, {_win_ctes()}, s as ({_scored_sql('mp')})\n"
     "select * from s where score > 0.96",
     "stream_history": f"""with {_TOK}, t as (select *, {_SLICE} as slice from tok),

@@ -4,8 +4,8 @@
   text) → model (parquet, + optional dense text).
 * ``score``  sequence lines or transactions + a model → scored windows and
   alerts (parquet).
-* ``stream`` a transaction stream + a model → alerts and history messages,
-  keyed carry in the checkpoint.
+* ``stream`` a transaction stream + a model → alerts and history messages, the
+  customers' histories beside the checkpoint.
 * ``history`` the customers' stored histories of a stream's checkpoint.
 
 A properties file (``--config``) gives scorer, window, threshold, interval,
@@ -25,14 +25,13 @@ from pyspark.sql import functions as F
 
 from chainwatch.config import MarkovConfig, config_from_properties
 from chainwatch.functions.states import read_states
+from chainwatch.operators.arrays import score_sequences
 from chainwatch.operators.scoring import detect, score_windows
 from chainwatch.operators.sequences import build_sequences
 from chainwatch.plans.jobs import train_model, transactions_to_tokens
 from chainwatch.sources.model_io import load_model, read_model_text, save_model, write_model_text
 from chainwatch.sources.transactions import (
-    read_reject_stream,
     read_sequence_lines,
-    read_sequences,
     read_transaction_stream,
     read_transactions,
     write_sequence_lines,
@@ -41,7 +40,7 @@ from chainwatch.sources.transactions import (
 from chainwatch.streaming.detect import detect_stream, read_history
 
 #: Most files, or Kafka offsets, of a micro-batch unless told otherwise.
-PER_TRIGGER = {"text": 256, "parquet": 256, "kafka": 2_000_000}
+PER_TRIGGER = {"text": 256, "parquet": 256, "records": 256, "kafka": 2_000_000}
 
 
 def _config(spark, args) -> MarkovConfig:
@@ -93,12 +92,14 @@ def cmd_score(spark, args) -> None:
     path = _needed(args.model or cfg.model_path, "--model")
     model = read_model_text(spark, path, cfg) if text else load_model(spark, path, cfg)
     if args.sequences and args.sequences_format == "parquet":
-        tokens, key = read_sequences(spark, args.sequences), "customer_id"
+        # stored sequences are in order already and are scored in place
+        key, scored = "customer_id", score_sequences(spark.read.parquet(args.sequences), model, cfg, "customer_id")
     elif args.sequences:
-        tokens, key = read_sequence_lines(spark, args.sequences), ["customer_id", "line_id"]
+        key = ["customer_id", "line_id"]
+        scored = score_windows(read_sequence_lines(spark, args.sequences), model, cfg, key)
     else:
-        tokens, key = _tokens_from_transactions(spark, args, cfg), "customer_id"
-    scored = score_windows(tokens, model, cfg, key)
+        key = "customer_id"
+        scored = score_windows(_tokens_from_transactions(spark, args, cfg), model, cfg, key)
     if args.scores_out:  # the alerts are then read off the written scores
         scored.write.mode("overwrite").parquet(args.scores_out)
         scored = spark.read.parquet(args.scores_out)
@@ -113,19 +114,14 @@ def cmd_stream(spark, args) -> None:
     if args.source == "kafka" and not {"subscribe", "assign", "subscribePattern"} & kafka.keys():
         kafka["subscribe"] = cfg.input_topic
     source = {"path": args.path, "kafka_options": kafka, "per_trigger": args.per_trigger or PER_TRIGGER[args.source]}
-    stream = read_transaction_stream(spark, args.source, mode="permissive" if args.rejects_out else "strict", **source)
-    if args.source == "kafka":
+    if args.rejects_out and args.source == "parquet":
+        raise SystemExit("--rejects-out is for text, records and kafka sources")
+    stream = read_transaction_stream(spark, args.source, mode="mark" if args.rejects_out else "strict", **source)
+    if args.source in ("kafka", "records"):
         order = ["kafka_partition", "kafka_offset"]
     else:
         stream, order = _ordered(stream, args), ["_order"]
     seconds = f"{args.trigger_seconds} seconds" if args.trigger_seconds else cfg.batch_interval
-    trigger = {"availableNow": True} if args.available_now else {"processingTime": seconds}
-    rejects = None
-    if args.rejects_out:
-        if args.source == "parquet":
-            raise SystemExit("--rejects-out is for text and kafka sources")
-        lines = read_reject_stream(spark, args.source, **source).writeStream.format("text").trigger(**trigger)
-        rejects = lines.option("checkpointLocation", f"{args.checkpoint}-rejects").start(args.rejects_out)
     q = detect_stream(
         stream,
         args.model,
@@ -135,13 +131,12 @@ def cmd_stream(spark, args) -> None:
         history_path=args.history_out,
         order=order,
         retain=args.retain,
-        trigger=trigger,
+        trigger={"availableNow": True} if args.available_now else {"processingTime": seconds},
         sink_format=args.sink,
         kafka_options={k: v for k, v in kafka.items() if k.startswith("kafka.")},  # connection only
+        rejects_path=args.rejects_out,
     )
     q.awaitTermination()
-    if rejects is not None and args.available_now:
-        rejects.awaitTermination()
 
 
 def cmd_history(spark, args) -> None:
@@ -189,7 +184,7 @@ def parser() -> argparse.ArgumentParser:
 
     r = sub.add_parser("stream")
     common(r)
-    r.add_argument("--source", default="parquet", choices=["parquet", "text", "kafka"])
+    r.add_argument("--source", default="parquet", choices=["parquet", "text", "records", "kafka"])
     r.add_argument("--path")
     r.add_argument("--kafka-option", action="append", help="key=value, repeatable")
     r.add_argument("--model", required=True)

@@ -31,9 +31,10 @@ DEFAULT_ALERTS_TOPIC = "candidate-fraud-trans"
 # hand-off keeps the chunk's first position, so nothing is lost at a cut.
 DEFAULT_CHUNK = 1 << 18
 
-# Upper bound on the number of cells of any model-derived lookup table that is
-# broadcast.  Every such table has at most (S + 1)**2 rows, so the bound is a
-# check on the size of the state dictionary, made before anything is planned.
+# Upper bound on the number of rows of any model-derived lookup table that is
+# broadcast or inlined.  A dictionary whose dense table, (S + 1)**2 cells, lies
+# within it is looked up by position in literal arrays; a larger one by joins with
+# the seen cells, which are broadcast only if their counted number lies within it.
 MAX_BROADCAST_CELLS = 1 << 20
 
 
@@ -66,8 +67,6 @@ class MarkovConfig:
             raise ValueError("window must hold at least one transition")
         if len(set(self.states)) != len(self.states):
             raise ValueError("duplicate state in dictionary")
-        if (len(self.states) + 1) ** 2 > MAX_BROADCAST_CELLS:
-            raise ValueError("state dictionary too large for broadcast lookups")
         if self.chunk < self.window:
             raise ValueError("chunk must be at least the window size")
         if self.on_unknown not in ("error", "null", "drop_sequence"):
@@ -79,6 +78,11 @@ class MarkovConfig:
     def n_states(self) -> int:
         return len(self.states)
 
+    @property
+    def dense(self) -> bool:
+        """Whether the dense lookup table is small enough to be inlined."""
+        return (self.n_states + 1) ** 2 <= MAX_BROADCAST_CELLS
+
     def with_(self, **kw) -> "MarkovConfig":
         return replace(self, **kw)
 

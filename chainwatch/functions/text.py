@@ -13,9 +13,28 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: Stands for NULL in a line's field; a field that begins with one of MARKS, or an
+#: empty token, is written with a backslash before it, which readers take off.
+NULL_FIELD = "\\N"
+MARKS = r"^[\\@]"
+
+
+def field(col, empty: bool = True) -> Column:
+    """A value as a field of a line.  With ``empty`` an empty one stays empty; a
+    token cannot, as readers drop empty fields at the end of a line."""
+    text = _c(col).cast("string")
+    marked = text.rlike(MARKS) if empty else (text.rlike(MARKS) | (text == ""))
+    return F.when(text.isNull(), F.lit(NULL_FIELD)).when(marked, F.concat(F.lit("\\"), text)).otherwise(text)
+
+
+def unfield(text: Column) -> Column:
+    """The value that :func:`field` wrote."""
+    return F.when(text == NULL_FIELD, F.lit(None).cast("string")).when(text.startswith("\\"), F.substring(text, 2, 1 << 30)).otherwise(text)
+
+
 def transaction_line(customer, transaction, token) -> Column:
-    """``customerId,transactionId,token``."""
-    return F.concat_ws(",", _c(customer).cast("string"), _c(transaction).cast("string"), _c(token))
+    """``customerId,transactionId,token``; NULL fields are written as ``\\N``."""
+    return F.concat_ws(",", field(customer), field(transaction), field(token))
 
 
 def well_formed(col) -> Column:
@@ -38,7 +57,7 @@ def parse_transaction_lines(lines: DataFrame, col: str = "value", mode: str = "s
         failed = F.raise_error(F.concat(F.lit("malformed transaction: "), F.coalesce(line, F.lit("NULL"))))
         ok = F.when(ok, F.lit(True)).otherwise(failed.cast("boolean"))
     parts = F.split(line, ",")
-    cols = [F.when(F.col("_ok"), F.get("_p", i)).alias(name) for i, name in enumerate(("customer_id", "transaction_id", "token"))]
+    cols = [F.when(F.col("_ok"), unfield(F.get("_p", i))).alias(name) for i, name in enumerate(("customer_id", "transaction_id", "token"))]
     return lines.select(ok.alias("_ok"), parts.alias("_p"), *keep).select(*cols, (~F.col("_ok")).alias("malformed"), *keep)
 
 
@@ -46,9 +65,10 @@ def sequence_line(customer, tokens, first_pos=None) -> Column:
     """``customerId,tok1,tok2,...`` from an array of tokens.
 
     With a non-NULL ``first_pos`` the line is one piece of a longer sequence:
-    ``customerId,@first_pos,tok1,...``."""
+    ``customerId,@first_pos,tok1,...``.  NULL customers and tokens are written as
+    ``\\N`` and read back as NULL (see :func:`field`)."""
     mark = [] if first_pos is None else [F.concat(F.lit("@"), _c(first_pos).cast("string"))]
-    return F.concat_ws(",", F.coalesce(_c(customer).cast("string"), F.lit("")), *mark, _c(tokens))
+    return F.concat_ws(",", field(customer), *mark, F.transform(_c(tokens), lambda t: field(t, empty=False)))
 
 
 def parse_sequence_lines(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -60,10 +80,11 @@ def parse_sequence_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     parts = F.split(s, ",")
     mark = F.regexp_extract(F.coalesce(F.get(parts, 1), F.lit("")), r"^@(\d+)$", 1)
     skip = F.when(mark != "", 2).otherwise(1)
+    tokens = F.slice(parts, skip + 1, F.greatest(F.size(parts) - skip, F.lit(0)))
     return lines.select(
-        F.get(parts, 0).alias("customer_id"),
+        unfield(F.get(parts, 0)).alias("customer_id"),
         F.when(mark != "", mark.cast("bigint")).alias("first_pos"),
-        F.slice(parts, skip + 1, F.greatest(F.size(parts) - skip, F.lit(0))).alias("tokens"),
+        F.transform(tokens, unfield).alias("tokens"),
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import MarkovConfig
-from ..functions.states import checked_index, state_index, state_name
+from ..functions.states import checked, state_name, with_index
 from .ordering import _cols, join_keys
 
 MODEL_COLUMNS = ["src", "dst", "src_idx", "dst_idx", "n", "row_total", "p"]
@@ -29,17 +29,17 @@ def transition_counts(transitions: DataFrame, cfg: MarkovConfig, *, key: str | S
         if key is None:
             raise ValueError("drop_sequence needs the sequence key")
         keys = _cols(key)
-        bad = t.where(
-            (state_index("src", cfg.states) < 0) | (state_index("dst", cfg.states) < 0)
-        ).select(*keys).distinct()
+        known = with_index(t, {"src": "_i", "dst": "_j"}, cfg.states)
+        bad = known.where("_i < 0 or _j < 0").select(*keys).distinct()
         t = join_keys(t, bad, keys, "left_anti")
     counts = t.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
     policy = "error" if cfg.on_unknown == "error" else "null"
-    counts = counts.select(
+    known = lambda t, i: F.when(F.col(t).isNotNull(), F.col(i))  # noqa: E731  NULL: no row, see checked_index
+    counts = with_index(counts, {"src": "_i", "dst": "_j"}, cfg.states).select(
         "src",
         "dst",
-        checked_index("src", cfg.states, policy, "source state in training").alias("src_idx"),
-        checked_index("dst", cfg.states, policy, "target state in training").alias("dst_idx"),
+        checked(known("src", "_i"), "src", policy, "source state in training").alias("src_idx"),
+        checked(known("dst", "_j"), "dst", policy, "target state in training").alias("dst_idx"),
         "n",
     )
     # with "null"/"drop_sequence" a cell that still touches an unknown token
@@ -76,12 +76,17 @@ def _grid(spark: SparkSession, rows: int, cols: int, col_base: int = 0) -> DataF
     )
 
 
+def _cells(model: DataFrame, cfg: MarkovConfig) -> DataFrame:
+    """The seen cells, broadcast where the dictionary bounds their number."""
+    return F.broadcast(model) if cfg.dense else model
+
+
 def dense(model: DataFrame, cfg: MarkovConfig) -> DataFrame:
     """Full S×S grid ``(src_idx, dst_idx, src, dst, n, p)`` with zeros filled;
     ``n`` is NULL for the cells of an imported text model, which has no counts."""
     s = cfg.n_states
     g = _grid(model.sparkSession, s, s)
-    m = F.broadcast(model.select("src_idx", "dst_idx", "n", "p"))
+    m = _cells(model, cfg).select("src_idx", "dst_idx", "n", "p")
     return g.join(m, ["src_idx", "dst_idx"], "left").select(
         "src_idx",
         "dst_idx",
@@ -138,7 +143,7 @@ def term_grid(model: DataFrame, cfg: MarkovConfig) -> DataFrame:
     ``row_total``."""
     s = cfg.n_states
     g = _grid(model.sparkSession, s, s + 1, col_base=-1)
-    cells = F.broadcast(model.select("src_idx", "dst_idx", "n", "p"))
+    cells = _cells(model, cfg).select("src_idx", "dst_idx", "n", "p")
     rows = F.broadcast(
         model.groupBy("src_idx").agg(F.max("row_total").alias("row_total"), F.sum("p").alias("row_p"))
     )

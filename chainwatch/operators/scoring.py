@@ -5,7 +5,9 @@ Every scorer is a per-transition term looked up in a small table keyed by
 transitions of a window and divided by ``W - 1``.  The lookup table is
 dense with S × (S + 1) rows (next state -1 = unknown token), bounded by the
 dictionary, so it is inlined as literal arrays read by position; the window
-rows never leave their ``(customer, chunk)`` partition.
+rows never leave their ``(customer, chunk)`` partition.  A dictionary whose dense
+table is too large for that is looked up by joins with the seen cells
+(:func:`sparse_terms`).
 
 =================  ==========================================================
 MissProbability    Σ over the window of P(current → anything but next):
@@ -29,10 +31,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import MarkovConfig
+from ..config import MAX_BROADCAST_CELLS, MarkovConfig
+from ..functions.states import known_token, with_index
 from ..functions.text import alert_message
 from .model import best_successor, term_grid
-from .ordering import _cols, running_total
+from .ordering import _cols, running_total, with_following
 from .sequences import token_windows, window_token_cols
 
 
@@ -158,15 +161,23 @@ def _lookup(win: DataFrame, arrays: dict[str, Column], cfg: MarkovConfig, keep:
     return win.select(*keep, *vals)
 
 
+def model_terms(model: DataFrame, cfg: MarkovConfig, algorithm: str | None = None) -> dict[str, Column]:
+    """The literal arrays that a scorer reads; they can be used for many scorings."""
+    alg = resolve_algorithm(algorithm or cfg.algorithm)
+    values = ["num", "den", "undefined"] if alg == "entropy" else ["term"]
+    return term_arrays(lookup_table(model, cfg, alg), cfg, values)
+
+
 def score_windows(
     tokens: DataFrame,
-    model: DataFrame,
+    model: DataFrame | None,
     cfg: MarkovConfig,
     key: str | Sequence[str],
     *,
     algorithm: str | None = None,
     pos: str = "pos",
     token: str = "token",
+    terms: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Score every complete window: ``(key, pos, chunk, t0..t{W-1}, score)``
     where ``pos`` is the window's first position.
@@ -175,20 +186,22 @@ def score_windows(
     tokens are already partitioned by the key); the model enters as literal
     arrays of S × (S + 1) terms (one small job collects them).  The entropy
     scorer's expanding prefix additionally reads the window stage a second
-    time for its per-chunk totals."""
+    time for its per-chunk totals.  ``terms`` (of :func:`model_terms`) stands for the
+    model where it is at hand."""
     keys = _cols(key)
     alg = resolve_algorithm(algorithm or cfg.algorithm)
     m = cfg.window - 1
-    win = token_windows(tokens, keys, cfg, pos=pos, token=token, index=True)
     toks = window_token_cols(cfg.window)
     base = [*keys, pos, "chunk", *toks]
-    table = lookup_table(model, cfg, alg)
-    if alg in ("miss_probability", "miss_rate"):
-        looked = _lookup(win, term_arrays(table, cfg, ["term"]), cfg, base)
+    if cfg.dense:
+        win = token_windows(tokens, keys, cfg, pos=pos, token=token, index=True)
+        looked = _lookup(win, terms or model_terms(model, cfg, alg), cfg, base)
+    else:
+        looked = _lookup_sparse(tokens, model, cfg, keys, alg, pos, token)
+    if alg != "entropy":
         total = reduce(lambda a, b: a + b, [F.col(f"term{i}") for i in range(m)])
         return looked.select(*base, (total / F.lit(float(m))).alias("score"))
 
-    looked = _lookup(win, term_arrays(table, cfg, ["num", "den", "undefined"]), cfg, base)
     # a NULL lookup (unknown current state under on_unknown="null") is undefined too
     bad = [F.coalesce(F.col(f"undefined{i}"), F.lit(True)).cast("int") for i in range(m)]
     prefix = running_total(
@@ -218,6 +231,68 @@ def detect(scored: DataFrame, cfg: MarkovConfig, key: str | Sequence[str], *, th
     )
 
 
+def sparse_terms(model: DataFrame, cfg: MarkovConfig, algorithm: str) -> tuple[DataFrame, DataFrame, dict[str, Column]]:
+    """A scorer's terms without the dense table: those of the seen cells
+    (``src_idx, dst_idx, <value>``), those of all other cells of a seen row
+    (``src_idx, _row_<value>``), and those of a row never seen, as expressions of
+    the transition (``_src``, ``_dst``).  At most one row per seen cell."""
+    s = cfg.n_states
+    rows = model.groupBy("src_idx").agg(
+        F.max("row_total").alias("row_total"), F.sum("p").alias("row_p"), F.count(F.lit(1)).alias("seen"),
+        F.max_by("dst_idx", F.struct(F.col("p"), -F.col("dst_idx"))).alias("best"),
+        F.sum(F.when(F.col("p") > 0, -F.col("p") * F.ln("p")).otherwise(F.lit(0.0))).alias("h_row"),
+    )
+    cells = model.select("src_idx", "dst_idx", "n", "p").join(rows, "src_idx")
+    counted = F.col("row_total").isNotNull()
+    if algorithm == "miss_probability":
+        term = F.when(counted, (F.col("row_total") - F.col("n")).cast("double") / F.col("row_total")).otherwise(F.col("row_p") - F.col("p"))
+        cell, row = {"term": term}, {"term": F.when(counted, F.lit(1.0)).otherwise(F.col("row_p"))}
+        none = {"term": F.lit(0.0)}
+    elif algorithm == "miss_rate":
+        cell, row = {"term": F.when(F.col("dst_idx") == F.col("best"), 0.0).otherwise(1.0)}, {"term": F.lit(1.0)}
+        none = {"term": F.when(F.col("_dst") == 0, 0.0).otherwise(1.0)}  # such a row predicts state 0
+    else:
+        undefined = (F.col("seen") < s) if cfg.zero_cell == "undefined" else F.lit(False)
+        h = F.when(F.col("p") > 0, -F.col("p") * F.ln("p")).otherwise(F.lit(0.0))
+        cell = {"num": F.col("h_row") - h, "den": F.col("h_row"), "undefined": undefined}
+        row = {"num": F.col("h_row"), "den": F.col("h_row"), "undefined": undefined}
+        none = {"num": F.lit(0.0), "den": F.lit(0.0), "undefined": F.lit(cfg.zero_cell == "undefined")}
+    cells = cells.select("src_idx", "dst_idx", *[e.alias(v) for v, e in cell.items()])
+    return cells, rows.select("src_idx", *[e.alias(f"_row_{v}") for v, e in row.items()]), none
+
+
+def _lookup_sparse(tokens: DataFrame, model: DataFrame, cfg: MarkovConfig, keys: list[str], algorithm: str, pos: str, token: str) -> DataFrame:
+    """What ``_lookup`` gives, for a dictionary too large for literal arrays: each
+    transition is joined once with its cell and its row, and a second halo window
+    gathers the terms of a window.  The seen cells are counted, and broadcast only
+    below MAX_BROADCAST_CELLS; the joins are left joins on unique keys, whose hot
+    cells adaptive execution splits."""
+    w = cfg.window
+    rows = with_index(tokens.select(*keys, pos, known_token(token).alias("t")), {"t": "_src"}, cfg.states)
+    rows = with_following(rows, keys, pos, ["_src"], 1, cfg.chunk).drop("chunk")
+    rows = rows.withColumnRenamed("_src_next1", "_dst")
+    cells, by_row, none = sparse_terms(model, cfg, algorithm)
+    few = model.limit(MAX_BROADCAST_CELLS + 1).count() <= MAX_BROADCAST_CELLS
+    hint = F.broadcast if few else (lambda df: df)
+    cells = hint(cells.withColumnsRenamed({"src_idx": "_ci", "dst_idx": "_cj"}))
+    by_row = hint(by_row.withColumnRenamed("src_idx", "_ri"))
+    rows = rows.join(cells, (F.col("_src") == F.col("_ci")) & (F.col("_dst") == F.col("_cj")), "left")
+    rows = rows.join(by_row, F.col("_src") == F.col("_ri"), "left")
+    values = {v: F.coalesce(F.col(v), F.when(F.col("_ri").isNotNull(), F.col(f"_row_{v}")).when(F.col("_src") >= 0, e)) for v, e in none.items()}
+    rows = rows.select(*keys, pos, "t", "_src", *[e.alias(v) for v, e in values.items()])
+    f = with_following(rows, keys, pos, ["t", "_src", *values], w - 1, cfg.chunk).where(F.col(f"_has{w - 1}"))
+    at = lambda c, i: F.col(f"{c}_next{i}" if i else c)
+    looked = f.select(
+        *keys, pos, "chunk", *[at("t", i).alias(f"t{i}") for i in range(w)], *[at("_src", i).alias(f"i{i}") for i in range(w)],
+        *[at(v, i).alias(f"{v}{i}") for v in values for i in range(w - 1)],
+    )
+    if cfg.on_unknown == "null":
+        return looked
+    checked = _window_indices(cfg)[:-1]
+    known = reduce(lambda a, b: a & b, [c >= 0 for c in checked])
+    return looked.where(known)
+
+
 SCORERS: dict[str, Callable] = {
     "miss_probability": miss_probability_terms,
     "miss_rate": miss_rate_terms,

@@ -80,8 +80,8 @@ def build_sequences(
 
     A customer shorter than the chunk has exactly one row; a longer history is
     cut so no row (or task) exceeds the chunk.  ``piece`` marks rows of which
-    the sequence may have more (a full chunk, or not the first); ``first_pos``
-    puts them together again."""
+    the sequence may have more (they end with a chunk, or are not the first);
+    ``first_pos`` puts them together again."""
     keys = _cols(key)
     grouped = tokens.select(*keys, pos, token, chunk_of(pos, cfg.chunk).alias("chunk")).groupBy(*keys, "chunk")
     agg = grouped.agg(
@@ -89,7 +89,7 @@ def build_sequences(
         F.count(F.lit(1)).alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct(F.col(pos), F.col(token)))).alias("_s"),
     )
-    piece = (F.col("chunk") > 0) | (F.col("n_tokens") >= F.lit(cfg.chunk))
+    piece = (F.col("chunk") > 0) | ((F.col("first_pos") + F.col("n_tokens") - 1) % F.lit(cfg.chunk) == 0)
     return agg.select(
         *keys, "chunk", "first_pos", "n_tokens", piece.alias("piece"), F.transform("_s", lambda x: x[token]).alias("tokens")
     )

@@ -39,7 +39,7 @@ def train_model(tokens: DataFrame, cfg: MarkovConfig, *, key: str | Sequence[str
 def holdout_split(tokens: DataFrame, split_col: str, split_value, *, key: str | Sequence[str] = "customer_id"):
     """Train on rows before ``split_value``, score the rest.  Both parts keep
     their global positions, which stay dense inside each part because the split
-    follows the sequence order."""
-    before = tokens.where(F.col(split_col) < F.lit(split_value))
-    after = tokens.where(F.col(split_col) >= F.lit(split_value))
-    return before, after
+    follows the sequence order.  A NULL split value sorts first and counts as
+    before, so that every row is in one part."""
+    later = F.coalesce(F.col(split_col) >= F.lit(split_value), F.lit(False))
+    return tokens.where(~later), tokens.where(later)

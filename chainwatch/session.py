@@ -64,9 +64,8 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint into the shared checkpoint folder (cuts the
-    lineage; survives the loss of any executor).  Used for the table of hot keys
-    and for the rows of hot keys, whose slices it fixes; Spark removes the files
-    with the session if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is
+    lineage; survives the loss of any executor).  Used for the tables of hot keys
+    and of the splitters that fix their slices; Spark removes the files with the session if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is
     set."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -1,12 +1,16 @@
 """Model storage.
 
-The canonical form is the sparse model table written as parquet.  The dense
+The canonical form is the sparse model table, a folder of versions: each save
+writes a new one and then commits it, so a reader finds the last whole model
+whenever it comes, and a retrained one never replaces files in use.  The dense
 text form (S lines of S comma-terminated probabilities, rows and columns in
 dictionary order, numbers printed as the JVM prints doubles) is kept as an
 import/export format.  Both are bounded by the dictionary size S."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +18,44 @@ from ..config import MarkovConfig
 from ..functions.states import state_name
 from ..functions.text import double_text
 from ..operators.model import MODEL_COLUMNS, dense
+from .commits import KEPT, CommitLog, Files
+
+
+def _versions(spark: SparkSession, path: str) -> CommitLog:
+    return CommitLog(spark, f"{path.rstrip('/')}/_versions")
 
 
 def save_model(model: DataFrame, path: str) -> None:
-    model.select(*MODEL_COLUMNS).write.mode("overwrite").parquet(path)
+    """Write the model as the next version of the folder.  Files of the versions
+    before the last ``KEPT`` are deleted."""
+    log = _versions(model.sparkSession, path)
+    files = Files(model.sparkSession, path)
+    name = f"model-{uuid.uuid4().hex[:12]}"
+    model.select(*MODEL_COLUMNS).write.parquet(f"{path.rstrip('/')}/{name}")
+    number, entry = log.latest()
+    log.add(number + 1, {"folder": name, "folders": [*entry.get("folders", []), name][-KEPT:]})
+    live = log.latest()[1]["folders"]
+    for old in set(entry.get("folders", [])) - set(live):
+        files.delete(old)
+
+
+def model_version(spark: SparkSession, path: str) -> str:
+    """What changes when the model does: the committed version, or for a plain
+    parquet folder the time of its newest file."""
+    number, _ = _versions(spark, path).latest()
+    return f"version {number}" if number >= 0 else f"files of {Files(spark, path).newest()}"
+
+
+def model_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the latest version (a plain parquet folder is its own)."""
+    entry = _versions(spark, path).latest()[1]
+    return spark.read.parquet(f"{path.rstrip('/')}/{entry['folder']}" if entry else path)
 
 
 def load_model(spark: SparkSession, path: str, cfg: MarkovConfig) -> DataFrame:
     """A saved model.  Its size is checked, since it is broadcast: at most one
     row per pair of states."""
-    model = spark.read.parquet(path).select(*MODEL_COLUMNS)
+    model = model_table(spark, path).select(*MODEL_COLUMNS)
     most = cfg.n_states**2
     if model.limit(most + 1).count() > most:
         raise ValueError(f"{path} has more than {most} rows, so it is no model of {cfg.n_states} states")

@@ -62,19 +62,41 @@ def read_sequence_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines_to_long(spark.read.text(path))
 
 
+#: Columns of a recorded topic: what the broker's source delivers, in files.
+RECORDS = "key binary, value binary, partition int, offset bigint"
+
+
+def decoded_records(records: DataFrame) -> DataFrame:
+    """Byte records ``(value BINARY, partition, offset)`` as text with their place
+    in the topic.  Bytes that are no UTF-8 give their base64 text after a
+    replacement character: a malformed line from which they can be had back."""
+    text = F.try_validate_utf8(F.col("value").cast("string"))
+    return records.select(
+        F.coalesce(text, F.concat(F.lit("\ufffd"), F.base64("value"))).alias("value"),
+        F.col("partition").alias("kafka_partition"),
+        F.col("offset").alias("kafka_offset"),
+    )
+
+
+def read_records(spark: SparkSession, path: str, *, mode: str = "strict") -> DataFrame:
+    """``(customer_id, transaction_id, token, kafka_partition, kafka_offset)`` of a
+    recorded topic (parquet with the columns ``RECORDS``)."""
+    lines = decoded_records(spark.read.schema(RECORDS).parquet(path))
+    parsed = parse_transaction_lines(lines, mode=mode, keep=["kafka_partition", "kafka_offset"])
+    return parsed.where(~F.col("malformed")).drop("malformed")
+
+
 def _raw_stream(spark: SparkSession, source: str, path: str | None, kafka_options: dict | None, per_trigger: int | None) -> DataFrame:
     r = spark.readStream
     if source == "kafka":
         options = {**({"maxOffsetsPerTrigger": per_trigger} if per_trigger else {}), **(kafka_options or {})}
         for k, v in options.items():
             r = r.option(k, v)
-        return r.format("kafka").load().select(
-            F.col("value").cast("string").alias("value"),
-            F.col("partition").alias("kafka_partition"),
-            F.col("offset").alias("kafka_offset"),
-        )
+        return decoded_records(r.format("kafka").load())
     if per_trigger:
         r = r.option("maxFilesPerTrigger", per_trigger)
+    if source == "records":
+        return decoded_records(r.schema(RECORDS).parquet(path))
     if source == "text":
         return r.text(path)
     if source == "parquet":
@@ -96,18 +118,22 @@ def read_transaction_stream(
     * ``parquet``: a folder of ``(customer_id, transaction_id, token, ...)``
       files; the order column is whatever the files carry.
     * ``text``: transaction lines; ``transaction_id`` is the order key.
-    * ``kafka``: values are transaction lines; the order key is
-      ``(kafka_partition, kafka_offset)`` (keyed topics keep one customer in
-      one partition).  Needs the Kafka connector on the classpath; it is not
-      exercised by the tests here.
+    * ``records``: a recorded topic, parquet files with the columns ``RECORDS``; the
+      order key is ``(kafka_partition, kafka_offset)``.
+    * ``kafka``: the same columns from a live topic, through the same decoder
+      (keyed topics keep one customer in one partition).  Needs the Kafka
+      connector on the classpath; the connection is not exercised by the tests.
 
     ``per_trigger`` bounds a micro-batch: files, or Kafka offsets.  A malformed
-    line fails the stream under ``strict``; under ``permissive`` it is left out,
-    and :func:`read_reject_stream` delivers it.
+    line fails the stream under ``strict`` and is left out under ``permissive``;
+    ``mark`` keeps it, with its text in ``value`` and ``malformed`` true, for
+    ``detect_stream(rejects_path=...)``, so that the source is read once.
     """
     raw = _raw_stream(spark, source, path, kafka_options, per_trigger)
     if source == "parquet":
         return raw
+    if mode == "mark":
+        return parse_transaction_lines(raw, mode="permissive", keep=raw.columns)
     parsed = parse_transaction_lines(raw, mode=mode, keep=[c for c in raw.columns if c != "value"])
     return parsed.where(~F.col("malformed")).drop("malformed")
 
@@ -120,5 +146,5 @@ def read_reject_stream(
     kafka_options: dict | None = None,
     per_trigger: int | None = None,
 ) -> DataFrame:
-    """The malformed lines (``value``) of a text or Kafka source."""
+    """The malformed lines (``value``) of a text, records or Kafka source."""
     return _raw_stream(spark, source, path, kafka_options, per_trigger).where(~well_formed("value")).select("value")

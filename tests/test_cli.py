@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from chainwatch.__main__ import main
 from chainwatch.session import work_path
 from chainwatch.sources.events import load_tokens
+from chainwatch.sources.model_io import model_table
 from chainwatch.sources.transactions import write_transactions_text
 
 from .conftest import SF001
@@ -18,7 +19,7 @@ def test_train_then_score(spark):
     seqs, model, model_txt, alerts = (work_path(spark, n) for n in ("cli-seq", "cli-model", "cli-model-txt", "cli-alerts"))
     assert main(["train", "--transactions", tx, "--numeric-order", "--sequences-out", seqs,
                  "--model-out", model, "--model-text-out", model_txt]) == 0
-    assert spark.read.parquet(model).count() == 157
+    assert model_table(spark, model).count() == 157
     assert spark.read.text(seqs).count() == 15
     assert main(["score", "--model", model_txt, "--model-format", "text", "--sequences", seqs,
                  "--alerts-out", alerts, "--threshold", "0.9"]) == 0

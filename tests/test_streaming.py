@@ -9,9 +9,9 @@ from chainwatch.operators.scoring import detect, score_windows
 from chainwatch.plans.jobs import train_model
 from chainwatch.session import work_path
 from chainwatch.sources.events import load_tokens
-from chainwatch.sources.model_io import save_model
+from chainwatch.sources.model_io import model_table, save_model
 from chainwatch.streaming.detect import read_alerts, read_history
-from chainwatch.streaming.replay import replay_slices
+from __spark_entry__ import replay_slices
 
 from .conftest import SF001
 
@@ -40,7 +40,7 @@ def test_stream_equals_batch_on_events(spark, n_slices):
         sliced, "slice", list(range(n_slices)), mp, CFG, work_path(spark, "test-stream"),
         key="user_id", order=["ts", "event_id"],
     )
-    assert _stream_alerts(spark, paths, "user_id") == _batch_alerts(tok, spark.read.parquet(mp), "user_id")
+    assert _stream_alerts(spark, paths, "user_id") == _batch_alerts(tok, model_table(spark, mp), "user_id")
     hist = read_history(spark, paths["checkpoint"], key="user_id")
     n = {r.user_id: r.n_seen for r in hist.collect()}
     counts = {r.user_id: r["count"] for r in tok.groupBy("user_id").count().collect()}
@@ -64,7 +64,7 @@ def test_single_token_slices_and_absent_customer(spark, seq_df):
         df, "slice", list(range(8)), mp, CFG.with_(threshold=-1.0), work_path(spark, "test-stream-1"), retain="batch"
     )
     got = sorted((r.customer_id, r.pos, round(r.score, 12)) for r in read_alerts(spark, paths["alerts"]).collect())
-    want_df = score_windows(tokens, spark.read.parquet(mp), CFG, "customer_id")
+    want_df = score_windows(tokens, model_table(spark, mp), CFG, "customer_id")
     want = sorted((r.customer_id, r.pos, round(r.score, 12)) for r in want_df.collect())
     assert got == want and len(got) == 3 + 2
     hist = {r.customer_id: (r.history, r.n_seen) for r in read_history(spark, paths["checkpoint"]).collect()}
