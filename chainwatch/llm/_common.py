@@ -20,6 +20,8 @@ ARROW_ROWS = 512
 CHUNK_BYTES = 4 << 20
 #: A key in more than documents / HOT is broadcast in ``joined``.
 HOT = 1_000
+#: Most rows that ``joined`` broadcasts.
+MOST_HOT = 200_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +39,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def joined(rows: DataFrame, other: DataFrame, keys: list[str], frequent) -> DataFrame:
     """``rows`` joined with the unique ``keys`` of ``other``, whose ``frequent``
-    ones (a bounded number) are broadcast, so that no key fills a task."""
+    ones are broadcast, so that no key fills a task.  They are counted first;
+    more than MOST_HOT are joined by shuffle, where each has a small share."""
     hot = other.where(frequent)
+    if hot.limit(MOST_HOT + 1).count() > MOST_HOT:
+        return rows.join(other, keys)
     rest = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti").join(other.where(~frequent), keys)
     return rows.join(F.broadcast(hot), keys).unionByName(rest)
 

@@ -4,16 +4,21 @@ Large-star and small-star steps alternate (Kiveris et al., "Connected
 Components in MapReduce and Beyond", 2014) until the edges no longer change;
 then every node points to the smallest node of its component.  Each step's
 edges are written to the shared folder, so the lineage stays short and nothing
-is collected.  Minima are aggregated before the shuffle; a hub's rows are split
+is collected.  Tasks contract their own edges to stars first.  Minima are aggregated before the shuffle; a hub's rows are split
 by adaptive execution's skew join, as only inner joins meet them."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainwatch.llm._common import written
 
+#: Edges that a task contracts at a time.
+ROWS = 1 << 20
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """``edges`` (a < b).  Large: each larger neighbour of a node goes to the
@@ -36,11 +41,52 @@ def _state(edges: DataFrame):
     return edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("bigint")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first()
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(root, node) of every node that is not the smallest of its component."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    parent = list(range(len(nodes)))
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for x, y in zip(at[: len(a)].tolist(), at[len(a) :].tolist()):
+        x, y = root(x), root(y)
+        parent[max(x, y)] = min(x, y)
+    roots = np.array([root(x) for x in range(len(nodes))], np.int64)
+    moved = np.flatnonzero(roots != np.arange(len(nodes)))
+    return nodes[roots[moved]], nodes[moved]
+
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges (a < b) with the same components: each task's edges, some ROWS at a
+    time, become stars, so that fewer steps and fewer rows are left to shuffle."""
+
+    def run(batches):
+        a = b = np.zeros(0, np.int64)
+        for batch in batches:
+            a = np.concatenate([a, batch.column("a").to_numpy()])
+            b = np.concatenate([b, batch.column("b").to_numpy()])
+            if len(a) >= ROWS:
+                a, b = forest(a, b)
+                if len(a) >= ROWS // 2:
+                    yield made(a, b)
+                    a = b = np.zeros(0, np.int64)
+        yield made(*forest(a, b))
+
+    def made(a, b):
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return edges.select("a", "b").mapInArrow(run, "a bigint, b bigint")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b bigint): component is
     the smallest node that can be reached.  No edges give an empty table."""
-    pairs = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = written(pairs, "edges")
+    pairs = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = written(contracted(pairs).distinct(), "edges")
     state = _state(pairs)
     while state[0]:
         pairs = written(_star(_star(pairs, large=True), large=False), "edges")

@@ -9,21 +9,28 @@ sketch holds the ``SKETCH`` smallest of them.
    ``BLOCK`` classes says little, so every class is listed under its ``LISTED``
    smallest values that are not so common, and under ``MORE`` further ones for
    each common value, because the rest of such a pair agrees less.  Classes with
-   fewer than ``LEAST_RARE`` of these among the first 2 * LISTED are listed under
-   every run of three consecutive sketch values as well, short ones under runs of
-   two, of which two linked short sets always share one.
+   fewer than ``LEAST_RARE`` of these among the first 2 * LISTED (wide ones) are
+   listed with each other under the common values too.
 3. Within a list, the sketch of the union gives an estimate of the similarity.
-   Estimates of at least ``LOOSE`` join classes to loose clusters (each task
-   returns a spanning forest, never the pairs).
+   Estimates of at least ``LOOSE`` below the wanted one join classes to loose
+   clusters (each task returns a spanning forest, never the pairs).  First every
+   class meets others under ``FIRST`` of its values only, which joins most of a
+   group of near copies; lists whose members then lie in one cluster are dropped,
+   as nothing is left to link in them, and in the others only members of
+   different clusters are linked.
 4. Within a loose cluster, full sets are compared exactly; the links that hold
    join classes to components (again as spanning forests).
 
 A list or cluster that is larger than a block is dealt out to tasks in pairs of
-blocks (see ``_linked``), so that no task holds more than two.  Two sets with a
-similarity of 0.8 share none of the smallest such values of their union with
-probability 0.2^8 or less (1e-5 if only one of the two gets runs), and no run of
-three in 64 with probability below 1e-8; their estimate is 6 standard deviations
-above the limit of a loose link, which it misses with probability 2e-8.
+blocks, so that no task holds more than two: each block meets the first one, then
+those outside the largest cluster meet all others.  A list where these are so many
+that dealing costs more rows than its classes have runs of three consecutive sketch
+values is replaced by lists under those runs (short sketches: runs of two as well,
+of which two linked short sets always share one).  Two sets with a similarity of 0.8
+share none of the smallest such values of their union with probability 0.2^8 or less
+(1e-5 if only one of the two is wide), and no run of three in 64 with probability
+below 1e-8; their estimate is 6 standard deviations above the limit of a loose link,
+which it misses with probability 2e-8.
 
 Defined cases: null text, or one without words, has the empty set, is linked
 with nothing and is its own component; a text with fewer words than a shingle
@@ -33,13 +40,15 @@ an empty result; other columns are not read."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainwatch.llm._common import text_slices, written
+from chainwatch.llm._common import text_slices, unused, written
 from chainwatch.llm.components import components
 
 #: Values of a sketch, and those of them that get inverted lists.
@@ -47,12 +56,17 @@ SKETCH, LISTED = 64, 8
 #: Further values listed for each common one: c of 16 leave (0.8 - c / 16) / (1 - c / 16).
 MORE = 0.6
 #: Values that are not very common, among a class's first 2 * LISTED, below which
-#: it is listed by runs too; sketch size below which these are runs of two as well.
+#: it is wide; sketch size below which its runs are of two as well.
 LEAST_RARE, SHORT = 11, 32
+#: Blocks of strays in a list from which its classes are listed by their runs, of
+#: which a full sketch has as many.
+RUNS = SKETCH - 2
+#: Values under which a class meets others before the rest.
+FIRST = 2
 #: Classes of a block: the most that a list holds before it is refined or split.
 BLOCK = 1024
-#: Shingles of a block in the exact comparison.
-BLOCK_SHINGLES = 1 << 20
+#: Shingles of a block in the exact comparison, and of a task of many clusters.
+BLOCK_SHINGLES, TASK_SHINGLES = 1 << 20, 1 << 18
 #: Estimated similarity, below the wanted one, that makes a loose link.
 LOOSE = 0.3
 #: Words whose hashes a worker remembers before it starts afresh.
@@ -114,39 +128,94 @@ def sketches(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """(key, m, rep): the members of every inverted list of two or more; m: their number.
-
-    A class is listed under its first LISTED values that are not too common; of
-    classes that have few such values, every run of three is a key as well."""
-
-    def shared(posts):
-        m = posts.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-        return posts.join(m, "key")
-
-    first = shared(classes.select("rep", F.posexplode(F.slice("sketch", 1, 2 * LISTED)).alias("rank", "key")))
-    first = written(first, "near-lists")
-    common = first.where(F.col("m") > BLOCK).groupBy("rep").agg(F.count("*").alias("common"))
-    own = first.where(F.col("m") <= BLOCK).join(common, "rep", "left")
-    many = F.coalesce("common", F.lit(0))
-    own = own.where(F.col("rank") < LISTED + many + F.ceil(many * MORE))
-    # the ranks now listed may have left a list with one member
-    own = shared(own.select("rep", "key"))
-    rare = F.least(F.size("sketch"), F.lit(2 * LISTED)) - F.col("common")
-    wide = classes.join(common, "rep").where(rare < LEAST_RARE)
+    """(key, rep, turn): the members of every inverted list of two or more; turn
+    numbers a class's own lists.  One row per class gathers its first values."""
+    first = classes.select("rep", F.least(F.size("sketch"), F.lit(2 * LISTED)).alias("k"), F.posexplode(F.slice("sketch", 1, 2 * LISTED)).alias("rank", "key"))
+    first = written(first, "near-posts")
+    m = first.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    value = F.struct("rank", "key", "m")
+    own = first.join(m, "key").groupBy("rep", "k").agg(F.sort_array(F.collect_list(value)).alias("v"))
+    own = own.withColumn("common", F.size(F.filter("v", lambda x: x["m"] > BLOCK)))
+    wide = F.col("k") - F.col("common") < LEAST_RARE
+    depth = LISTED + F.col("common") + F.ceil(F.col("common") * MORE)
+    # the common values of wide classes are lists of their own: only wide ones are in them
+    kept = F.filter("v", lambda x: F.when(x["m"] > BLOCK, wide).otherwise(x["rank"] < depth))
+    keys = F.transform(kept, lambda x: F.when(x["m"] > BLOCK, F.xxhash64(x["key"], F.lit("wide"))).otherwise(x["key"]))
+    listed = written(own.select("rep", F.posexplode(keys).alias("turn", "key")), "near-lists")
+    several = listed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    return listed.join(several, "key")
+
+
+def _run_keys(classes: DataFrame) -> DataFrame:
+    """(key, rep): a key for every run of three sketch values (short: two as well)."""
     run = lambda n, of: F.expr(
         f"if(size(sketch) >= {n} and {of}, transform(sequence(0, size(sketch) - {n}), i -> xxhash64(slice(sketch, i + 1, {n}))), array())"
     )
     keys = F.concat(run(3, "true"), run(2, f"size(sketch) < {SHORT}"))
-    again = wide.select("rep", F.explode(keys).alias("key"))
-    return own.select("key", "m", "rep").union(shared(again).select("key", "m", "rep"))
+    return classes.select(F.explode(keys).alias("key"), "rep")
+
+
+def _loose(classes: DataFrame, lists: DataFrame, link) -> DataFrame:
+    """(node, component) of the loose links among the members of each list."""
+    sketch = classes.select("rep", "n", "sketch")
+    columns = ["n", "sketch"]
+    attach = lambda d: d.join(sketch, "rep")
+    # under a few values each first
+    head = lists.where(F.col("turn") < FIRST).select("key", "rep")
+    size = head.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("_n"))
+    edges = _meet_first(head.join(size, "key"), "key", attach, columns, link)
+    parts = components(edges).select(F.col("node").alias("rep"), F.col("component").alias("_part"))
+    rows = lists.select("key", "rep").join(parts, "rep", "left").withColumn("_part", F.coalesce("_part", "rep"))
+    rows = written(rows, "near-parts")
+    # lists that are one cluster have nothing left to link
+    counts = rows.groupBy("key", "_part").agg(F.count("*").alias("_size"))
+    state = counts.groupBy("key").agg(
+        F.sum("_size").alias("m"), (F.sum("_size") - F.max("_size")).alias("_strays"), F.max_by("_part", F.struct("_size", "_part")).alias("_most")
+    )
+    state = written(state.where("_strays > 0").withColumns({"_n": F.ceil(F.col("m") / BLOCK), "_s": F.ceil(F.col("_strays") / BLOCK)}), "near-open")
+    rows = rows.join(state, "key")
+    small = rows.where("_n = 1").select(F.col("key").alias("task"), "rep", "_part")
+    large = rows.where(F.col("_n") > 1)
+    found = [edges, _by_task(attach(small), columns, link, part=True)]
+    if not state.where("_n > 1").isEmpty():
+        few = large.where(F.col("_s") <= RUNS)
+        found.append(_by_task(attach(_deal_strays(few, "key")), columns, link, part=True))
+        many = large.where(F.col("_s") > RUNS).select("rep").distinct()
+        if not many.isEmpty():
+            runs = written(_run_keys(classes.join(many, "rep", "left_semi")), "near-runs")
+            size = runs.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+            runs = runs.join(size, "key").join(parts, "rep", "left").withColumn("_part", F.coalesce("_part", "rep"))
+            return _linked(runs, "key", F.ceil(F.col("m") / BLOCK), attach, columns, link, reduce(DataFrame.union, found))
+    return components(reduce(DataFrame.union, found))
 
 
 def _block(column: str, blocks):
     return F.pmod(F.xxhash64(column), blocks)
 
 
-def _linked(members: DataFrame, key: str, blocks, attach, columns: list[str], link) -> DataFrame:
-    """(node, component) of the links among the members (``key``, rep) of each key.
+def _meet_first(rows: DataFrame, key: str, attach, columns: list[str], link, tasks: int | None = None) -> DataFrame:
+    """Edges of the links found when a key of one block (``_n`` = 1) is one task, and
+    in a larger one each block meets the first."""
+    rows = rows.select(key, "rep", F.col("_n").cast("bigint").alias("_n")).withColumn("_mine", _block("rep", F.col("_n")))
+    later = F.sequence(F.lit(1).cast("bigint"), F.col("_n") - 1)
+    meets = F.when(F.col("_n") == 1, F.array(F.lit(0).cast("bigint"))).when(F.col("_mine") == 0, later).otherwise(F.array("_mine"))
+    dealt = rows.withColumn("_other", F.explode(meets)).select(F.xxhash64(key, "_other").alias("task"), "rep")
+    return written(_by_task(attach(dealt), columns, link, tasks=tasks), "near-edges")
+
+
+def _deal_strays(rows: DataFrame, key: str) -> DataFrame:
+    """(task, rep, _part) in which the members outside a key's largest part meet all
+    others: a block of them (of ``_s``) with a block of members (of ``_n``)."""
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    strays = rows.where("_part <> _most").withColumns({"_i": _block("rep", F.col("_s")), "_j": every("_n")})
+    others = rows.withColumns({"_i": every("_s"), "_j": _block("rep", F.col("_n"))})
+    dealt = strays.select(key, "_i", "_j", "rep", "_part").union(others.select(key, "_i", "_j", "rep", "_part")).distinct()
+    return dealt.select(F.xxhash64(key, "_i", "_j", F.lit(1)).alias("task"), "rep", "_part")
+
+
+def _linked(members: DataFrame, key: str, blocks, attach, columns: list[str], link, known: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+    """(node, component) of the links among the members (``key``, rep) of each key,
+    and of the edges ``known``.
 
     A key of one block is one task.  A larger one is dealt out twice: first each
     block meets the first one, which in a dense group links nearly all members;
@@ -154,34 +223,31 @@ def _linked(members: DataFrame, key: str, blocks, attach, columns: list[str], li
     of them with a block of members at a time.  Two members that never meet are in
     that component, so no link is lost, and a group of near copies costs a few
     rows a member however large it is.  ``attach`` joins what ``link`` needs."""
-    rows = members.select(key, "rep", blocks.cast("bigint").alias("_n")).withColumn("_mine", _block("rep", F.col("_n")))
-    rows = written(rows, "near-members")
-    later = F.sequence(F.lit(1).cast("bigint"), F.col("_n") - 1)
-    meets = F.when(F.col("_n") == 1, F.array(F.lit(0).cast("bigint"))).when(F.col("_mine") == 0, later).otherwise(F.array("_mine"))
-    dealt = rows.withColumn("_other", F.explode(meets)).select(F.xxhash64(key, "_other").alias("task"), "rep")
-    edges = written(_by_task(attach(dealt), columns, link), "near-edges")
+    rows = written(members.select(key, "rep", blocks.cast("bigint").alias("_n")), "near-members")
+    edges = _meet_first(rows, key, attach, columns, link, tasks)
+    if known is not None:
+        edges = edges.union(known)
     first = components(edges)
     wide = rows.where("_n > 1")
     if wide.isEmpty():
         return first
     parts = first.select(F.col("node").alias("rep"), F.col("component").alias("_part"))
     wide = wide.join(parts, "rep", "left").withColumn("_part", F.coalesce("_part", "rep"))
-    wide = written(wide.select(key, "rep", "_n", "_mine", "_part"), "near-wide")
+    wide = written(wide, "near-wide")
     parts = wide.groupBy(key, "_part").agg(F.count("*").alias("_size"))
     most = parts.groupBy(key).agg(F.max_by("_part", F.struct("_size", "_part")).alias("_most"), (F.sum("_size") - F.max("_size")).alias("_strays"))
-    wide = wide.join(most.where("_strays > 0").withColumn("_s", F.ceil(F.col("_strays") / BLOCK)), key)
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    strays = wide.where("_part <> _most").withColumns({"_i": _block("rep", F.col("_s")), "_j": every("_n")})
-    others = wide.withColumns({"_i": every("_s"), "_j": F.col("_mine")})
-    dealt = strays.select(key, "_i", "_j", "rep").union(others.select(key, "_i", "_j", "rep")).distinct()
-    dealt = dealt.select(F.xxhash64(key, "_i", "_j", F.lit(1)).alias("task"), "rep")
-    return components(edges.union(_by_task(attach(dealt), columns, link)))
+    most = written(most.where("_strays > 0").withColumn("_s", F.ceil(F.col("_strays") / BLOCK)), "near-strays")
+    if most.isEmpty():
+        return first
+    return components(edges.union(_by_task(attach(_deal_strays(wide.join(most, key), key)), columns, link, part=True)))
 
 
-def _by_task(rows: DataFrame, columns: list[str], link) -> DataFrame:
-    """Edges (a, b) that ``link(reps, column arrays)`` finds in each task's rows;
-    its result is a list of index pairs, of which a spanning forest is kept."""
-    rows = rows.select("task", "rep", *columns).repartition("task").sortWithinPartitions("task")
+def _by_task(rows: DataFrame, columns: list[str], link, part: bool = False, tasks: int | None = None) -> DataFrame:
+    """Edges (a, b) that ``link(column arrays)`` finds in each task's rows; its
+    result is a list of index pairs, of which a spanning forest is kept.  With
+    ``part``, members of one ``_part`` count as linked already."""
+    rows = rows.select("task", "rep", *(["_part"] if part else []), *columns)
+    rows = (rows.repartition(tasks, "task") if tasks else rows.repartition("task")).sortWithinPartitions("task")
 
     def run(batches):
         held = None
@@ -210,11 +276,21 @@ def _by_task(rows: DataFrame, columns: list[str], link) -> DataFrame:
 
         rank = np.empty(len(rep), np.int64)
         rank[order] = np.arange(len(rep))
+        if part:
+            at: dict[int, int] = {}
+            for x, p in zip(rank.tolist(), group.column("_part").to_pylist()):
+                y = at.setdefault(p, x)
+                x, y = root(x), root(y)
+                parent[max(x, y)] = min(x, y)
+            if len(at) < 2:
+                return []
+        rep, edges = rep[order].tolist(), []
         for x, y in link(*(group.column(c) for c in columns)):
             x, y = root(int(rank[x])), root(int(rank[y]))
-            parent[max(x, y)] = min(x, y)
-        rep = rep[order].tolist()
-        return [(rep[root(x)], rep[x]) for x in range(len(rep)) if root(x) != x]
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                edges.append((rep[min(x, y)], rep[max(x, y)]))
+        return edges
 
     def _edges(pairs):
         a, b = zip(*pairs) if pairs else ((), ())
@@ -309,16 +385,18 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words:
     )
     classes = written(classes, "near-classes")
 
-    sketch = classes.select("rep", "n", "sketch")
-    estimate = _estimated(percent / 100)
-    loose = _linked(_lists(classes), "key", F.ceil(F.col("m") / BLOCK), lambda d: d.join(sketch, "rep"), ["n", "sketch"], estimate)
+    loose = written(_loose(classes, _lists(classes), _estimated(percent / 100)), "near-loose")
 
     clusters = loose.join(classes.select(F.col("rep").alias("node"), "n"), "node")
     size = clusters.groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
     members = clusters.join(size, "component").withColumnRenamed("node", "rep")
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
     texts = docs.select(F.col(id).cast("bigint").alias("rep"), F.col(text).alias("text"))
-    same = _linked(members, "component", blocks, lambda d: d.join(texts, "rep"), ["text"], _exact(words, percent))
+    # comparing costs by shingles, not by bytes: tasks are counted by them
+    total = clusters.agg(F.sum("n")).first()[0] or 0
+    most = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(most, total // TASK_SHINGLES))
+    same = _linked(members, "component", blocks, lambda d: d.join(texts, "rep"), ["text"], _exact(words, percent), tasks=tasks)
 
     found = classes.join(same.withColumnRenamed("node", "rep"), "rep", "left")
     found = written(found.select("digest", "size", F.coalesce("component", "rep").alias("component_id")), "near-found")
@@ -336,5 +414,6 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words:
 def drop_near(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The documents that stay, one of each component, with their columns; rows
     with a null id stay."""
-    lost = near_groups(docs, id, text, words, percent).where("not kept").select(F.col(id).alias("_lost")).distinct()
-    return docs.join(lost, F.col(id) == F.col("_lost"), "left_anti")
+    gone = unused(docs, "_lost")
+    lost = near_groups(docs, id, text, words, percent).where("not kept").select(F.col(id).alias(gone)).distinct()
+    return docs.join(lost, docs[id] == F.col(gone), "left_anti")

@@ -24,12 +24,13 @@ Defined cases: a null text counts as empty and has no spans; overlapping
 patterns of different kinds are all reported; a context term never overlaps a
 pattern span; rows are told apart by id and text, so repeated rows get equal
 spans; an entity that every document holds reveals nothing; an empty table gives
-an empty result; other columns are not read."""
+an empty result; other columns are not read (``sanitise`` keeps them all)."""
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainwatch.llm._common import HOT, joined, text_slices, with_text_columns, written
+from chainwatch.llm._common import HOT, joined, text_slices, unused, with_text_columns, written
 
 #: Kinds of pattern spans, in the order of equal starts; actions on terms follow.
 KINDS = ("email", "ip", "card", "phone")
 ACTIONS = ("generalise", "remove")
 #: The patterns (fixed values of the contract).
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP_PART, IP_RUN = re.compile("[0-9]+"), re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Words of context on either side, however long they are.
@@ -78,15 +79,29 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _ips(text: str):
+    """Spans of the ip pattern, four parts of digits: in a run of dotted parts, its
+    leftmost matches are the parts taken four at a time."""
+    for run in IP_RUN.finditer(text):
+        if run.group().count(".") >= 3:
+            parts = [m.span() for m in IP_PART.finditer(text, *run.span())]
+            for k in range(0, len(parts) - 3, 4):
+                four = parts[k : k + 4]
+                values = [text[a:b].lstrip("0") for a, b in four]
+                if all(len(v) <= 3 and int(v or "0") <= 255 for v in values):
+                    yield four[0][0], four[3][1]
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind number) of all pattern matches that pass their check,
-    by start and kind; code points, end exclusive."""
+    by start and kind; code points, end exclusive.  Each pattern takes time in
+    proportion to the text, whatever it holds."""
     found, past = [], 0
     at = text.find("@")
     while at >= 0:
         # the leftmost match: all local characters before the sign, after the last match
         begin = at
-        while begin > past and LOCAL.match(text, begin - 1, at):
+        while begin > past and text[begin - 1] in LOCAL:
             begin -= 1
         domain = DOMAIN.match(text, at + 1) if begin < at else None
         if domain:
@@ -94,9 +109,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             past = domain.end()
         at = text.find("@", max(at + 1, past))
     if re.search("[0-9]", text):
-        for m in IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
-                found.append((*m.span(), 1))
+        found += [(a, b, 1) for a, b in _ips(text)]
         for m in CARD.finditer(text):
             if 14 <= len(d := _digits(m.group())) <= 19 and _luhn(d):
                 found.append((*m.span(), 2))
@@ -115,13 +128,19 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, in
     out = []
     words = [m.span() for m in TERM.finditer(text)]
     begins, ends = [a for a, _ in words], [b for _, b in words]
+    starts, reach = [a for a, _, _ in spans], list(accumulate((b for _, b, _ in spans), max))
+
+    def masked(a, b):  # some span begins before b and reaches beyond a
+        k = bisect_left(starts, b)
+        return k > 0 and reach[k - 1] > a
+
     for start, end, kind in spans:
         value = text[start:end]
         entity = _hash(f"{KINDS[kind]}:{_digits(value) if kind > 1 else value.lower()}".encode())
         before, after = bisect_right(ends, start), bisect_left(begins, end)
         for a, b in words[max(0, before - WINDOW) : before] + words[after : after + WINDOW]:
             word = text[a:b]
-            if sum(c.isalpha() for c in word) >= LEAST_LETTERS and not any(a < y and x < b for x, y, _ in spans):
+            if sum(c.isalpha() for c in word) >= LEAST_LETTERS and not masked(a, b):
                 out.append((entity, _hash(word.encode().translate(_MAP)), a, b))
     return out
 
@@ -249,7 +268,8 @@ def sanitise(docs: DataFrame, spans: DataFrame, id: str = "doc_id", text: str =
 
     ``spans`` is the result of :func:`find_spans` on the same documents; its
     texts' keys must be told apart by id only, so ids must be unique."""
-    rows = docs.join(spans.select(F.col(id).alias("_id"), F.col("spans").alias("_spans")), F.col(id).eqNullSafe(F.col("_id")), "left").drop("_id")
+    key, own = unused(docs, "_id"), unused(docs, "_spans")
+    rows = docs.join(spans.select(F.col(id).alias(key), F.col("spans").alias(own)), docs[id].eqNullSafe(F.col(key)), "left").drop(key)
 
     def make():
         def compute(batch):
@@ -257,7 +277,7 @@ def sanitise(docs: DataFrame, spans: DataFrame, id: str = "doc_id", text: str =
 
         return compute
 
-    return with_text_columns(rows, text, make, [T.StructField(out, T.StringType(), True)], also=["_spans"]).drop("_spans")
+    return with_text_columns(rows, text, make, [T.StructField(out, T.StringType(), True)], also=[own]).drop(own)
 
 
 def _masked(text: str | None, spans: list | None) -> str | None:

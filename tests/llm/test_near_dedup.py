@@ -1,6 +1,7 @@
 import random
 
 import pyarrow as pa
+import pytest
 
 from chainwatch.llm import near_dedup
 from chainwatch.llm.components import components
@@ -119,6 +120,33 @@ def test_short_texts_of_common_shingles(make_docs, monkeypatch):
     assert _got(near_dedup.near_groups(make_docs(rows).repartition(3))) == brute(rows)
 
 
+@pytest.mark.parametrize("runs", [0, 1, near_dedup.RUNS])
+def test_many_strays_under_common_values(make_docs, monkeypatch, runs):
+    """Texts of one pool of very common shingles: dense groups, and many texts that
+    are near no other; by strays and by runs."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 6)
+    monkeypatch.setattr(near_dedup, "RUNS", runs)
+    rnd = random.Random(12)
+    pool = [[f"p{i}{c}" for c in "abcdefghijkl"] for i in range(14)]
+    texts = [" ".join(w for i in sorted(rnd.sample(range(14), 7)) for w in pool[i]) for _ in range(50)]
+    texts += _family(rnd, [w for i in range(10) for w in pool[i]], 30, 2)
+    rows = list(enumerate(texts))
+    assert _got(near_dedup.near_groups(make_docs(rows).repartition(3))) == brute(rows)
+
+
+def test_contracted_edges_keep_components(spark, monkeypatch):
+    from chainwatch.llm import components as module
+
+    monkeypatch.setattr(module, "ROWS", 16)
+    rnd = random.Random(3)
+    edges = [(rnd.randrange(80), rnd.randrange(80)) for _ in range(60)] + [(100 + i, 101 + i) for i in range(50)]
+    got = {r.node: r.component for r in module.components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(4)).collect()}
+    a, b = (module.np.array([e[i] for e in edges]) for i in (0, 1))
+    root, node = module.forest(a, b)
+    want = dict(zip(node.tolist(), root.tolist()))
+    assert {n: c for n, c in got.items() if n != c} == want
+
+
 def test_classes_with_common_values_are_listed_more(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 2)
     for common, keys in ((0, 8), (1, 9), (2, 10), (4, 11), (5, 11)):
@@ -129,7 +157,9 @@ def test_classes_with_common_values_are_listed_more(spark, monkeypatch):
     same = [*range(6), *range(100, 140)]
     rows = [(1, same), (2, same), (3, [*range(6), *range(200, 240)])]
     listed = near_dedup._lists(spark.createDataFrame(rows, "rep bigint, sketch array<bigint>")).collect()
-    assert len({r.key for r in listed if r.rep == 1}) == 10 + len(same) - 2  # rare values and runs of three
+    assert len({r.key for r in listed if r.rep == 1}) == 10 + 6  # rare values and, with other wide classes, the common ones
+    runs = near_dedup._run_keys(spark.createDataFrame(rows, "rep bigint, sketch array<bigint>")).collect()
+    assert len({r.key for r in runs if r.rep == 1}) == len(same) - 2
 
 
 def test_estimate_leaves_room_below_the_limit():

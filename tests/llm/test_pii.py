@@ -1,11 +1,13 @@
 import math
 import random
 import re
+import time
 
 from chainwatch.llm import pii
 
 from .conftest import EDGES
 
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 
 
@@ -19,7 +21,7 @@ def _brute(t):
         return (sum(odd) + sum(even)) % 10 == 0
 
     out = [(m.start(), m.end(), 0) for m in EMAIL.finditer(t)]
-    out += [(m.start(), m.end(), 1) for m in pii.IP.finditer(t) if all(int(p) <= 255 for p in m.group().split("."))]
+    out += [(m.start(), m.end(), 1) for m in IP.finditer(t) if all(int(p) <= 255 for p in m.group().split("."))]
     out += [(m.start(), m.end(), 2) for m in pii.CARD.finditer(t) if 14 <= len(digits(m.group())) <= 19 and luhn(digits(m.group()))]
     out += [(m.start(), m.end(), 3) for m in pii.PHONE.finditer(t) if 10 <= len(digits(m.group())) <= 15]
     return sorted(out, key=lambda s: (s[0], s[2]))
@@ -88,6 +90,40 @@ def test_spans_and_sanitised_text(make_docs):
     assert text.b == f"email:{texts[0].index('anna.k')}:{texts[0].index(' today')}" and "remove:" in text.s and text.b in text.s
 
 
+def test_long_runs_take_linear_time():
+    began = time.perf_counter()
+    zeros = "0" * 5000 + "1.2.3.4"
+    assert pii.base_spans(zeros) == [(0, len(zeros), 1)]
+    million = 1_000_000
+    assert pii.base_spans("7" * million) == []
+    assert pii.base_spans("7" * million + ".1.2.3") == []
+    assert pii.base_spans("a" * million + "@x") == []
+    assert pii.base_spans("a" * million + "@x.y") == [(0, million + 4, 0)]
+    assert len(pii.base_spans("1." * million)) == million // 4
+    assert time.perf_counter() - began < 5
+    many = " ".join(f"p{i}@x.y word" for i in range(5000))
+    spans = pii.base_spans(many)
+    began = time.perf_counter()
+    assert len(spans) == 5000 and len(pii.contexts(many, spans)) > 15_000
+    assert time.perf_counter() - began < 3
+
+
+def test_masked_words_are_no_terms():
+    rnd = random.Random(9)
+    for _ in range(300):
+        text = " ".join(rnd.choice(["a@b.cd", "name", "1.2.3.4.5", "+49 30 1234567", "4111 1111 1111 1111", "other"]) for _ in range(12))
+        spans = pii.base_spans(text)
+        for _, _, a, b in pii.contexts(text, spans):
+            assert not any(a < y and x < b for x, y, _ in spans)
+
+
+def test_clashing_names(make_docs):
+    docs = make_docs(["mail a@b.cd", "b"])
+    wide = docs.selectExpr("*", "1 as _id", "2 as _spans")
+    got = pii.sanitise(wide, pii.find_spans(docs))
+    assert got.columns == [*wide.columns, "sanitised"] and sorted(r.sanitised for r in got.collect()) == [" [EMAIL]", "b"]
+
+
 def test_nothing(make_docs):
     assert pii.find_spans(make_docs([])).count() == 0
     assert pii.find_spans(make_docs([None, None])).count() == 2
