@@ -44,11 +44,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainwatch.llm._common import text_slices, unused, written
+from chainwatch.llm._common import split_words, text_slices, unused, written
 from chainwatch.llm.components import components
 
 #: Values of a sketch, and those of them that get inverted lists.
@@ -69,8 +70,6 @@ BLOCK = 1024
 BLOCK_SHINGLES, TASK_SHINGLES = 1 << 20, 1 << 18
 #: Estimated similarity, below the wanted one, that makes a loose link.
 LOOSE = 0.3
-#: Words whose hashes a worker remembers before it starts afresh.
-CACHE_WORDS = 400_000
 #: Classes with more than rows / MAX_HOT members are looked up by broadcast.
 MAX_HOT = 10_000
 FULL = np.uint64((1 << 63) - 1)
@@ -81,16 +80,12 @@ class Shingler:
 
     def __init__(self, words: int):
         self.words = words
-        self.hashes: dict[bytes, int] = {}
 
-    def sets(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").encode().lower().split() for t in texts]
-        if len(self.hashes) > CACHE_WORDS:
-            self.hashes = {}
-        for w in {w for words in split for w in words} - self.hashes.keys():
-            self.hashes[w] = xxhash.xxh3_64_intdigest(w)
-        get = self.hashes.__getitem__
-        return [self._set(np.fromiter(map(get, words), np.uint64, len(words))) for words in split]
+    def sets(self, texts) -> list[np.ndarray]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        known, which, begins = split_words(pc.ascii_lower(texts))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))[which]
+        return [self._set(h[x:y]) for x, y in zip(begins.tolist(), begins[1:].tolist())]
 
     def _set(self, h: np.ndarray) -> np.ndarray:
         n, w = len(h), self.words
@@ -117,7 +112,7 @@ def sketches(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
         shingler = Shingler(words)
         for whole in batches:
             for b in text_slices(whole, "text"):
-                sets = shingler.sets(b.column("text").to_pylist())
+                sets = shingler.sets(b.column("text"))
                 n = pa.array([len(s) for s in sets], pa.int64())
                 digest = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
                 sketch = pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64()))
@@ -367,7 +362,7 @@ def _exact(words: int, percent: int):
     def link(text):
         if not shingler:
             shingler.append(Shingler(words))
-        sets = shingler[0].sets(text.to_pylist())
+        sets = shingler[0].sets(text.combine_chunks())
         n = np.array([len(s) for s in sets])
         shared = common(np.concatenate(sets), np.repeat(np.arange(len(sets)), n), len(sets))
         union = n[:, None] + n[None, :] - shared

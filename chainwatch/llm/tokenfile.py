@@ -25,7 +25,6 @@ text; an empty table gives no documents; other columns are not written."""
 from __future__ import annotations
 
 import struct
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chainwatch.llm._common import per_worker, text_slices
+from chainwatch.llm._common import per_worker, split_words, text_slices
 from chainwatch.llm.bpe import STABLE_BYTE, byte_chars
 
 #: An empty zstandard skippable frame; every byte of it is ASCII.
@@ -49,6 +48,8 @@ FOOTER = "<QQQQI"
 FOOTER_BYTES = struct.calcsize(FOOTER)
 #: Raw bytes after which a frame is closed; a longer document has a frame of its own.
 FRAME_BYTES = 256 << 10
+#: Marks that often stand at a word's end.
+MARKS = ".,;:!?"
 #: Split of a normalised text into words (the fixed pattern of the vocabulary file).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
@@ -71,27 +72,37 @@ class WordEncoder:
         self.lib = Tokenizer.from_file(path)
         tokens = (t.content for t in self.lib.get_added_tokens_decoder().values())
         self.odd = tuple(x.encode() for x in (*self.SPACES, *tokens))
-        self.pattern = regex.compile(WORDS + "| ")
+        self.pattern = regex.compile(WORDS)
         self.chars = byte_chars()
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.older_words, self.older_pieces = self.words, self.pieces
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Packed little-endian uint32 ids of each text."""
-        split = [(t or "").encode().split() for t in texts]
+    def encode(self, texts) -> list[bytes]:
+        """Packed little-endian uint32 ids of each text: the ids of the distinct words
+        are looked up, and every place takes its word's by index."""
+        known, which, begins = split_words(texts)
         if len(self.words) > CACHE_WORDS:
             self.older_words, self.words = self.words, {}
         if len(self.pieces) > CACHE_PIECES:
             self.older_pieces, self.pieces = self.pieces, {}
-        new = set(chain.from_iterable(split)) - self.words.keys()
+        new = set(known) - self.words.keys()
         for w in new & self.older_words.keys():
             self.words[w] = self.older_words[w]
         new -= self.words.keys()
         if new:
             self._learn(new)
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        packed = [self.words[w] for w in known]
+        pool = np.frombuffer(b"".join(packed), "<u4")
+        size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        first = np.cumsum(size) - size
+        count = size[which]
+        end = np.cumsum(count)
+        at = np.repeat(first[which] - (end - count), count)
+        at += np.arange(len(at))
+        ids = memoryview(pool[at].tobytes())
+        cuts = (4 * np.r_[0, end][begins]).tolist()
+        return [bytes(ids[x:y]) for x, y in zip(cuts, cuts[1:])]
 
     def _learn(self, new: set[bytes]) -> None:
         whole = b" ".join(new)
@@ -113,25 +124,26 @@ class WordEncoder:
 
     def _split(self, words: list[bytes], text: str) -> None:
         """Ids of each word; ``text`` has them normalised, with spaces between."""
-        found = self.pattern.findall(text)
-        pieces, older, tokenize = self.pieces, self.older_pieces, self.lib.model.tokenize
-        for piece in set(found) - pieces.keys():
-            if piece in older:
-                pieces[piece] = older[piece]
-                continue
-            mapped = piece if piece.isascii() and piece.isalnum() else "".join(map(self.chars.__getitem__, piece.encode()))
-            pieces[piece] = _pack([t.id for t in tokenize(mapped)])
-        pieces[" "] = b""
-        known, word, out = self.words, 0, b""
-        for piece in found:
-            if piece == " ":
-                known[words[word]] = out
-                word, out = word + 1, b""
-            else:
-                out += pieces[piece]
-        known[words[word]] = out
-        if word + 1 != len(words):
+        made = text.split(" ")
+        if len(made) != len(words):
             raise ValueError("a word was split at a character that is not ASCII white space")
+        known, piece, findall = self.words, self._piece, self.pattern.findall
+        for w, n in zip(words, made):
+            body = n.rstrip(MARKS)
+            if body.isalpha():  # letters, and marks after them: one piece each
+                known[w] = piece(body) + piece(n[len(body) :]) if len(body) < len(n) else piece(body)
+            else:
+                known[w] = b"".join(map(piece, findall(n)))
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = self.older_pieces.get(piece)
+            if ids is None:
+                mapped = piece if piece.isascii() and piece.isalnum() else "".join(map(self.chars.__getitem__, piece.encode()))
+                ids = _pack([t.id for t in self.lib.model.tokenize(mapped)])
+            self.pieces[piece] = ids
+        return ids
 
 
 def _pack(ids: list[int]) -> bytes:
@@ -219,7 +231,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = 1, id: str
         out = FrameWriter(frame_bytes)
         for whole in batches:
             for batch in text_slices(whole, "text"):
-                packed = encoder.encode(batch.column("text").to_pylist())
+                packed = encoder.encode(batch.column("text"))
                 rows = [r for i, p in zip(batch.column("id").to_pylist(), packed) for r in out.add(i, p + end)]
                 yield _rows(rows)
         if out.docs:
