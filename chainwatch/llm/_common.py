@@ -94,7 +94,7 @@ def split_words(texts) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy(zero_copy_only=False), begins
 
 
-def with_text_columns(df: DataFrame, text: str, make: Callable[[], Callable], fields: list[T.StructField], also: list[str] = ()) -> DataFrame:
+def with_text_columns(df: DataFrame, text: str, make: Callable[[], Callable], fields: list[T.StructField], also: list[str] = (), limit: int = CHUNK_BYTES) -> DataFrame:
     """Append columns computed from ``text`` by a Python function.
 
     ``make()`` runs once per task and returns a function from a list of texts
@@ -110,7 +110,7 @@ def with_text_columns(df: DataFrame, text: str, make: Callable[[], Callable], fi
     def run(batches):
         compute = make()
         for whole in batches:
-            for batch in text_slices(whole, text):
+            for batch in text_slices(whole, text, limit):
                 texts = batch.column(text).to_pylist()
                 made = compute(list(zip(texts, *(batch.column(c).to_pylist() for c in also))) if also else texts)
                 made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, arrow)]

@@ -31,8 +31,9 @@ PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 #: Texts whose UTF-8 bytes all lie below this one hold no character beyond U+053F;
 #: up to there every Unicode version agrees on letters, numbers and spaces.
 STABLE_BYTE = 0xD5
-#: Pre-tokens that a worker remembers before it starts afresh.
-CACHE_WORDS = 400_000
+#: Pre-tokens that a worker remembers before it starts afresh, and bytes of text
+#: that it splits and merges at a time.
+CACHE_WORDS, SLICE_BYTES = 200_000, 1 << 20
 
 
 def byte_chars() -> list[str]:
@@ -189,7 +190,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decod
 
         return compute
 
-    return with_text_columns(df, text, make, fields)
+    return with_text_columns(df, text, make, fields, limit=SLICE_BYTES)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
