@@ -475,12 +475,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _text_operators():
     """Queries and SQL of the text-corpus operators, which are optional: without
-    ``chainwatch/llm`` and ``corpus_pipeline.py`` everything else works."""
+    ``chainwatch/llm``, ``corpus_pipeline.py`` or a library that only they need,
+    everything else works."""
+    own = {"corpus_pipeline", "public_tokenizers", "tokenizers", "xxhash", "zstandard", "regex", "numpy", "pyarrow"}
     try:
         import corpus_pipeline
         from chainwatch.llm import queries as text
     except ModuleNotFoundError as e:
-        if e.name != "corpus_pipeline" and not (e.name or "").startswith("chainwatch.llm"):
+        if e.name not in own and not (e.name or "").startswith("chainwatch.llm"):
             raise
         return {}, {}
     sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
