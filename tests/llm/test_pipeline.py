@@ -60,7 +60,7 @@ def test_stages_keep_columns(spark, make_docs):
 
 def test_names():
     assert [s[0] for s in corpus_pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "decontaminate", "bpe"]
-    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 14))
     assert queries.queries().keys() < E.queries().keys() and "pipeline" in E.queries()
 
 
@@ -68,15 +68,16 @@ def test_names():
 def test_against_sql(spark, name):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from read_parquet('{SF001}/documents.parquet')")
-    got = queries.queries()[name](spark, SF001).toPandas()
-    want = con.sql(queries.oracle_sql()[name]).df()
+    got = queries.queries()[name](spark, SF001)
+    want = con.sql(queries.oracle_sql()[name])
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns
-    key = lambda df: sorted(map(tuple, df[columns].astype(str).values.tolist()))
-    assert key(got) == key(want)
+    # plain values: pandas would make floats of nullable integers on one side only
+    ours = sorted((tuple(r[c] for c in columns) for r in got.collect()), key=str)
+    assert ours == sorted(want.select(*columns).fetchall(), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql()) - {"op5_licenses", "op6_decontaminate"}))
+@pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql()) - {"op5_licenses", "op6_decontaminate", "op12_whitening"}))
 def test_one_row_per_document(spark, corpus, name):
     got = queries.queries()[name](spark, SF001)
     assert sorted(r.doc_id for r in got.select("doc_id").collect()) == sorted(i for i, _, _ in corpus[0])
