@@ -4,11 +4,14 @@ Large-star and small-star steps alternate (Kiveris et al., "Connected
 Components in MapReduce and Beyond", 2014) until the edges no longer change;
 then every node points to the smallest node of its component.  Each step's
 edges are written to the shared folder, so the lineage stays short and nothing
-is collected.  Tasks contract their own edges to stars first.  Minima are aggregated before the shuffle; a hub's rows are split
-by adaptive execution's skew join, as only inner joins meet them."""
+is collected.  Minima are aggregated before the shuffle; a hub's rows are split by
+adaptive execution's skew join, as only inner joins meet them.  ``contracted`` makes
+stars of a task's edges before they leave it."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,33 +63,37 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[roots[moved]], nodes[moved]
 
 
-def contracted(edges: DataFrame) -> DataFrame:
-    """Edges (a < b) with the same components: each task's edges, some ROWS at a
-    time, become stars, so that fewer steps and fewer rows are left to shuffle."""
-
-    def run(batches):
-        a = b = np.zeros(0, np.int64)
-        for batch in batches:
-            a = np.concatenate([a, batch.column("a").to_numpy()])
-            b = np.concatenate([b, batch.column("b").to_numpy()])
-            if len(a) >= ROWS:
-                a, b = forest(a, b)
-                if len(a) >= ROWS // 2:
-                    yield made(a, b)
-                    a = b = np.zeros(0, np.int64)
-        yield made(*forest(a, b))
+def contracted(found: Iterable[list[tuple[int, int]]]) -> Iterator[pa.RecordBatch]:
+    """Batches of edges (a < b) with the same components as the ``found`` ones.  A
+    task that finds edges in Python passes them through this before it returns them:
+    some ROWS at a time they become stars, so that fewer steps and fewer rows are
+    left to shuffle, and no second Python worker is needed for it."""
+    a = b = np.zeros(0, np.int64)
+    held = [np.zeros((0, 2), np.int64)]
 
     def made(a, b):
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return edges.select("a", "b").mapInArrow(run, "a bigint, b bigint")
+    def merged():
+        new = np.concatenate(held)
+        held[:] = [new[:0]]
+        return forest(np.concatenate([a, new[:, 0]]), np.concatenate([b, new[:, 1]]))
+
+    for edges in found:
+        held.append(np.array(edges, np.int64).reshape(-1, 2))
+        if len(a) + sum(map(len, held)) >= ROWS:
+            a, b = merged()
+            if len(a) >= ROWS // 2:
+                yield made(a, b)
+                a = b = np.zeros(0, np.int64)
+    yield made(*merged())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b bigint): component is
     the smallest node that can be reached.  No edges give an empty table."""
     pairs = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = written(contracted(pairs).distinct(), "edges")
+    pairs = written(pairs.distinct(), "edges")
     state = _state(pairs)
     while state[0]:
         pairs = written(_star(_star(pairs, large=True), large=False), "edges")

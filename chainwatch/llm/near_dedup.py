@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainwatch.llm._common import split_words, text_slices, unused, written
-from chainwatch.llm.components import components
+from chainwatch.llm.components import components, contracted
 
 #: Values of a sketch, and those of them that get inverted lists.
 SKETCH, LISTED = 64, 8
@@ -239,7 +239,8 @@ def _linked(members: DataFrame, key: str, blocks, attach, columns: list[str], li
 
 def _by_task(rows: DataFrame, columns: list[str], link, part: bool = False, tasks: int | None = None) -> DataFrame:
     """Edges (a, b) that ``link(column arrays)`` finds in each task's rows; its
-    result is a list of index pairs, of which a spanning forest is kept.  With
+    result is a list of index pairs, of which a spanning forest is kept for the whole
+    Spark task.  With
     ``part``, members of one ``_part`` count as linked already."""
     rows = rows.select("task", "rep", *(["_part"] if part else []), *columns)
     rows = (rows.repartition(tasks, "task") if tasks else rows.repartition("task")).sortWithinPartitions("task")
@@ -250,11 +251,10 @@ def _by_task(rows: DataFrame, columns: list[str], link, part: bool = False, task
             table = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
             task = table.column("task").to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(task)) + 1).tolist()]
-            edges = [e for x, y in zip(cuts, cuts[1:]) for e in forest(table.slice(x, y - x))]
+            yield [e for x, y in zip(cuts, cuts[1:]) for e in forest(table.slice(x, y - x))]
             held = table.slice(cuts[-1])
-            yield _edges(edges)
         if held is not None and held.num_rows:
-            yield _edges(forest(held))
+            yield forest(held)
 
     def forest(group):
         if group.num_rows < 2:
@@ -287,11 +287,7 @@ def _by_task(rows: DataFrame, columns: list[str], link, part: bool = False, task
                 edges.append((rep[min(x, y)], rep[max(x, y)]))
         return edges
 
-    def _edges(pairs):
-        a, b = zip(*pairs) if pairs else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return rows.mapInArrow(run, "a bigint, b bigint")
+    return rows.mapInArrow(lambda batches: contracted(run(batches)), "a bigint, b bigint")
 
 
 def _flat(column) -> tuple[np.ndarray, np.ndarray]:

@@ -168,3 +168,24 @@ def test_estimate_leaves_room_below_the_limit():
     assert len(a) == len(b) == near_dedup.SKETCH and 0.5 < 46 / 82 < 0.6
     found = near_dedup._estimated(0.8)(pa.chunked_array([[1000, 1000]]), pa.chunked_array([[a, b]], pa.list_(pa.int64())))
     assert list(found) == [(0, 1)]
+
+
+def test_edges_are_contracted_where_they_are_found(monkeypatch):
+    """Whatever the number of edges held at a time, the stars a task returns join
+    what its edges joined, and are no more than they."""
+    import numpy as np
+
+    from chainwatch.llm import components as module
+
+    rng = np.random.default_rng(5)
+    found = [[(int(min(x, y)), int(max(x, y))) for x, y in rng.integers(0, 300, (n, 2)) if x != y] for n in (0, 40, 0, 90, 1, 60)]
+    flat = np.array([e for edges in found for e in edges])
+    want = dict(zip(*(x.tolist() for x in module.forest(flat[:, 0], flat[:, 1])[::-1])))
+    for rows in (1, 7, 50, 1 << 20):
+        monkeypatch.setattr(module, "ROWS", rows)
+        made = [r for batch in module.contracted(iter(found)) for r in zip(*(c.to_pylist() for c in batch.columns))]
+        assert len(made) <= len(flat)
+        a, b = np.array(made).T
+        assert (a < b).all()
+        assert dict(zip(*(x.tolist() for x in module.forest(a, b)[::-1]))) == want
+    assert [b.num_rows for b in module.contracted(iter([]))] == [0]
