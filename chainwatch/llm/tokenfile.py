@@ -14,9 +14,15 @@ footer from the end of the file, checks the table, and decompresses only the
 frames of the documents that it wants; each frame's checksum is verified.
 
 Spark range-partitions the documents by id, sorts each partition and writes
-one file per partition through its text sink, whose line separator is the
-empty skippable frame; so files are committed as Spark commits any output, on
-any file system, and a lost executor's task is simply run again.
+its files through the text sink, whose line separator is the empty skippable
+frame; so files are committed as Spark commits any output, on any file system,
+and a lost executor's task is simply run again.  A file is closed after
+``FILE_BYTES`` of ids and document entries: it then has as many rows as the sink
+puts into one file, short ones are filled up with empty rows.
+
+``_index`` beside the files (Parquet, one row per file) has each file's first and
+last id and its tokens.  A reader that wants some ids loads only the files whose
+range holds one of them, and in those decompresses only their frames.
 
 Defined cases: a null text counts as empty and has only the end id; null ids
 come first; documents with equal ids stand next to each other, ordered by
@@ -48,6 +54,8 @@ FOOTER = "<QQQQI"
 FOOTER_BYTES = struct.calcsize(FOOTER)
 #: Raw bytes after which a frame is closed; a longer document has a frame of its own.
 FRAME_BYTES = 256 << 10
+#: Raw bytes of ids and document entries after which a file is closed.
+FILE_BYTES = 64 << 20
 #: Marks that often stand at a word's end.
 MARKS = ".,;:!?"
 #: Split of a normalised text into words (the fixed pattern of the vocabulary file).
@@ -151,37 +159,61 @@ def _pack(ids: list[int]) -> bytes:
 
 
 class FrameWriter:
-    """Turns documents, in order, into the rows (byte strings) of one file."""
+    """Turns documents, in order, into the rows (byte strings) of files; every
+    file but the last has ``rows`` of them."""
 
-    def __init__(self, frame_bytes: int = FRAME_BYTES):
-        self.frame_bytes = frame_bytes
-        self.frames, self.docs, self.held, self.size = [], [], [], 0
-        self.offset = self.tokens = self.first = 0
+    def __init__(self, frame_bytes: int = FRAME_BYTES, file_bytes: int = FILE_BYTES):
+        self.frame_bytes, self.file_bytes = frame_bytes, file_bytes
+        self.rows = file_rows(frame_bytes, file_bytes)
         self.zstd = zstandard.ZstdCompressor(level=3)
+        self._open()
+
+    def _open(self) -> None:
+        self.frames, self.entries, self.docs, self.held = [], [], [], []
+        self.offset = self.tokens = self.first = self.size = self.bytes = 0
 
     def add(self, id: int | None, packed: bytes) -> list[bytes]:
         self.docs.append((id or 0, id is None, self.tokens, len(packed) // 4))
         self.tokens += len(packed) // 4
         self.held.append(packed)
         self.size += len(packed)
-        return [self._close()] if self.size >= self.frame_bytes else []
+        self.bytes += len(packed) + DOC.itemsize
+        full = self.bytes >= self.file_bytes
+        if not full and self.size < self.frame_bytes:
+            return []
+        made = [self._close()]
+        if full or len(self.frames) == self.rows - 1:
+            made += [b""] * (self.rows - 1 - len(self.frames))
+            made += self.finish()
+        return made
 
     def _close(self) -> bytes:
         raw = b"".join(self.held)
         frame = self.zstd.compress(raw)
         self.frames.append((self.offset, len(frame), len(raw), xxhash.xxh64_intdigest(raw), self.first, len(self.held)))
+        self.entries.append(np.array(self.docs, DOC).tobytes())
         self.offset += len(frame) + len(GAP)
-        self.first, self.held, self.size = len(self.docs), [], 0
+        self.first += len(self.held)
+        self.docs, self.held, self.size = [], [], 0
         return frame
 
     def finish(self) -> list[bytes]:
+        """Last rows of the file; nothing if it holds no document."""
         rows = [self._close()] if self.held else []
-        entries = np.array(self.frames, FRAME).tobytes() + np.array(self.docs, DOC).tobytes()
-        footer = struct.pack(FOOTER, len(self.frames), len(self.docs), self.tokens, xxhash.xxh64_intdigest(entries), FOOTER_MAGIC)
+        if not self.frames:
+            return rows
+        entries = np.array(self.frames, FRAME).tobytes() + b"".join(self.entries)
+        footer = struct.pack(FOOTER, len(self.frames), self.first, self.tokens, xxhash.xxh64_intdigest(entries), FOOTER_MAGIC)
         body = entries + footer
+        self._open()
         return [*rows, struct.pack("<II", TABLE_MAGIC, len(body)) + body]
 
 
+def file_rows(frame_bytes: int, file_bytes: int) -> int:
+    """Rows of a full file: its frames and the seek table."""
+    return max(1, file_bytes // frame_bytes) + 1
+
+
 class TokenFile:
     """Random access to the documents of one file, given its bytes."""
 
@@ -220,68 +252,87 @@ class TokenFile:
                     yield None if null else id, start, raw[at : at + 4 * tokens]
 
 
-def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = 1, id: str = "doc_id", text: str = "text", frame_bytes: int = FRAME_BYTES) -> None:
-    """Encode every text, append ``end_id`` and write the files, in id order."""
+def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = 1, id: str = "doc_id", text: str = "text", frame_bytes: int = FRAME_BYTES, file_bytes: int = FILE_BYTES) -> None:
+    """Encode every text, append ``end_id`` and write the files, in id order, and their index."""
     ordered = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
     ordered = ordered.repartitionByRange("id").sortWithinPartitions("id", "text")
     end = _pack([end_id])
 
     def run(batches):
         encoder = per_worker(("word", vocabulary), lambda: WordEncoder(vocabulary))
-        out = FrameWriter(frame_bytes)
+        out = FrameWriter(frame_bytes, file_bytes)
         for whole in batches:
             for batch in text_slices(whole, "text"):
                 packed = encoder.encode(batch.column("text"))
                 rows = [r for i, p in zip(batch.column("id").to_pylist(), packed) for r in out.add(i, p + end)]
                 yield _rows(rows)
-        if out.docs:
-            yield _rows(out.finish())
+        yield _rows(out.finish())
 
     def _rows(rows):
         return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
 
     made = ordered.mapInArrow(run, "value binary")
-    made.select(F.col("value").cast("string")).write.option("lineSep", GAP.decode()).option("maxRecordsPerFile", 0).text(path)
+    made = made.select(F.col("value").cast("string")).write.option("lineSep", GAP.decode())
+    made.option("maxRecordsPerFile", file_rows(frame_bytes, file_bytes)).text(path)
+    _write_index(docs.sparkSession, path)
+
+
+INDEX = "name string, part bigint, piece bigint, first_id bigint, last_id bigint, docs bigint, tokens bigint"
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0")
+def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(paths).where("length > 0")
+    return files.select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "content")
+
+
+def _write_index(spark: SparkSession, path: str) -> None:
+    def entries(batches):
+        for b in batches:
+            made = []
+            for content in b.column("content"):
+                f = TokenFile(content.as_buffer())
+                ids = f.docs["id"][f.docs["null"] == 0]
+                made.append((int(ids.min()), int(ids.max()), len(f.docs), f.tokens) if len(ids) else (None, None, len(f.docs), f.tokens))
+            columns = [pa.array(c, pa.int64()) for c in zip(*made)] if made else [pa.array([], pa.int64())] * 4
+            yield pa.RecordBatch.from_arrays([b.column("name"), *columns], names=["name", "first_id", "last_id", "docs", "tokens"])
+
+    made = _files(spark, path).mapInArrow(entries, "name string, first_id bigint, last_id bigint, docs bigint, tokens bigint")
+    place = [F.regexp_extract("name", p, 1).cast("bigint").alias(n) for n, p in (("part", r"^part-(\d+)"), ("piece", r"-c(\d+)"))]
+    made.select("name", *place, "first_id", "last_id", "docs", "tokens").write.parquet(f"{path}/_index")
 
 
 def read(spark: SparkSession, path: str, wanted: list[int] | None = None) -> DataFrame:
     """doc_id, start (ids of all documents before it, over all files), ids
     (packed) of every document, or of those with a wanted id."""
+    index = spark.read.schema(INDEX).parquet(f"{path}/_index")
     chosen = None if wanted is None else set(wanted)
-
-    def totals(batches):
-        for b in batches:
-            n = [TokenFile(c.as_buffer()).tokens for c in b.column("content")]
-            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(n, pa.int64())], names=["path", "tokens"])
+    paths = path
+    if wanted is not None:  # at most the files that hold a wanted id's range
+        held = index.where(F.exists(F.array(*map(F.lit, chosen)).cast("array<bigint>"), lambda i: i.between(F.col("first_id"), F.col("last_id"))))
+        paths = [f"{path}/{r.name}" for r in held.select("name").collect()]
+        if not paths:
+            return spark.createDataFrame([], "doc_id bigint, start bigint, ids binary")
 
     def documents(batches):
         for b in batches:
-            for where, content in zip(b.column("path"), b.column("content")):
+            for name, content in zip(b.column("name"), b.column("content")):
                 held, size = [], 0
                 for row in TokenFile(content.as_buffer()).read(chosen):
                     held.append(row)
                     size += len(row[2])
                     if size > 4 << 20:
-                        yield _docs(where, held)
+                        yield _docs(name, held)
                         held, size = [], 0
                 if held:
-                    yield _docs(where, held)
+                    yield _docs(name, held)
 
-    def _docs(where, held):
+    def _docs(name, held):
         ids, starts, packed = zip(*held)
-        columns = [pa.array([where.as_py()] * len(ids)), pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(packed, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=["path", "doc_id", "at", "ids"])
+        columns = [pa.array([name.as_py()] * len(ids)), pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(packed, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["name", "doc_id", "at", "ids"])
 
-    files = _files(spark, path).select("path", "content")
     # one row per file: files are numbered in id order
-    number = F.regexp_extract("path", r"part-(\d+)", 1).cast("bigint")
-    before = Window.orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
-    base = files.mapInArrow(totals, "path string, tokens bigint").select(
-        F.col("path").alias("_path"), F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("_base")
-    )
-    docs = files.mapInArrow(documents, "path string, doc_id bigint, at bigint, ids binary")
-    return docs.join(F.broadcast(base), F.col("path") == F.col("_path")).select("doc_id", (F.col("_base") + F.col("at")).alias("start"), "ids")
+    before = Window.orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    base = index.select(F.col("name").alias("_name"), F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("_base"))
+    docs = _files(spark, paths).mapInArrow(documents, "name string, doc_id bigint, at bigint, ids binary")
+    return docs.join(base, F.col("name") == F.col("_name")).select("doc_id", (F.col("_base") + F.col("at")).alias("start"), "ids")

@@ -71,6 +71,31 @@ def test_one_file(spark, make_docs):
         tokenfile.TokenFile(b"no seek table here, but long enough to hold a footer")
 
 
+def test_files_are_bounded_and_skipped(spark, make_docs, corpus):
+    """Full files have the same number of rows, ids go on over all of them, and some
+    ids are read without the bytes of the other files."""
+    rows = [(i, t) for i, t, _ in corpus[0][:120]] + [(5000 + i, "tiny") for i in range(300)] + [(9000, "long " * 20_000), (None, None)]
+    path, tok = work_path(spark, "test-token-bounded"), Tokenizer.from_file(PATH)
+    tokenfile.write(make_docs(rows).coalesce(1), PATH, path, frame_bytes=1000, file_bytes=6000)
+    local = path.replace("file:", "")
+    sizes = {n: len(b) for n in glob.glob(local + "/part-*") if (b := open(n, "rb").read())}
+    files = [tokenfile.TokenFile(open(n, "rb").read()) for n in sizes]
+    assert len(files) > 20
+    for f in files:  # beyond the bound is only a file's last document
+        raw = f.docs["tokens"] * 4 + tokenfile.DOC.itemsize
+        assert raw[:-1].sum() < 6000 and len(f.frames) <= 6
+    got, start = sorted(tokenfile.read(spark, path).collect(), key=lambda r: r.start), 0
+    assert len(got) == len(rows)
+    for r, (i, t) in zip(got, sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))):
+        assert (r.doc_id, r.start, bytes(r.ids)) == (i, start, _want(tok, t))
+        start += len(r.ids) // 4
+    some = tokenfile.read(spark, path, wanted=[5100, 5101, 77_777])
+    read = [n.split("/")[-1] for n in some.inputFiles() if "_index" not in n]
+    assert sorted(r.doc_id for r in some.collect()) == [5100, 5101]
+    assert 1 <= len(read) <= 2 and sum(s for n, s in sizes.items() if n.split("/")[-1] in read) < sum(sizes.values()) / 10
+    assert tokenfile.read(spark, path, wanted=[77_777]).count() == tokenfile.read(spark, path, wanted=[]).count() == 0
+
+
 def test_no_documents(spark, make_docs):
     path = work_path(spark, "test-token-none")
     tokenfile.write(make_docs([]), PATH, path)
