@@ -80,10 +80,10 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) ->
         yield batch.slice(a, b - a)
 
 
-def split_words(texts) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def word_places(texts) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Words of texts (a list or Arrow array; None is empty) at ASCII white space:
     the distinct words, which of them stands at each place, and where each text's
-    places begin (and the last end).  No Python object is made per place."""
+    places begin (and the last end).  No Python object is made."""
     texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
     words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     flat = words.flatten()
@@ -91,7 +91,13 @@ def split_words(texts) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     place = np.r_[0, np.cumsum(some.to_numpy(zero_copy_only=False))]
     begins = place[np.r_[0, np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))]]
     coded = flat.filter(some).dictionary_encode()
-    return coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy(zero_copy_only=False), begins
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), begins
+
+
+def split_words(texts) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """``word_places`` with the distinct words as byte strings."""
+    words, which, begins = word_places(texts)
+    return words.cast(pa.binary()).to_pylist(), which, begins
 
 
 def with_text_columns(df: DataFrame, text: str, make: Callable[[], Callable], fields: list[T.StructField], also: list[str] = (), limit: int = CHUNK_BYTES) -> DataFrame:

@@ -30,10 +30,13 @@ text; an empty table gives no documents; other columns are not written."""
 
 from __future__ import annotations
 
+import string
 import struct
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 import zstandard
@@ -41,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chainwatch.llm._common import per_worker, split_words, text_slices
+from chainwatch.llm._common import per_worker, text_slices, word_places
 from chainwatch.llm.bpe import STABLE_BYTE, byte_chars
 
 #: An empty zstandard skippable frame; every byte of it is ASCII.
@@ -62,6 +65,9 @@ MARKS = ".,;:!?"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 
+#: Of a token, its id.
+ID = attrgetter("id")
+
 #: Words, and pieces of words, of a generation that a worker remembers; the one
 #: before is kept beside it, so that frequent words are never learnt again.
 CACHE_WORDS, CACHE_PIECES = 220_000, 100_000
@@ -71,17 +77,19 @@ class WordEncoder:
     """The tokenizers library's ids for a vocabulary that drops white space.
 
     No token crosses ASCII white space, so each distinct word is encoded once
-    by the library's own normaliser and model and then remembered."""
+    by the library's own normaliser and model and then remembered.  ASCII words
+    are remembered in lower case, those of letters without the marks after them."""
 
     #: Words with these spaces beyond ASCII go through the library whole, as do special tokens.
     SPACES = ("\xa0", "\x85")
 
     def __init__(self, path: str):
         self.lib = Tokenizer.from_file(path)
-        tokens = (t.content for t in self.lib.get_added_tokens_decoder().values())
-        self.odd = tuple(x.encode() for x in (*self.SPACES, *tokens))
+        self.special = tuple(t.content for t in self.lib.get_added_tokens_decoder().values())
+        self.odd = tuple(x.encode() for x in (*self.SPACES, *self.special))
         self.pattern = regex.compile(WORDS)
         self.chars = byte_chars()
+        self.short = [struct.Struct(f"<{n}I").pack for n in range(32)]  # bytes of so many ids
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.older_words, self.older_pieces = self.words, self.pieces
@@ -89,36 +97,54 @@ class WordEncoder:
     def encode(self, texts) -> list[bytes]:
         """Packed little-endian uint32 ids of each text: the ids of the distinct words
         are looked up, and every place takes its word's by index."""
-        known, which, begins = split_words(texts)
+        words, which, begins = word_places(texts)
+        keys, marks = self._parts(words)
+        known = keys.dictionary.cast(pa.binary()).to_pylist()
+        self._remember(known)
+        packed = [*map(self.words.__getitem__, known), *map(self._piece, marks.dictionary.to_pylist())]
+        size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        part = np.stack([keys.indices.to_numpy(), marks.indices.to_numpy() + len(known)], axis=1).ravel()
+        pool, end = _gathered(np.frombuffer(b"".join(packed), "<u4"), size, part)
+        pool, end = _gathered(pool, np.diff(end[1::2], prepend=0), which)
+        ids = memoryview(pool.tobytes())
+        cuts = (4 * np.r_[0, end][begins]).tolist()
+        return [bytes(ids[x:y]) for x, y in zip(cuts, cuts[1:])]
+
+    def _parts(self, words: pa.Array) -> tuple[pa.DictionaryArray, pa.DictionaryArray]:
+        """The key of each word, and the marks after it that the key leaves out.
+        A word that is not ASCII, or holds a special token in any case, is its own key."""
+        own = pc.invert(pc.string_is_ascii(words))
+        for token in self.special:
+            own = pc.or_(own, pc.match_substring(words, token, ignore_case=True))
+        low = pc.ascii_lower(words)
+        body = pc.ascii_rtrim(low, characters=MARKS)
+        letters = pc.and_not(pc.ascii_is_alpha(body), own)  # letters, and marks after them: one piece each
+        keys = pc.if_else(letters, body, pc.if_else(own, words, low))
+        marks = pc.if_else(letters, pc.ascii_ltrim(low, characters=string.ascii_lowercase), "")
+        return keys.dictionary_encode(), marks.dictionary_encode()
+
+    def _remember(self, known: list[bytes]) -> None:
         if len(self.words) > CACHE_WORDS:
             self.older_words, self.words = self.words, {}
         if len(self.pieces) > CACHE_PIECES:
             self.older_pieces, self.pieces = self.pieces, {}
-        new = set(known) - self.words.keys()
-        for w in new & self.older_words.keys():
-            self.words[w] = self.older_words[w]
-        new -= self.words.keys()
+        new = [w for w in known if w not in self.words]
+        older = self.older_words
+        if older is not self.words:
+            self.words.update((w, older[w]) for w in new if w in older)
+            new = [w for w in new if w not in older]
         if new:
             self._learn(new)
-        packed = [self.words[w] for w in known]
-        pool = np.frombuffer(b"".join(packed), "<u4")
-        size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-        first = np.cumsum(size) - size
-        count = size[which]
-        end = np.cumsum(count)
-        at = np.repeat(first[which] - (end - count), count)
-        at += np.arange(len(at))
-        ids = memoryview(pool[at].tobytes())
-        cuts = (4 * np.r_[0, end][begins]).tolist()
-        return [bytes(ids[x:y]) for x, y in zip(cuts, cuts[1:])]
 
-    def _learn(self, new: set[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         whole = b" ".join(new)
         odd = [x for x in self.odd if x in whole]
         stable = np.frombuffer(whole, np.uint8).max(initial=0) < STABLE_BYTE
         plain, accented = [], []
         for w in new:
-            if w.isascii() and not (odd and any(x in w for x in odd)):
+            if w.isalpha():  # lower-case letters of ASCII
+                self.words[w] = self._tokens(w.decode())
+            elif w.isascii() and not (odd and any(x in w for x in odd)):
                 plain.append(w)
             elif (stable or max(w) < STABLE_BYTE) and not (odd and any(x in w for x in odd)):
                 accented.append(w)
@@ -148,11 +174,24 @@ class WordEncoder:
         if ids is None:
             ids = self.older_pieces.get(piece)
             if ids is None:
-                mapped = piece if piece.isascii() and piece.isalnum() else "".join(map(self.chars.__getitem__, piece.encode()))
-                ids = _pack([t.id for t in self.lib.model.tokenize(mapped)])
+                ids = self._tokens(piece if piece.isascii() and piece.isalnum() else "".join(map(self.chars.__getitem__, piece.encode())))
             self.pieces[piece] = ids
         return ids
 
+    def _tokens(self, mapped: str) -> bytes:
+        ids = [*map(ID, self.lib.model.tokenize(mapped))]
+        return self.short[len(ids)](*ids) if len(ids) < len(self.short) else _pack(ids)
+
+
+def _gathered(pool: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``pool`` has lists of the given sizes behind each other: the chosen lists
+    behind each other, and where each of these ends."""
+    count = size[which]
+    end = np.cumsum(count)
+    at = np.repeat((np.cumsum(size) - size)[which] - (end - count), count)
+    at += np.arange(len(at))
+    return pool[at], end
+
 
 def _pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
