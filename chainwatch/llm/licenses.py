@@ -20,6 +20,8 @@ reported each time; rows are independent, other columns pass through."""
 from __future__ import annotations
 
 import re
+from bisect import bisect
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -152,14 +154,15 @@ class TemplateIndex:
         return [(t, coverage, matched, first, last)] if coverage >= COVERAGE else []
 
     def _best(self, found: list[tuple], text: str) -> list[tuple]:
-        kept: list[tuple] = []
+        kept: list[tuple] = []  # by place; they do not overlap, so only both neighbours can meet a new one
         for f in sorted(set(found), key=lambda f: (-f[1], -f[2], f[3], f[0])):
-            if all(f[4] < k[3] or k[4] < f[3] for k in kept):
-                kept.append(f)
+            at = bisect(kept, f[3], key=itemgetter(3))
+            if (at == 0 or kept[at - 1][4] < f[3]) and (at == len(kept) or f[4] < kept[at][3]):
+                kept.insert(at, f)
         if not kept:
             return []
         spans = [m.span() for m in WORD.finditer(text)]
-        return [(self.names[t], c, m, spans[a][0], spans[b][1]) for t, c, m, a, b in sorted(kept, key=lambda f: f[3])]
+        return [(self.names[t], c, m, spans[a][0], spans[b][1]) for t, c, m, a, b in kept]
 
 
 def find_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text: str = "text", out: str = "licenses") -> DataFrame:

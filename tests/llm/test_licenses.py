@@ -63,3 +63,18 @@ def test_edges(make_docs):
     assert [r.doc_id for r in found.where("size(licenses) > 0").collect()] == [len(EDGES)]
     assert licenses.find_licenses(make_docs([])).count() == 0
     assert licenses.find_licenses(make_docs(["x"]), [("none", "")]).where("size(licenses) > 0").count() == 0
+
+
+def test_kept_reports_equal_pairwise_comparison():
+    """Best first, and none that overlaps a kept one, in time that many reports can bear."""
+    r = licenses.np.random.default_rng(8)
+    index, text = licenses.TemplateIndex(licenses.TEMPLATES), "word " * 6000
+    for n, most in ((0, 9), (40, 60), (3000, 5900)):
+        first = r.integers(0, most, n)
+        found = [(int(r.integers(0, 5)), float(r.integers(80, 101)) / 100, int(r.integers(5, 9)), int(a), int(a + r.integers(0, 12))) for a in first]
+        want: list = []
+        for f in sorted(set(found), key=lambda f: (-f[1], -f[2], f[3], f[0])):
+            if all(f[4] < k[3] or k[4] < f[3] for k in want):
+                want.append(f)
+        got = index._best(found, text)
+        assert [(c, m, a // 5, b // 5) for _, c, m, a, b in got] == [f[1:] for f in sorted(want, key=lambda f: f[3])]
