@@ -48,6 +48,25 @@ def joined(rows: DataFrame, other: DataFrame, keys: list[str], frequent) -> Data
     return rows.join(F.broadcast(hot), keys).unionByName(rest)
 
 
+def vector_sums(df: DataFrame, keys: str, dtype: str = "<f8") -> DataFrame:
+    """Sums of the column ``vector`` (numbers of ``dtype``, as bytes) for each value
+    of the column ``keys``, as doubles; a task holds one sum for each of its keys."""
+
+    def run(batches):
+        held: dict = {}
+        for batch in batches:
+            for k, v in zip(batch.column(keys).to_pylist(), batch.column("vector")):
+                v = np.frombuffer(v.as_buffer(), dtype)
+                if k in held:
+                    held[k] += v
+                else:
+                    held[k] = v.astype("<f8")
+        for k, v in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], batch.schema.field(keys).type), pa.array([v.tobytes()])], names=[keys, "vector"])
+
+    return df.select(keys, "vector").repartition(keys).mapInArrow(run, df.select(keys, "vector").schema)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``df`` has it."""
     while name.lower() in {c.lower() for c in df.columns}:

@@ -8,7 +8,8 @@ likelihood is chosen.  All documents of a chunk are fitted together in numpy;
 nothing is shuffled.
 
 The distributions are learned from a bounded sample: about ``SAMPLE`` labelled
-documents of each language, chosen by a hash of the id.
+documents of each language, chosen by a hash of the id; or from all of them, if
+``fit`` is called with ``sample=None``.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0,
 as is every text if no labelled document exists; other rows always get a
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainwatch.llm._common import text_slices, with_text_columns
+from chainwatch.llm._common import text_slices, vector_sums, with_text_columns
 
 #: Labelled documents of each language to learn from, about.
 SAMPLE = 400
@@ -49,17 +50,27 @@ class Trigrams:
     def __init__(self):
         self.map = _byte_map()
 
-    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, bucket, count), ordered by document."""
+    def _codes(self, texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The texts' bytes, at which of them (but the first and last) a trigram
+        has its middle, and the buckets of those trigrams."""
         data = [b" " + t.encode().translate(self.map) + b" " for t in texts]
         whole = np.frombuffer(b"".join(data), np.uint8).astype(np.uint32)
-        size = np.fromiter(map(len, data), np.int64, len(data))
-        doc = np.repeat(np.arange(len(data), dtype=np.uint64), size)
         mid = whole[1:-1]
         code = (whole[:-2] << np.uint32(16)) | (mid << np.uint32(8)) | whole[2:]
         code = (code * np.uint32(2654435761)) >> np.uint32(16)
         inside = mid != 32  # a space ends every text, so no such trigram spans two
-        key = (doc[1:-1][inside] << np.uint64(16)) | code[inside]
+        return data, inside, code[inside]
+
+    def total(self, texts: list[str]) -> np.ndarray:
+        """Counts by bucket over all the texts."""
+        return np.bincount(self._codes(texts)[2], minlength=BUCKETS)
+
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, bucket, count), ordered by document."""
+        data, inside, code = self._codes(texts)
+        size = np.fromiter(map(len, data), np.int64, len(data))
+        doc = np.repeat(np.arange(len(data), dtype=np.uint64), size)
+        key = (doc[1:-1][inside] << np.uint64(16)) | code
         key.sort()
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
         count = np.diff(np.r_[start, len(key)])
@@ -145,31 +156,30 @@ class LanguageModel:
         return out
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", sample: int = SAMPLE) -> LanguageModel:
-    """Learn from about ``sample`` documents of each non-null language."""
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", sample: int | None = SAMPLE) -> LanguageModel:
+    """Learn from about ``sample`` documents of each non-null language, from all if it is None."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(id).alias("id"))
-    sizes = rows.groupBy("lang").count()
-    place = F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1 << 20))
-    # one row per language
-    chosen = rows.join(F.broadcast(sizes), "lang").where(place * F.col("count") < sample * (1 << 20)).select("lang", "text")
+    if sample is None:
+        chosen = rows.select("lang", "text")
+    else:
+        sizes = rows.groupBy("lang").count()
+        place = F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1 << 20))
+        # one row per language
+        chosen = rows.join(F.broadcast(sizes), "lang").where(place * F.col("count") < sample * (1 << 20)).select("lang", "text").repartition(8)
 
     def run(batches):
         trigrams, held = Trigrams(), {}
         for whole in batches:
             for b in text_slices(whole, "text"):
-                langs = b.column("lang").to_pylist()
-                doc, bucket, count = trigrams.counts(b.column("text").to_pylist())
+                langs, texts = b.column("lang").to_pylist(), b.column("text").to_pylist()
                 for x in set(langs):
-                    mine = np.array([y == x for y in langs])[doc]
-                    held[x] = held.get(x, 0) + np.bincount(bucket[mine], count[mine], BUCKETS)
-        columns = [pa.array(list(held), pa.string()), pa.array([v.astype("<f4").tobytes() for v in held.values()], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["lang", "counts"])
-
-    counts: dict[str, np.ndarray] = {}
-    for r in chosen.repartition(8).mapInArrow(run, "lang string, counts binary").collect():
-        counts[r.lang] = counts.get(r.lang, 0) + np.frombuffer(r.counts, "<f4").astype(np.float64)
-    return LanguageModel(counts)
+                    held[x] = held.get(x, 0) + trigrams.total([t for t, y in zip(texts, langs) if y == x])
+        columns = [pa.array(list(held), pa.string()), pa.array([v.astype("<f8").tobytes() for v in held.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "vector"])
+
+    sums = vector_sums(chosen.mapInArrow(run, "lang string, vector binary"), "lang").collect()
+    return LanguageModel({r.lang: np.frombuffer(r.vector) for r in sums})
 
 
 FIELDS = [

@@ -18,7 +18,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 def op1_toxicity(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").withColumn("held_out", crc_bucket("doc_id", 5) == 0)
     seen = docs.where(~F.coalesce("held_out", F.lit(True)))
-    languages = langid.fit(seen)
+    languages = langid.fit(seen, sample=None)
     model = toxicity.fit(seen, read_table(spark, sf_dir, "labels"), languages)
     scored = toxicity.score(docs.select("doc_id", "held_out", "text"), model, languages)
     return scored.select("doc_id", "held_out", "score", "predicted")

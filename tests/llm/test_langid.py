@@ -66,3 +66,15 @@ def test_mixture_of_all_languages(spark):
     lang, _, parts, rejected = model.infer([" ".join(t[:1400] for t in by.values())])[0]
     assert set(parts) == set(by) and min(parts.values()) > 0.1 and lang in by and not rejected
     assert abs(sum(parts.values()) - 1) < 0.02
+
+
+def test_learns_from_all_documents(corpus, monkeypatch):
+    rows, df = corpus
+    monkeypatch.setattr(langid, "SAMPLE", 1)
+    model = langid.fit(df.repartition(5), sample=None)
+    counts: dict = {}
+    for _, text, lang in rows:
+        if lang is not None and text is not None:
+            _, bucket, count = model.trigrams.counts([text])
+            counts[lang] = counts.get(lang, 0) + np.bincount(bucket, count, langid.BUCKETS)
+    assert np.array_equal(model.p, langid.LanguageModel(counts).p)
